@@ -183,7 +183,7 @@ def normalize_jobs(jobs: DataFrame) -> DataFrame:
         "job_clusters": entries("settings.job_clusters"),
     }
     if field_type(schema, "settings.parameters") is not None:
-        columns["parameters"] = F.transform("settings.parameters", F.to_json)
+        columns["parameters"] = F.transform("settings.parameters", lambda p: F.to_json(p))
     return jobs.select(*_shaped(JOB_INFO, columns))
 
 

@@ -17,8 +17,7 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 << 20
 
-SPLIT_ROWS = 2_000_000
-MAX_HOT_KEYS = 100_000
+SPLIT_ROWS = 4_000_000
 NULL_PARTS = 512
 
 PART = "_part"
@@ -41,22 +40,15 @@ def fits_broadcast(
     return rows <= max_rows and size <= max_bytes
 
 
-def hot_keys(
-    df: DataFrame,
-    keys: Sequence[str],
-    split_rows: int = SPLIT_ROWS,
-    max_keys: int = MAX_HOT_KEYS,
-) -> DataFrame:
+def hot_keys(df: DataFrame, keys: Sequence[str], split_rows: int = SPLIT_ROWS) -> DataFrame:
     """Keys with more than ``split_rows`` rows and the number of parts to cut them into.
 
-    A part also holds at least ``1 / max_keys`` of all rows, so there can be no more than
-    ``max_keys`` hot keys however large ``df`` is: the result is safe to broadcast.
+    Each such key has that many rows, so there are fewer than ``rows / split_rows`` of them:
+    250,000 at most in a table of a trillion rows, which every executor can hold.
     """
     counts = df.dropna(subset=list(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    total = counts.agg(F.sum("_rows")).scalar()
-    part_rows = F.greatest(F.lit(split_rows), F.ceil(F.coalesce(total, F.lit(0)) / max_keys))
-    return counts.where(F.col("_rows") > part_rows).select(
-        *keys, F.ceil(F.col("_rows") / part_rows).cast("int").alias("_parts")
+    return counts.where(F.col("_rows") > split_rows).select(
+        *keys, F.ceil(F.col("_rows") / split_rows).cast("int").alias("_parts")
     )
 
 

@@ -125,6 +125,13 @@ def _table(df: DataFrame, schema, **columns: Column) -> DataFrame:
     )
 
 
+def _nested(df: DataFrame, schema, **columns: Column) -> DataFrame:
+    """Like :func:`_table`, with every record built once, as if it were read from a file:
+    otherwise Spark would build it again in each expression that reads a field of it."""
+    row = _table(df, schema, **columns)
+    return row.select(F.inline(F.array(F.struct("*"))))
+
+
 def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     kinds = {
         name: F.when(F.col("n") == i, "x").otherwise("N/A")
@@ -281,7 +288,7 @@ def nested_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
             RUN_TASK,
             task_key=text("t", n),
             existing_cluster_id=F.when(way < 2, text("apc_", mp % 150)),
-            job_cluster_key=F.when((way == 2) | (way == 3), text("shared_", mp % 3)),
+            job_cluster_key=F.when((way == 2) | (way == 3), text("shared_", F.floor(mp / 9) % 3)),
             new_cluster=F.when((way == 4) | (way == 5), plain).when(way == 6, pooled),
             cluster_instance=F.when(
                 way == 7, F.struct(text("apc_", mp % 150).alias("cluster_id"))
@@ -294,7 +301,7 @@ def nested_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     base = order_lines(spark, sf_dir)
     tasks = F.transform(F.filter("lines", lambda line: line["mp"].isNotNull()), task)
-    return _table(
+    return _nested(
         base,
         RUN,
         run_id=run_id,
@@ -319,7 +326,7 @@ def nested_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _cluster_listing(ids: DataFrame) -> DataFrame:
     """Cluster definitions ``apc_<k>`` for the column ``k``."""
     k = F.col("k")
-    return _table(
+    return _nested(
         ids,
         LISTED_CLUSTER,
         cluster_id=text("apc_", k),
@@ -369,7 +376,7 @@ def fetched_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def listed_pools(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("s_suppkey")
-    return _table(
+    return _nested(
         read(spark, sf_dir, "supplier"),
         LISTED_POOL,
         instance_pool_id=text("pool_", k),
@@ -489,7 +496,7 @@ def job_definitions(spark: SparkSession, sf_dir: str) -> DataFrame:
         ),
         webhook_notifications=F.when(k % 9 == 0, hooks(0)),
     )
-    return _table(
+    return _nested(
         read(spark, sf_dir, "customer"),
         JOB,
         job_id=k,
@@ -524,7 +531,7 @@ def recommendations(spark: SparkSession, sf_dir: str) -> DataFrame:
         autoscale=F.struct((e % 3).alias("min_workers"), (3 + e % 7).alias("max_workers")),
         spark_conf=string_map_of("n", text(e % 16)),
     )
-    return _table(
+    return _nested(
         read(spark, sf_dir, "events"),
         RECOMMENDATION,
         prediction_id=F.lpad(e.cast("string"), 18, "0"),
