@@ -27,7 +27,7 @@ def record(schema: StructType, **values: Column) -> Column:
     """Struct of a schema with the given fields set and all others NULL."""
     return F.struct(
         *(
-            values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name)
+            values.get(f.name, F.lit(None)).cast(f.dataType.simpleString()).alias(f.name)
             for f in schema.fields
         )
     )

@@ -58,7 +58,7 @@ TASK_NUMBERS = {
 def _shaped(schema: StructType, columns: dict[str, Column]) -> list[Column]:
     """Columns in the order and types of a table; one that is not given is NULL."""
     return [
-        columns.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields
+        columns.get(f.name, F.lit(None)).cast(f.dataType.simpleString()).alias(f.name) for f in schema.fields
     ]
 
 
@@ -109,7 +109,7 @@ def cluster_columns(
     columns["driver_node"] = F.coalesce(columns["driver_node"], columns["worker_node"])
     columns["autotermination_minutes"] = get("autotermination_minutes", NONE)
     return {
-        name: columns.get(name, F.lit(None)).cast(CLUSTER_INFO[name].dataType)
+        name: columns.get(name, F.lit(None)).cast(CLUSTER_INFO[name].dataType.simpleString())
         for name in DEFINITION_COLUMNS
     }
 

@@ -3,19 +3,21 @@ scale on the same data. An order is a run, its customer the job, its lines the t
 
 Line numbers run from 1 to 7, so the lines of an order fit into seven columns: they are
 combined before the one shuffle of ``lineitem``, which is by order key and also serves the
-join with ``orders``.
+join with ``orders``. Columns are given as SQL text: there are many, and all are plain.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from runledger.operators.jobdefs import record
 from runledger.schemas import (
+    AUTOSCALE,
     AWS_ATTRIBUTES,
     AZURE_ATTRIBUTES,
     CLUSTER_DEFINITION,
+    INIT_SCRIPT,
     INSTANCES,
     JOB,
     JOB_CLUSTER,
@@ -54,141 +56,142 @@ TASK_COLUMNS = (
     "spark_python_task_python_file", "sql_task_query", "dbt_task_as_dict",
 )
 PROJECT_TAG = "project-id"
+LIFE_CYCLE = (
+    "CASE WHEN o_orderkey % 5 = 0 THEN 'INTERNAL_ERROR' WHEN o_orderkey % 7 = 0 THEN 'RUNNING'"
+    " ELSE 'TERMINATED' END"
+)
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def text(*parts: Column | str) -> Column:
-    return F.concat(
-        *(p.cast("string") if isinstance(p, Column) else F.lit(p) for p in parts)
-    )
+def pick(values: tuple[str, ...], index: str) -> str:
+    listed = ", ".join(f"'{v}'" for v in values)
+    return f"get(array({listed}), CAST(({index}) % {len(values)} AS INT))"
 
 
-def pick(values: tuple[str, ...], index: Column) -> Column:
-    return F.get(F.array(*(F.lit(v) for v in values)), index.cast("int"))
+def driver(index: str) -> str:
+    return pick(DRIVER_NODES, index)
 
 
-def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per order: ``lines``, the smallest part key of each of its line numbers."""
-    items = read(spark, sf_dir, "lineitem")
-    by_order = items.groupBy("l_orderkey").agg(
-        *(
-            F.min(F.when(F.col("l_linenumber") == n, F.col("l_partkey"))).alias(f"line{n}")
-            for n in LINES
-        )
-    )
-    orders = read(spark, sf_dir, "orders")
-    return orders.join(by_order, F.col("o_orderkey") == F.col("l_orderkey")).select(
-        F.col("o_custkey").alias("job_id"),
-        F.col("o_orderkey").alias("run_id"),
-        text("job_", F.col("o_custkey") % 97).alias("run_name"),
-        (
-            F.unix_date(F.col("o_orderdate").cast("date")).cast("bigint") * 86_400_000
-            + (F.col("o_orderkey") % 96) * 900_000
-        ).alias("run_starttime"),
-        ((1 + F.col("o_orderkey") % 16) * 900_000).alias("duration"),
-        F.when(F.col("o_orderpriority") == "1-URGENT", "SUBMIT_RUN")
-        .when(F.col("o_orderpriority") == "2-HIGH", "WORKFLOW_RUN")
-        .otherwise("JOB_RUN")
-        .alias("run_type"),
-        F.when(F.col("o_orderstatus") == "F", "SUCCESS")
-        .when(F.col("o_orderstatus") == "O", "FAILED")
-        .otherwise("CANCELED")
-        .alias("run_result_state"),
-        F.array(
-            *(
-                F.struct(F.lit(n).alias("n"), F.col(f"line{n}").alias("mp"))
-                for n in LINES
-            )
-        ).alias("lines"),
-    )
+def worker(index: str) -> str:
+    return pick(WORKER_NODES, index)
 
 
-def run_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per (order, line number): ``n`` and ``mp``, its smallest part key."""
-    return (
-        order_lines(spark, sf_dir)
-        .select("*", F.inline("lines"))
-        .where(F.col("mp").isNotNull())
-        .drop("lines")
+def when(condition: str, value: str) -> str:
+    return f"CASE WHEN {condition} THEN {value} END"
+
+
+def record(schema: StructType, **columns: str) -> str:
+    """Struct of a schema with the given fields; the others are NULL."""
+    fields = ", ".join(
+        f"'{f.name}', CAST({columns.get(f.name, 'NULL')} AS {f.dataType.simpleString()})"
+        for f in schema.fields
     )
+    return f"named_struct({fields})"
 
 
-def _table(df: DataFrame, schema, **columns: Column) -> DataFrame:
-    return df.select(
+def _table(df: DataFrame, schema: StructType, **columns: str) -> DataFrame:
+    return df.selectExpr(
         *(
-            columns.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name)
+            f"CAST({columns.get(f.name, 'NULL')} AS {f.dataType.simpleString()}) AS {f.name}"
             for f in schema.fields
         )
     )
 
 
-def _nested(df: DataFrame, schema, **columns: Column) -> DataFrame:
+def _nested(df: DataFrame, schema: StructType, **columns: str) -> DataFrame:
     """Like :func:`_table`, with every record built once, as if it were read from a file:
     otherwise Spark would build it again in each expression that reads a field of it."""
-    row = _table(df, schema, **columns)
-    return row.select(F.inline(F.array(F.struct("*"))))
+    return df.selectExpr(f"inline(array({record(schema, **columns)}))")
+
+
+def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per order: ``lines``, the smallest part key of each of its line numbers."""
+    items = read(spark, sf_dir, "lineitem").groupBy("l_orderkey")
+    smallest = items.agg(
+        *(F.expr(f"min(l_partkey) FILTER (WHERE l_linenumber = {n})").alias(f"line{n}") for n in LINES)
+    )
+    lines = ", ".join(f"named_struct('n', {n}, 'mp', line{n})" for n in LINES)
+    return (
+        read(spark, sf_dir, "orders")
+        .join(smallest, F.col("o_orderkey") == F.col("l_orderkey"))
+        .selectExpr(
+            "o_custkey AS job_id",
+            "o_orderkey AS run_id",
+            "'job_' || (o_custkey % 97) AS run_name",
+            "CAST(unix_date(CAST(o_orderdate AS DATE)) AS BIGINT) * 86400000"
+            " + (o_orderkey % 96) * 900000 AS run_starttime",
+            "(1 + o_orderkey % 16) * 900000 AS duration",
+            "CASE o_orderpriority WHEN '1-URGENT' THEN 'SUBMIT_RUN'"
+            " WHEN '2-HIGH' THEN 'WORKFLOW_RUN' ELSE 'JOB_RUN' END AS run_type",
+            f"{LIFE_CYCLE} AS run_life_cycle_state",
+            "CASE o_orderstatus WHEN 'F' THEN 'SUCCESS' WHEN 'O' THEN 'FAILED'"
+            " ELSE 'CANCELED' END AS run_result_state",
+            f"array({lines}) AS lines",
+        )
+    )
+
+
+def run_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per (order, line number): ``n`` and ``mp``, its smallest part key."""
+    return order_lines(spark, sf_dir).selectExpr("*", "inline(lines)").where("mp IS NOT NULL")
 
 
 def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     kinds = {
-        name: F.when(F.col("n") == i, "x").otherwise("N/A")
+        name: f"CASE WHEN n = {i} THEN 'x' ELSE 'N/A' END"
         for i, name in enumerate(TASK_COLUMNS, start=1)
     }
-    start, end = F.col("run_starttime"), F.col("run_starttime") + F.col("duration")
     return _table(
         run_lines(spark, sf_dir),
         JOB_RUN_INFO,
-        run_id=F.col("run_id"),
-        job_id=F.col("job_id"),
-        task_key=text("t", F.col("n")),
-        run_name=F.col("run_name"),
-        task_starttime=start,
-        task_endtime=end,
-        run_starttime=start,
-        run_endtime=end,
-        run_type=F.col("run_type"),
-        run_life_cycle_state=F.when(F.col("run_id") % 5 == 0, "INTERNAL_ERROR")
-        .when(F.col("run_id") % 7 == 0, "RUNNING")
-        .otherwise("TERMINATED"),
-        run_result_state=F.col("run_result_state"),
+        run_id="run_id",
+        job_id="job_id",
+        task_key="'t' || n",
+        run_name="run_name",
+        task_starttime="run_starttime",
+        task_endtime="run_starttime + duration",
+        run_starttime="run_starttime",
+        run_endtime="run_starttime + duration",
+        run_type="run_type",
+        run_life_cycle_state="run_life_cycle_state",
+        run_result_state="run_result_state",
         **kinds,
     )
 
 
 def with_cluster(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mp = F.col("mp")
-    scales = mp % 7 == 0
     return _table(
-        run_lines(spark, sf_dir).where(mp % 11 != 0),
+        run_lines(spark, sf_dir).where("mp % 11 <> 0"),
         JOB_RUN_CLUSTER_INFO,
-        job_id=F.col("job_id"),
-        run_id=F.col("run_id"),
-        task_key=text("t", F.col("n")),
-        cluster_identifier=text("c", mp),
-        compute_definition=F.when(mp % 3 == 0, "All Purpose Compute").otherwise("Jobs Compute"),
-        enable_local_disk_encryption=F.when(mp % 2 == 0, "true"),
-        aws_attributes_ebs_volume_count=mp % 4,
-        driver_node=pick(DRIVER_NODES, mp % 6),
-        worker_node=pick(WORKER_NODES, mp % 5),
-        num_workers=F.when(scales, "None").otherwise((mp % 9).cast("string")),
-        autoscale_min=F.lit("0"),
-        autoscale_max=F.when(scales, (2 + mp % 8).cast("string")).otherwise("0"),
-        instance_pool_id=F.when(mp % 4 == 0, text("pool_", mp % 10)).otherwise("None"),
+        job_id="job_id",
+        run_id="run_id",
+        task_key="'t' || n",
+        cluster_identifier="'c' || mp",
+        compute_definition="CASE WHEN mp % 3 = 0 THEN 'All Purpose Compute'"
+        " ELSE 'Jobs Compute' END",
+        enable_local_disk_encryption=when("mp % 2 = 0", "'true'"),
+        aws_attributes_ebs_volume_count="mp % 4",
+        driver_node=driver("mp"),
+        worker_node=worker("mp"),
+        num_workers="CASE WHEN mp % 7 = 0 THEN 'None' ELSE CAST(mp % 9 AS STRING) END",
+        autoscale_min="'0'",
+        autoscale_max="CASE WHEN mp % 7 = 0 THEN CAST(2 + mp % 8 AS STRING) ELSE '0' END",
+        instance_pool_id="CASE WHEN mp % 4 = 0 THEN 'pool_' || (mp % 10) ELSE 'None' END",
     )
 
 
 def without_cluster(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(
-        run_lines(spark, sf_dir).where(F.col("mp") % 11 == 0),
+        run_lines(spark, sf_dir).where("mp % 11 = 0"),
         JOB_RUN_NO_CLUSTER_INFO,
-        job_id=F.col("job_id"),
-        run_id=F.col("run_id"),
-        task_key=text("t", F.col("n")),
-        cluster_id=F.when(F.col("mp") % 2 == 0, "unknown").otherwise(text("c", F.col("mp"))),
-        status=F.lit("Not defined and no cluster instance"),
+        job_id="job_id",
+        run_id="run_id",
+        task_key="'t' || n",
+        cluster_id="CASE WHEN mp % 2 = 0 THEN 'unknown' ELSE 'c' || mp END",
+        status="'Not defined and no cluster instance'",
     )
 
 
@@ -204,9 +207,9 @@ def pools(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(
         read(spark, sf_dir, "supplier"),
         POOLS_INFO,
-        instance_pool_id=text("pool_", F.col("s_suppkey")),
-        instance_pool_name=F.col("s_name"),
-        node_type_id=pick(WORKER_NODES, F.col("s_suppkey") % 5),
+        instance_pool_id="'pool_' || s_suppkey",
+        instance_pool_name="s_name",
+        node_type_id=worker("s_suppkey"),
     )
 
 
@@ -215,329 +218,262 @@ def pools(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def nested_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Runs whose tasks name their cluster in every possible way, by part key modulo 9."""
-    run_id = F.col("run_id")
-    shared = F.array(
-        record(
-            JOB_CLUSTER,
-            job_cluster_key=F.lit("shared_0"),
-            new_cluster=record(
-                CLUSTER_DEFINITION,
-                node_type_id=pick(WORKER_NODES, run_id % 5),
-                num_workers=run_id % 9,
-                enable_elastic_disk=run_id % 2 == 0,
-                custom_tags=F.create_map(F.lit("team"), text("t", run_id % 10)),
-            ),
-        ),
-        record(
-            JOB_CLUSTER,
-            job_cluster_key=F.lit("shared_1"),
-            new_cluster=record(
-                CLUSTER_DEFINITION,
-                instance_pool_id=text("pool_", run_id % 120),
-                autoscale=F.struct(F.lit(1).alias("min_workers"), (run_id % 8).alias("max_workers")),
-            ),
+    shared_plain = record(
+        JOB_CLUSTER,
+        job_cluster_key="'shared_0'",
+        new_cluster=record(
+            CLUSTER_DEFINITION,
+            node_type_id=worker("run_id"),
+            num_workers="run_id % 9",
+            enable_elastic_disk="run_id % 2 = 0",
+            custom_tags="map('team', 't' || (run_id % 10))",
         ),
     )
-
-    def task(line: Column) -> Column:
-        mp, n = line["mp"], line["n"]
-        way = mp % 9
-        plain = record(
+    shared_pooled = record(
+        JOB_CLUSTER,
+        job_cluster_key="'shared_1'",
+        new_cluster=record(
             CLUSTER_DEFINITION,
-            aws_attributes=record(
-                AWS_ATTRIBUTES,
-                availability=F.lit("SPOT"),
-                first_on_demand=mp % 3,
-                zone_id=text("zone-", mp % 4),
-            ),
-            driver_node_type_id=F.when(mp % 2 == 0, pick(DRIVER_NODES, mp % 6)),
-            node_type_id=pick(WORKER_NODES, mp % 5),
-            num_workers=mp % 9,
-            autotermination_minutes=F.when(mp % 4 == 0, mp % 60),
-        )
-        pooled = record(
-            CLUSTER_DEFINITION,
-            instance_pool_id=text("pool_", mp % 120),
-            driver_instance_pool_id=F.when(mp % 2 == 0, text("pool_", (mp + 1) % 120)),
-            num_workers=F.when(mp % 7 != 0, mp % 9),
-        )
-        kinds = {
-            "notebook_task": record(
-                RUN_TASK["notebook_task"].dataType,
-                notebook_path=text("/nb/", mp),
-                source=F.lit("WORKSPACE"),
-                base_parameters=F.create_map(F.lit("k"), text(mp % 5)),
-            ),
-            "run_job_task": record(RUN_TASK["run_job_task"].dataType, job_id=mp),
-            "spark_jar_task": record(
-                RUN_TASK["spark_jar_task"].dataType, jar_uri=text("jar", mp),
-                parameters=F.array(F.lit("a"), F.lit("b")),
-            ),
-            "spark_python_task": record(
-                RUN_TASK["spark_python_task"].dataType, python_file=text("p", mp)
-            ),
-            "sql_task": record(
-                RUN_TASK["sql_task"].dataType,
-                query=F.struct(text("q", mp).alias("query_id")),
-            ),
-            "dbt_task": record(
-                RUN_TASK["dbt_task"].dataType, project_directory=text("d", mp)
-            ),
-        }
-        return record(
-            RUN_TASK,
-            task_key=text("t", n),
-            existing_cluster_id=F.when(way < 2, text("apc_", mp % 150)),
-            job_cluster_key=F.when((way == 2) | (way == 3), text("shared_", F.floor(mp / 9) % 3)),
-            new_cluster=F.when((way == 4) | (way == 5), plain).when(way == 6, pooled),
-            cluster_instance=F.when(
-                way == 7, F.struct(text("apc_", mp % 150).alias("cluster_id"))
-            ),
-            start_time=F.col("run_starttime"),
-            execution_duration=F.col("duration"),
-            state=F.struct(F.col("run_result_state").alias("result_state")),
-            **{name: F.when(n == i, kind) for i, (name, kind) in enumerate(kinds.items(), 1)},
-        )
+            instance_pool_id="'pool_' || (run_id % 120)",
+            autoscale=record(AUTOSCALE, min_workers="1", max_workers="run_id % 8"),
+        ),
+    )
+    plain = record(
+        CLUSTER_DEFINITION,
+        aws_attributes=record(
+            AWS_ATTRIBUTES,
+            availability="'SPOT'",
+            first_on_demand="l.mp % 3",
+            zone_id="'zone-' || (l.mp % 4)",
+        ),
+        driver_node_type_id=when("l.mp % 2 = 0", driver("l.mp")),
+        node_type_id=worker("l.mp"),
+        num_workers="l.mp % 9",
+        autotermination_minutes=when("l.mp % 4 = 0", "l.mp % 60"),
+    )
+    pooled = record(
+        CLUSTER_DEFINITION,
+        instance_pool_id="'pool_' || (l.mp % 120)",
+        driver_instance_pool_id=when("l.mp % 2 = 0", "'pool_' || ((l.mp + 1) % 120)"),
+        num_workers=when("l.mp % 7 <> 0", "l.mp % 9"),
+    )
 
-    base = order_lines(spark, sf_dir)
-    tasks = F.transform(F.filter("lines", lambda line: line["mp"].isNotNull()), task)
+    def kind(n: int, name: str, **columns: str) -> str:
+        return when(f"l.n = {n}", record(RUN_TASK[name].dataType, **columns))
+
+    task = record(
+        RUN_TASK,
+        task_key="'t' || l.n",
+        existing_cluster_id=when("l.mp % 9 < 2", "'apc_' || (l.mp % 150)"),
+        job_cluster_key=when("l.mp % 9 IN (2, 3)", "'shared_' || (l.mp div 9 % 3)"),
+        new_cluster=f"CASE WHEN l.mp % 9 IN (4, 5) THEN {plain} WHEN l.mp % 9 = 6 THEN {pooled} END",
+        cluster_instance=when("l.mp % 9 = 7", "named_struct('cluster_id', 'apc_' || (l.mp % 150))"),
+        start_time="run_starttime",
+        execution_duration="duration",
+        state="named_struct('result_state', run_result_state)",
+        notebook_task=kind(
+            1,
+            "notebook_task",
+            notebook_path="'/nb/' || l.mp",
+            source="'WORKSPACE'",
+            base_parameters="map('k', '' || (l.mp % 5))",
+        ),
+        run_job_task=kind(2, "run_job_task", job_id="l.mp"),
+        spark_jar_task=kind(
+            3, "spark_jar_task", jar_uri="'jar' || l.mp", parameters="array('a', 'b')"
+        ),
+        spark_python_task=kind(4, "spark_python_task", python_file="'p' || l.mp"),
+        sql_task=kind(5, "sql_task", query="named_struct('query_id', 'q' || l.mp)"),
+        dbt_task=kind(6, "dbt_task", project_directory="'d' || l.mp"),
+    )
     return _nested(
-        base,
+        order_lines(spark, sf_dir),
         RUN,
-        run_id=run_id,
-        job_id=F.col("job_id"),
-        run_name=F.col("run_name"),
-        start_time=F.col("run_starttime"),
-        end_time=F.col("run_starttime") + F.col("duration"),
-        run_type=F.when(run_id % 10 != 0, F.col("run_type")),
-        execution_duration=F.col("duration"),
-        state=F.struct(
-            F.when(run_id % 5 == 0, "INTERNAL_ERROR")
-            .when(run_id % 7 == 0, "RUNNING")
-            .otherwise("TERMINATED")
-            .alias("life_cycle_state"),
-            F.col("run_result_state").alias("result_state"),
-        ),
-        job_clusters=F.when(run_id % 13 != 0, shared),
-        tasks=tasks,
+        run_id="run_id",
+        job_id="job_id",
+        run_name="run_name",
+        start_time="run_starttime",
+        end_time="run_starttime + duration",
+        run_type=when("run_id % 10 <> 0", "run_type"),
+        execution_duration="duration",
+        state="named_struct('life_cycle_state', run_life_cycle_state,"
+        " 'result_state', run_result_state)",
+        job_clusters=when("run_id % 13 <> 0", f"array({shared_plain}, {shared_pooled})"),
+        tasks=f"transform(filter(lines, l -> l.mp IS NOT NULL), l -> {task})",
     )
 
 
 def _cluster_listing(ids: DataFrame) -> DataFrame:
     """Cluster definitions ``apc_<k>`` for the column ``k``."""
-    k = F.col("k")
+    attributes = record(
+        AWS_ATTRIBUTES,
+        availability="'ON_DEMAND'",
+        ebs_volume_count="k % 3",
+        first_on_demand="k % 2",
+        spot_bid_price_percent=when("k % 2 = 0", "100"),
+    )
     return _nested(
         ids,
         LISTED_CLUSTER,
-        cluster_id=text("apc_", k),
-        cluster_name=text("cluster ", k),
-        creator_user_name=F.when(k % 3 == 0, text("user", k % 7)),
-        cluster_memory_mb=F.when(k % 2 == 0, k * 1024),
-        cluster_cores=F.when(k % 4 != 0, (k % 64).cast("double")),
-        cluster_source=F.lit("UI"),
-        aws_attributes=F.when(
-            k % 5 != 0,
-            record(
-                AWS_ATTRIBUTES,
-                availability=F.lit("ON_DEMAND"),
-                ebs_volume_count=k % 3,
-                first_on_demand=k % 2,
-                spot_bid_price_percent=F.when(k % 2 == 0, F.lit(100)),
-            ),
-        ),
-        enable_elastic_disk=F.when(k % 3 != 0, k % 2 == 0),
-        enable_local_disk_encryption=F.when(k % 3 != 1, k % 2 == 0),
-        workload_type=F.struct(
-            F.struct((k % 2 == 0).alias("jobs"), F.lit(True).alias("notebooks")).alias("clients")
-        ),
-        driver_node_type_id=F.when(k % 2 == 1, pick(DRIVER_NODES, k % 6)),
-        node_type_id=pick(WORKER_NODES, k % 5),
-        num_workers=F.when(k % 4 != 0, k % 9),
-        autoscale=F.when(
-            k % 4 == 0, F.struct(F.lit(1).alias("min_workers"), (2 + k % 8).alias("max_workers"))
-        ),
-        autotermination_minutes=F.when(k % 2 == 0, k % 60),
-        custom_tags=F.when(k % 2 == 0, F.create_map(F.lit("team"), text("t", k % 10))),
+        cluster_id="'apc_' || k",
+        cluster_name="'cluster ' || k",
+        creator_user_name=when("k % 3 = 0", "'user' || (k % 7)"),
+        cluster_memory_mb=when("k % 2 = 0", "k * 1024"),
+        cluster_cores=when("k % 4 <> 0", "k % 64"),
+        cluster_source="'UI'",
+        aws_attributes=when("k % 5 <> 0", attributes),
+        enable_elastic_disk=when("k % 3 <> 0", "k % 2 = 0"),
+        enable_local_disk_encryption=when("k % 3 <> 1", "k % 2 = 0"),
+        workload_type="named_struct('clients', named_struct('jobs', k % 2 = 0,"
+        " 'notebooks', true))",
+        driver_node_type_id=when("k % 2 = 1", driver("k")),
+        node_type_id=worker("k"),
+        num_workers=when("k % 4 <> 0", "k % 9"),
+        autoscale=when("k % 4 = 0", record(AUTOSCALE, min_workers="1", max_workers="2 + k % 8")),
+        autotermination_minutes=when("k % 2 = 0", "k % 60"),
+        custom_tags=when("k % 2 = 0", "map('team', 't' || (k % 10))"),
     )
 
 
 def listed_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _cluster_listing(
-        read(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("k"))
-    )
+    return _cluster_listing(read(spark, sf_dir, "supplier").selectExpr("s_suppkey AS k"))
 
 
 def fetched_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clusters that can be fetched singly: 25 of them, partly beyond the listing."""
-    return _cluster_listing(
-        read(spark, sf_dir, "nation").select((100 + F.col("n_nationkey")).cast("bigint").alias("k"))
-    )
+    nations = read(spark, sf_dir, "nation")
+    return _cluster_listing(nations.selectExpr("CAST(100 + n_nationkey AS BIGINT) AS k"))
 
 
 def listed_pools(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.col("s_suppkey")
+    attributes = record(
+        LISTED_POOL["aws_attributes"].dataType,
+        availability=when("s_suppkey % 3 <> 0", "'SPOT'"),
+        spot_bid_price_percent=when("s_suppkey % 2 = 0", "100"),
+        zone_id="'zone-' || (s_suppkey % 4)",
+    )
     return _nested(
         read(spark, sf_dir, "supplier"),
         LISTED_POOL,
-        instance_pool_id=text("pool_", k),
-        instance_pool_name=F.col("s_name"),
-        aws_attributes=record(
-            LISTED_POOL["aws_attributes"].dataType,
-            availability=F.when(k % 3 != 0, "SPOT"),
-            spot_bid_price_percent=F.when(k % 2 == 0, F.lit(100)),
-            zone_id=text("zone-", k % 4),
-        ),
-        node_type_id=pick(WORKER_NODES, k % 5),
-        custom_tags=F.when(k % 2 == 0, F.create_map(F.lit("team"), text("t", k % 10))),
+        instance_pool_id="'pool_' || s_suppkey",
+        instance_pool_name="s_name",
+        aws_attributes=attributes,
+        node_type_id=worker("s_suppkey"),
+        custom_tags=when("s_suppkey % 2 = 0", "map('team', 't' || (s_suppkey % 10))"),
     )
 
 
 def job_definitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One job per customer."""
-    k = F.col("c_custkey")
 
-    def cluster(shift: int) -> Column:
-        j = k + shift
+    def cluster(shift: int) -> str:
+        j = f"(k + {shift})"
+        script = record(
+            INIT_SCRIPT,
+            workspace="named_struct('destination',"
+            " CASE WHEN k % 8 = 1 THEN '/agent.sh' ELSE '/other.sh' END)",
+        )
+        aws = record(
+            AWS_ATTRIBUTES,
+            first_on_demand=when(f"{j} % 5 <> 0", f"{j} % 5"),
+            instance_profile_arn=f"'arn:' || ({j} % 3)",
+        )
+        azure = record(AZURE_ATTRIBUTES, first_on_demand=f"{j} % 4")
+        autoscale = record(AUTOSCALE, min_workers="1", max_workers=f"{j} % 8")
+        logs = "named_struct('dbfs', named_struct('destination', 'dbfs:/logs/' || k))"
         return record(
             CLUSTER_DEFINITION,
-            aws_attributes=F.when(
-                k % 10 != 9,
-                record(
-                    AWS_ATTRIBUTES,
-                    first_on_demand=F.when(j % 5 != 0, j % 5),
-                    instance_profile_arn=text("arn:", j % 3),
-                ),
-            ),
-            azure_attributes=F.when(
-                k % 10 == 9, record(AZURE_ATTRIBUTES, first_on_demand=j % 4)
-            ),
-            driver_node_type_id=pick(DRIVER_NODES, j % 6),
-            node_type_id=pick(WORKER_NODES, j % 5),
-            num_workers=F.when((j % 2 == 1) & (k % 11 != 0), j % 9),
-            autoscale=F.when(
-                j % 2 == 0, F.struct(F.lit(1).alias("min_workers"), (j % 8).alias("max_workers"))
-            ),
-            runtime_engine=F.lit("PHOTON"),
-            spark_conf=F.when(j % 3 == 0, F.create_map(F.lit("a"), text(j % 4))),
-            custom_tags=F.when(k % 6 != 0, string_map_of(PROJECT_TAG, text("p", k % 40))),
-            cluster_log_conf=F.when(
-                k % 8 != 0,
-                F.struct(F.struct(text("dbfs:/logs/", k).alias("destination")).alias("dbfs")),
-            ),
-            init_scripts=F.when(
-                k % 4 == 1,
-                F.array(
-                    record(
-                        CLUSTER_DEFINITION["init_scripts"].dataType.elementType,
-                        workspace=F.struct(
-                            F.when(k % 8 == 1, "/agent.sh").otherwise("/other.sh").alias(
-                                "destination"
-                            )
-                        ),
-                    )
-                ),
-            ),
-            spark_env_vars=F.when(
-                k % 3 == 0, F.create_map(F.lit("HOST"), F.lit("old"), F.lit("KEEP"), text(k % 4))
-            ),
+            aws_attributes=when("k % 10 <> 9", aws),
+            azure_attributes=when("k % 10 = 9", azure),
+            driver_node_type_id=driver(j),
+            node_type_id=worker(j),
+            num_workers=when(f"{j} % 2 = 1 AND k % 11 <> 0", f"{j} % 9"),
+            autoscale=when(f"{j} % 2 = 0", autoscale),
+            runtime_engine="'PHOTON'",
+            spark_conf=when(f"{j} % 3 = 0", f"map('a', '' || ({j} % 4))"),
+            custom_tags=when("k % 6 <> 0", f"map('{PROJECT_TAG}', 'p' || (k % 40))"),
+            cluster_log_conf=when("k % 8 <> 0", logs),
+            init_scripts=when("k % 4 = 1", f"array({script})"),
+            spark_env_vars=when("k % 3 = 0", "map('HOST', 'old', 'KEEP', '' || (k % 4))"),
         )
 
-    def task(i: int) -> Column:
-        way = (k + i) % 5
+    def hooks(shift: int) -> str:
+        return record(WEBHOOKS, on_success=f"array(named_struct('id', 'h' || (k + {shift})))")
+
+    def task(i: int) -> str:
+        notebook = record(
+            JOB_TASK["notebook_task"].dataType, notebook_path="'/nb/' || k", source="'GIT'"
+        )
         return record(
             JOB_TASK,
-            task_key=F.lit(f"t{i}"),
-            job_cluster_key=F.when(way < 3, "main").when(way == 3, "aux"),
-            new_cluster=F.when(way == 4, cluster(10 * i)),
-            notebook_task=F.when(
-                (k + i) % 2 == 0,
-                record(
-                    JOB_TASK["notebook_task"].dataType,
-                    notebook_path=text("/nb/", k),
-                    source=F.lit("GIT"),
-                ),
-            ),
-            webhook_notifications=F.when((k + i) % 4 == 0, hooks(i)),
+            task_key=f"'t{i}'",
+            job_cluster_key=f"CASE (k + {i}) % 5 WHEN 4 THEN NULL WHEN 3 THEN 'aux' ELSE 'main' END",
+            new_cluster=when(f"(k + {i}) % 5 = 4", cluster(10 * i)),
+            notebook_task=when(f"(k + {i}) % 2 = 0", notebook),
+            webhook_notifications=when(f"(k + {i}) % 4 = 0", hooks(i)),
         )
 
-    def hooks(i: int) -> Column:
-        return record(WEBHOOKS, on_success=F.array(F.struct(text("h", k + i).alias("id"))))
-
-    def shared(key: str, shift: int) -> Column:
-        return record(JOB_CLUSTER, job_cluster_key=F.lit(key), new_cluster=cluster(shift))
+    def shared(key: str, shift: int) -> str:
+        return record(JOB_CLUSTER, job_cluster_key=f"'{key}'", new_cluster=cluster(shift))
 
-    tasks = F.when(k % 3 == 0, F.array(task(1))).when(
-        k % 3 == 1, F.array(task(1), task(2))
-    ).otherwise(F.array(task(1), task(2), task(3)))
-    multi = k % 4 != 0
+    schedule = record(
+        JOB["settings"].dataType["schedule"].dataType,
+        pause_status=when("k % 4 = 0", "'PAUSED'"),
+        quartz_cron_expression="'0 0 * * * ?'",
+        timezone_id="'UTC'",
+    )
     settings = record(
         JOB["settings"].dataType,
-        name=F.col("c_name"),
-        format=F.when(multi, "MULTI_TASK").otherwise("SINGLE_TASK"),
-        parameters=F.when(
-            k % 5 == 0,
-            F.array(F.struct(F.lit("day").alias("name"), text(k % 31).alias("default"))),
+        name="c_name",
+        format="CASE WHEN k % 4 <> 0 THEN 'MULTI_TASK' ELSE 'SINGLE_TASK' END",
+        parameters=when(
+            "k % 5 = 0", "array(named_struct('name', 'day', 'default', '' || (k % 31)))"
         ),
-        schedule=F.when(
-            k % 2 == 0,
-            F.struct(
-                F.when(k % 4 == 0, "PAUSED").alias("pause_status"),
-                F.lit("0 0 * * * ?").alias("quartz_cron_expression"),
-                F.lit("UTC").alias("timezone_id"),
-            ),
+        schedule=when("k % 2 = 0", schedule),
+        new_cluster=when("k % 4 = 0 AND k % 12 <> 0", cluster(3)),
+        tasks=when(
+            "k % 4 <> 0", f"slice(array({task(1)}, {task(2)}, {task(3)}), 1, CAST(1 + k % 3 AS INT))"
         ),
-        new_cluster=F.when(~multi & (k % 12 != 0), cluster(3)),
-        tasks=F.when(multi, tasks),
-        job_clusters=F.when(
-            multi & (k % 7 != 0),
-            F.when(k % 3 != 2, F.array(shared("main", 0))).otherwise(
-                F.array(shared("main", 0), shared("aux", 1))
-            ),
+        job_clusters=when(
+            "k % 4 <> 0 AND k % 7 <> 0",
+            f"slice(array({shared('main', 0)}, {shared('aux', 1)}), 1, IF(k % 3 = 2, 2, 1))",
         ),
-        webhook_notifications=F.when(k % 9 == 0, hooks(0)),
+        webhook_notifications=when("k % 9 = 0", hooks(0)),
     )
     return _nested(
-        read(spark, sf_dir, "customer"),
+        read(spark, sf_dir, "customer").withColumnRenamed("c_custkey", "k"),
         JOB,
-        job_id=k,
-        created_time=F.lit(1_700_000_000_000) + k,
-        creator_user_name=F.when(k % 3 == 0, F.col("c_mktsegment")),
+        job_id="k",
+        created_time="1700000000000 + k",
+        creator_user_name=when("k % 3 = 0", "c_mktsegment"),
         settings=settings,
     )
 
 
-def string_map_of(key: str, value: Column) -> Column:
-    return F.create_map(F.lit(key), value)
-
-
 def projects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.col("s_suppkey")
     return _table(
         read(spark, sf_dir, "supplier"),
         PROJECT,
-        project_id=text("p", k),
-        auto_apply_recs=k % 3 != 0,
+        project_id="'p' || s_suppkey",
+        auto_apply_recs="s_suppkey % 3 <> 0",
     )
 
 
 def recommendations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as recommendations for the project of their user."""
-    e = F.col("event_id")
     configuration = record(
         RECOMMENDATION["configuration"].dataType,
-        driver_node_type_id=pick(DRIVER_NODES, e % 6),
-        node_type_id=pick(WORKER_NODES, e % 5),
-        num_workers=1 + e % 12,
-        autoscale=F.struct((e % 3).alias("min_workers"), (3 + e % 7).alias("max_workers")),
-        spark_conf=string_map_of("n", text(e % 16)),
+        driver_node_type_id=driver("event_id"),
+        node_type_id=worker("event_id"),
+        num_workers="1 + event_id % 12",
+        autoscale=record(AUTOSCALE, min_workers="event_id % 3", max_workers="3 + event_id % 7"),
+        spark_conf="map('n', '' || (event_id % 16))",
     )
     return _nested(
         read(spark, sf_dir, "events"),
         RECOMMENDATION,
-        prediction_id=F.lpad(e.cast("string"), 18, "0"),
-        project_id=text("p", F.col("user_id") % 60),
-        created_at=F.col("ts"),
+        prediction_id="lpad(CAST(event_id AS STRING), 18, '0')",
+        project_id="'p' || (user_id % 60)",
+        created_at="ts",
         configuration=configuration,
     )
-
-
