@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from runledger.functions.expr import epoch_day, in_window, task_type
-from runledger.operators.skew import SPLIT_ROWS, fits_broadcast, lookup, split_join
-from runledger.operators.usage import join_clusters, match_keys
+from runledger.operators.skew import SPLIT_ROWS, fits_broadcast, lookup
+from runledger.operators.usage import join_clusters, match_keys, split_by_job
 
 CORE_HOUR_RATE = 0.006
 
@@ -120,9 +121,7 @@ def submit_groups(
     if match == "run":
         matched = run_rows.join(known, keys, "left_semi")
     else:
-        matched = split_join(
-            run_rows, known, keys, by=["run_id"], how="left_semi", split_rows=split_rows
-        )
+        matched = split_by_job(run_rows, known, split_rows, how="left_semi")
     return matched.groupBy("day", "task_type").agg(
         F.countDistinct("run_id").alias("distinct_run_ids"),
         F.countDistinct("job_id").alias("distinct_job_ids"),
@@ -187,12 +186,13 @@ def dbu_usage(usage: DataFrame, instances: DataFrame, rate: float) -> DataFrame:
             F.col("dbus").cast("decimal(10,2)").alias(f"{role}_dbus"),
         )
         shapes = shapes.join(F.broadcast(dbus) if small else dbus, f"{role}_node")
-    total = (
-        F.col("driver_hours") * F.col("driver_dbus") + F.col("worker_hours") * F.col("worker_dbus")
-    ).cast("double")
+    # Rounded as decimals too: a half cent has no exact double.
+    total = F.col("driver_hours") * F.col("driver_dbus") + F.col("worker_hours") * F.col(
+        "worker_dbus"
+    )
     return shapes.select(
         "driver_node",
         "worker_node",
-        F.round(total, 2).alias("dbus"),
-        F.round(total * F.lit(float(rate)), 2).alias("dbu_cost"),
+        F.round(total, 2).cast("double").alias("dbus"),
+        F.round(total * F.lit(Decimal(str(rate))), 2).cast("double").alias("dbu_cost"),
     )

@@ -138,7 +138,8 @@ def resolve_tasks(
     )
 
     spread = ["run_id", "task_key"]
-    sizes = {"max_rows": broadcast_rows, "split_rows": split_rows}
+    # Keys are counted in the tasks as they are before the joins.
+    sizes = {"max_rows": broadcast_rows, "split_rows": split_rows, "counted": tasks}
     known = _known_clusters(clusters, fetched, missing_workers)
     tasks = lookup(tasks, known, "cluster_id", spread, **sizes)
     one_pool = _one_per_key(pools, "instance_pool_id", F.struct(*_POOL_COLUMNS.values()))

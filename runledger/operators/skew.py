@@ -62,9 +62,9 @@ def split_join(
     on: Sequence[str],
     by: Sequence[str],
     how: str = "inner",
-    key: Sequence[str] | None = None,
     split_rows: int = SPLIT_ROWS,
-    colocate: bool = False,
+    key: Sequence[str] | None = None,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Equi-join of ``left`` with ``right`` in which hot keys of ``left`` are split.
 
@@ -72,13 +72,13 @@ def split_join(
     ``right`` are repeated once per part, for hot keys only. Rows whose key is NULL match
     nothing; an inner or semi join drops them and a left join spreads them.
 
-    ``key`` names the columns whose hotness counts (default: all of ``on``). With
-    ``colocate`` both sides are partitioned by ``key`` and part alone, and the part is kept
-    as column ``_part``: a later grouping by ``key``, ``_part`` and more needs no shuffle.
+    ``key`` names the columns of ``on`` whose rows are counted (default: all); fewer columns
+    make the count cheaper and split a little more. ``counted`` is the table in which they
+    are counted (default: ``left``); give it where a cheaper one has the same keys.
     """
     on = list(on)
     key = list(key or on)
-    hot = F.broadcast(hot_keys(left, key, split_rows))
+    hot = F.broadcast(hot_keys(left if counted is None else counted, key, split_rows))
     parts = F.coalesce("_parts", F.lit(1))
 
     if how == "left":
@@ -97,10 +97,7 @@ def split_join(
         .withColumn(PART, F.explode(F.sequence(F.lit(0), parts - 1)))
         .drop("_parts")
     )
-    if colocate:
-        left, right = left.repartition(*key, PART), right.repartition(*key, PART)
-    joined = left.join(right, [*on, PART], how)
-    return joined if colocate else joined.drop(PART)
+    return left.join(right, [*on, PART], how).drop(PART)
 
 
 def lookup(
@@ -111,9 +108,10 @@ def lookup(
     how: str = "left",
     max_rows: int = BROADCAST_ROWS,
     split_rows: int = SPLIT_ROWS,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Attach the row of ``dim`` with the same ``on``; ``dim`` has one row per key.
     Broadcast when ``dim`` is measured small, otherwise a split shuffle join."""
     if fits_broadcast(dim, max_rows):
         return df.join(F.broadcast(dim), on, how)
-    return split_join(df, dim, [on], by, how, split_rows=split_rows)
+    return split_join(df, dim, [on], by, how, split_rows, counted=counted)

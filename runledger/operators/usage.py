@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from runledger.functions.expr import provision_method, sentinel_long, size_key
-from runledger.operators.skew import PART, SPLIT_ROWS, fits_broadcast, split_join
+from runledger.operators.skew import SPLIT_ROWS, fits_broadcast, split_join
 from runledger.schemas import DEFINITION_COLUMNS
 
 MATCH_KEYS = {"task": ["job_id", "task_key"], "run": ["job_id", "run_id", "task_key"]}
@@ -49,6 +49,16 @@ def all_job_clusters(clusters: DataFrame, keep_run_id: bool = False) -> DataFram
     )
 
 
+def split_by_job(
+    runs: DataFrame, side: DataFrame, split_rows: int, how: str = "inner"
+) -> DataFrame:
+    """Join of run tasks by job and task, in which the runs of a large job are split."""
+    return split_join(
+        runs, side, MATCH_KEYS["task"], by=["run_id"], how=how, split_rows=split_rows,
+        key=["job_id"],
+    )
+
+
 def join_clusters(
     runs: DataFrame,
     clusters: DataFrame,
@@ -66,7 +76,7 @@ def join_clusters(
     side = clusters.select(*keys, *columns).distinct()
     if match == "run":
         return runs.join(side, keys)
-    return split_join(runs, side, keys, by=["run_id"], split_rows=split_rows)
+    return split_by_job(runs, side, split_rows)
 
 
 def core_hours(
@@ -116,26 +126,19 @@ def run_usage(
     """Distinct (run, cluster shape) rows with duration and core-hours.
 
     Rows carry neither task nor cluster id, so tasks of a run on equal shapes give one row,
-    and each shape is charged for the whole run.
-
-    With ``match='task'`` the run side is shuffled once, by job and part of job. The pairs
-    of one run all lie in one part, so DISTINCT over the much larger result runs in place.
+    and each shape is charged for the whole run. Shapes are made distinct and sized before
+    they meet the runs; the join then forms only pairs that differ, but for tasks of the
+    same run, and those the final DISTINCT removes.
     """
     keys = match_keys(match)
     shapes = sized_shapes(clusters, sizes, keys, normalize_size)
     run_rows = runs.select("job_id", "run_id", "task_key", *RUN_COLUMNS)
-    if match == "task":
-        pairs = split_join(
-            run_rows, shapes, keys, by=["run_id"], key=["job_id"],
-            split_rows=split_rows, colocate=True,
-        )
-        kept = [PART]
-    else:
+    if match == "run":
         pairs = run_rows.dropna(subset=keys).join(shapes, keys)
-        kept = []
+    else:
+        pairs = split_by_job(run_rows, shapes, split_rows)
     start, end = F.col("run_starttime"), F.col("run_endtime")
-    usage = pairs.select(
-        *kept,
+    return pairs.select(
         "job_id",
         "run_id",
         "run_name",
@@ -154,8 +157,7 @@ def run_usage(
         core_hours(
             start, end, F.col("driver_vcps"), F.col("worker_vcps"), F.col("_workers")
         ).alias("core_hrs"),
-    )
-    return usage.distinct().drop(*kept)
+    ).distinct()
 
 
 def size_coverage(

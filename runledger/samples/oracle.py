@@ -173,12 +173,11 @@ hours AS (
   FROM usage GROUP BY driver_node, worker_node),
 priced AS (
   SELECT driver_node, worker_node,
-    CAST(h.d * CAST(i.dbus AS DECIMAL(10,2)) + h.w * CAST(j.dbus AS DECIMAL(10,2)) AS DOUBLE)
-      AS total
+    h.d * CAST(i.dbus AS DECIMAL(10,2)) + h.w * CAST(j.dbus AS DECIMAL(10,2)) AS total
   FROM hours h JOIN instances i ON i.instance_type = driver_node
   JOIN instances j ON j.instance_type = worker_node)
-SELECT driver_node, worker_node, round(total, 2) AS dbus,
-  round(total * 0.2::DOUBLE, 2) AS dbu_cost
+SELECT driver_node, worker_node, CAST(round(total, 2) AS DOUBLE) AS dbus,
+  CAST(round(total * 0.2, 2) AS DOUBLE) AS dbu_cost
 FROM priced"""
 
 # --- nested exports --------------------------------------------------------------
