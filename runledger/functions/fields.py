@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, DataType, MapType, StructType
@@ -45,3 +47,9 @@ def field(
     elif to is not None:
         value = value.try_cast(to)
     return value if default is None else F.coalesce(value, F.lit(default).cast(to))
+
+
+def explode_fields(array: str, names: Sequence[str]) -> Column:
+    """One row per element of an array of structs, with the named fields. Exploding the
+    fields instead of the elements lets the scan leave out the other fields."""
+    return F.explode(F.arrays_zip(*(F.col(f"{array}.{name}") for name in names)))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from runledger.functions.expr import is_terminal
-from runledger.functions.fields import field, field_type
+from runledger.functions.fields import explode_fields, field, field_type
 from runledger.schemas import (
     CLUSTER_INFO,
     DEFINITION_COLUMNS,
@@ -196,8 +196,10 @@ def scan_runs(runs: DataFrame, start_ms: int) -> DataFrame:
 
 def normalize_runs(runs: DataFrame) -> DataFrame:
     """``job_run_info`` from a run listing: one row per task, run columns repeated."""
-    task_type = field_type(runs.schema, "tasks").elementType
-    # The schema of the exploded rows is known, so asking for it costs no analysis.
+    listed = field_type(runs.schema, "tasks").elementType
+    paths = ["task_key", "state", *TASK_TEXT.values(), *TASK_NUMBERS.values()]
+    read = [name for name in dict.fromkeys(p.split(".")[0] for p in paths) if name in listed.names]
+    task_type = StructType([listed[name] for name in read])
     schema = StructType([*runs.schema.fields, StructField("task", task_type)])
     get = partial(_get, schema, "")
     task = partial(_get, schema, "task.")
@@ -216,4 +218,4 @@ def normalize_runs(runs: DataFrame) -> DataFrame:
     }
     columns |= {name: task(path, NOT_AVAILABLE) for name, path in TASK_TEXT.items()}
     columns |= {name: task(path) for name, path in TASK_NUMBERS.items()}
-    return runs.withColumn("task", F.explode("tasks")).select(*_shaped(JOB_RUN_INFO, columns))
+    return runs.withColumn("task", explode_fields("tasks", read)).select(*_shaped(JOB_RUN_INFO, columns))

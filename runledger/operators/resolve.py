@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
+from runledger.functions.fields import explode_fields
 from runledger.operators.normalize import cluster_columns
 from runledger.operators.skew import BROADCAST_ROWS, SPLIT_ROWS, lookup
 from runledger.schemas import (
@@ -48,41 +49,48 @@ _POOL_COLUMNS = {
 }
 
 
+_TASK_FIELDS = (
+    "task_key", "existing_cluster_id", "job_cluster_key", "new_cluster", "cluster_instance",
+)
+
+
 def run_tasks(runs: DataFrame) -> DataFrame:
     """One row per task and candidate definition: a shared cluster that has the task's key,
-    or the definition in the task."""
-
-    def candidates(task: Column) -> Column:
-        shared = F.filter(
-            "job_clusters", lambda c: c["job_cluster_key"] == task["job_cluster_key"]
-        )
-        return (
-            F.when(task["job_cluster_key"].isNotNull(), F.transform(
-                shared, lambda c: c["new_cluster"]
-            ))
-            .when(task["new_cluster"].isNotNull(), F.array(task["new_cluster"]))
-        )
+    or the definition in the task.
 
-    tasks = F.transform(
-        "tasks",
-        lambda t: F.struct(
-            t["task_key"].alias("task_key"),
-            t["existing_cluster_id"].alias("existing_id"),
-            t["job_cluster_key"].isNotNull().alias("is_shared"),
-            t["new_cluster"].isNotNull().alias("is_new"),
-            t["cluster_instance"].isNotNull().alias("is_instance"),
-            t["cluster_instance"]["cluster_id"].alias("instance_id"),
-            F.when(t["existing_cluster_id"].isNull(), candidates(t)).alias("definitions"),
-        ),
+    Only the task fields named here are read, and the run's list of shared clusters is
+    searched but not copied.
+    """
+    shared = F.filter(
+        "job_clusters", lambda c: c["job_cluster_key"] == F.col("task.job_cluster_key")
+    )
+    is_shared = F.col("task.job_cluster_key").isNotNull()
+    is_new = F.col("task.new_cluster").isNotNull()
+    definitions = (
+        F.when(F.col("task.existing_cluster_id").isNotNull(), None)
+        .when(is_shared, shared["new_cluster"])
+        .when(is_new, F.array("task.new_cluster"))
     )
     return (
-        runs.select("job_id", "run_id", F.explode(tasks).alias("t"))
-        .select("job_id", "run_id", "t.*")
+        runs.select(
+            "job_id", "run_id", "job_clusters", explode_fields("tasks", _TASK_FIELDS).alias("task")
+        )
+        .select(
+            "job_id",
+            "run_id",
+            F.col("task.task_key").alias("task_key"),
+            F.col("task.existing_cluster_id").alias("existing_id"),
+            F.col("task.cluster_instance.cluster_id").alias("instance_id"),
+            F.col("task.cluster_instance").isNotNull().alias("is_instance"),
+            is_shared.alias("is_shared"),
+            is_new.alias("is_new"),
+            definitions.alias("definitions"),
+        )
         .select(
-            *("job_id", "run_id", "task_key", "existing_id", "instance_id"),
-            *("is_shared", "is_new", "is_instance"),
+            "*",
             F.explode_outer("definitions").alias("definition"),
         )
+        .drop("definitions")
     )
 
 

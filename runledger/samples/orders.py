@@ -17,6 +17,8 @@ from runledger.schemas import (
     AWS_ATTRIBUTES,
     AZURE_ATTRIBUTES,
     CLUSTER_DEFINITION,
+    EDITABLE_DEFINITION,
+    EDITABLE_JOB_CLUSTER,
     INIT_SCRIPT,
     INSTANCES,
     JOB,
@@ -382,7 +384,7 @@ def job_definitions(spark: SparkSession, sf_dir: str) -> DataFrame:
         autoscale = record(AUTOSCALE, min_workers="1", max_workers=f"{j} % 8")
         logs = "named_struct('dbfs', named_struct('destination', 'dbfs:/logs/' || k))"
         return record(
-            CLUSTER_DEFINITION,
+            EDITABLE_DEFINITION,
             aws_attributes=when("k % 10 <> 9", aws),
             azure_attributes=when("k % 10 = 9", azure),
             driver_node_type_id=driver(j),
@@ -414,7 +416,7 @@ def job_definitions(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
 
     def shared(key: str, shift: int) -> str:
-        return record(JOB_CLUSTER, job_cluster_key=f"'{key}'", new_cluster=cluster(shift))
+        return record(EDITABLE_JOB_CLUSTER, job_cluster_key=f"'{key}'", new_cluster=cluster(shift))
 
     schedule = record(
         JOB["settings"].dataType["schedule"].dataType,

@@ -164,9 +164,9 @@ AUTOSCALE = table((LONG, "min_workers max_workers"))
 STORAGE = struct(destination=STRING)
 INIT_SCRIPT = struct(workspace=STORAGE, dbfs=STORAGE, s3=STORAGE)
 
+# What usage needs of a cluster; a scan of runs reads no more than this.
 CLUSTER_DEFINITION = struct(
     aws_attributes=AWS_ATTRIBUTES,
-    azure_attributes=AZURE_ATTRIBUTES,
     enable_elastic_disk=BOOL,
     enable_local_disk_encryption=BOOL,
     workload_type=struct(clients=struct(jobs=BOOL, notebooks=BOOL)),
@@ -182,9 +182,19 @@ CLUSTER_DEFINITION = struct(
     runtime_engine=STRING,
     spark_conf=STRING_MAP,
     custom_tags=STRING_MAP,
-    cluster_log_conf=struct(dbfs=STORAGE),
-    init_scripts=ArrayType(INIT_SCRIPT),
-    spark_env_vars=STRING_MAP,
+)
+
+# What the checks and rewrites of job definitions need on top.
+EDITABLE_DEFINITION = StructType(
+    [
+        *CLUSTER_DEFINITION,
+        *struct(
+            azure_attributes=AZURE_ATTRIBUTES,
+            cluster_log_conf=struct(dbfs=STORAGE),
+            init_scripts=ArrayType(INIT_SCRIPT),
+            spark_env_vars=STRING_MAP,
+        ),
+    ]
 )
 
 LISTED_CLUSTER = StructType(
@@ -255,12 +265,14 @@ RUN = struct(
 HOOKS = ArrayType(struct(id=STRING))
 WEBHOOKS = struct(on_start=HOOKS, on_success=HOOKS, on_failure=HOOKS)
 
+EDITABLE_JOB_CLUSTER = struct(job_cluster_key=STRING, new_cluster=EDITABLE_DEFINITION)
+
 JOB_TASK = struct(
     task_key=STRING,
     depends_on=ArrayType(struct(task_key=STRING)),
     existing_cluster_id=STRING,
     job_cluster_key=STRING,
-    new_cluster=CLUSTER_DEFINITION,
+    new_cluster=EDITABLE_DEFINITION,
     notebook_task=struct(notebook_path=STRING, source=STRING, base_parameters=STRING_MAP),
     timeout_seconds=LONG,
     webhook_notifications=WEBHOOKS,
@@ -277,9 +289,9 @@ JOB = struct(
         schedule=struct(
             pause_status=STRING, quartz_cron_expression=STRING, timezone_id=STRING
         ),
-        new_cluster=CLUSTER_DEFINITION,
+        new_cluster=EDITABLE_DEFINITION,
         tasks=ArrayType(JOB_TASK),
-        job_clusters=ArrayType(JOB_CLUSTER),
+        job_clusters=ArrayType(EDITABLE_JOB_CLUSTER),
         webhook_notifications=WEBHOOKS,
     ),
 )

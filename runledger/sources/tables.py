@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from runledger.functions.expr import epoch_day
 from runledger.operators.resolve import with_cluster, without_cluster
@@ -52,11 +51,9 @@ def write_tables(
     def store(name: str, df: DataFrame) -> DataFrame:
         writer = df.write.mode("overwrite").format("parquet")
         if runs_by_day and name == "job_run_info":
-            # One day's rows go to few files but never through a single task.
-            dealt = with_run_day(df).repartition(
-                RUN_DAY, F.pmod(F.xxhash64("run_id"), F.lit(16))
-            )
-            writer = dealt.write.mode("overwrite").format("parquet").partitionBy(RUN_DAY)
+            # Rebalancing gathers the rows of a day, but splits a day too large for one task.
+            by_day = with_run_day(df).hint("rebalance", RUN_DAY)
+            writer = by_day.write.mode("overwrite").format("parquet").partitionBy(RUN_DAY)
         if schema is not None:
             writer.saveAsTable(f"`{schema}`.`{name}`")
             return spark.table(f"`{schema}`.`{name}`")
