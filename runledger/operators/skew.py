@@ -31,13 +31,9 @@ def fits_broadcast(
     Runs a job over at most ``max_rows + 1`` rows of ``df``.
     """
     width = F.octet_length(F.to_json(F.struct("*")))
-    rows, size = (
-        df.limit(max_rows + 1)
-        .select(width.alias("width"))
-        .agg(F.count(F.lit(1)), F.coalesce(F.sum("width"), F.lit(0)))
-        .first()
-    )
-    return rows <= max_rows and size <= max_bytes
+    measured = df.select(width.alias("width")).limit(max_rows + 1)
+    rows, size = measured.agg(F.count(F.lit(1)), F.sum("width")).first()
+    return rows <= max_rows and (size or 0) <= max_bytes
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], split_rows: int = SPLIT_ROWS) -> DataFrame:

@@ -34,22 +34,24 @@ def self_join_counts(df: DataFrame, column: str) -> DataFrame:
     return counts.select(column, (F.col("_rows") * F.col("_rows")).alias("pairs"))
 
 
+def _cut(pairs: DataFrame, size: int) -> DataFrame:
+    """Rows cut into pieces that stand for at most ``size`` pairs each."""
+    last = F.ceil(F.col("pairs") / size).cast("bigint") - 1
+    pieces = pairs.select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("piece"))
+    return pieces.withColumn("pairs", F.least(F.lit(size), F.col("pairs") - F.col("piece") * size))
+
+
 def self_join_on(df: DataFrame, column: str) -> DataFrame:
     """The rows of a join of the table with itself on a column, showing that column.
 
-    Values are counted first and written out as often as the join would give them. Copies
-    of repeated values are dealt out in batches, so a frequent value is written by many
-    tasks."""
+    Values are counted first and written out as often as the join would give them. Repeated
+    values are cut into pieces that are dealt to all tasks, so a frequent value is written
+    by many, and no row ever holds more than a few thousand copies.
+    """
     pairs = self_join_counts(df, column)
-    batches = F.ceil(F.col("pairs") / EXPAND_BATCH).cast("bigint")
-    copies = F.least(
-        F.lit(EXPAND_BATCH), F.col("pairs") - F.col("_batch") * EXPAND_BATCH
-    ).cast("int")
-    repeated = (
-        pairs.where(F.col("pairs") > 1)
-        .select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), batches - 1)).alias("_batch"))
-        .repartition(column, "_batch")
-        .select(F.explode(F.array_repeat(F.col(column), copies)).alias(column))
+    large = _cut(pairs.where(F.col("pairs") > 1), EXPAND_BATCH**2).repartition(column, "piece")
+    repeated = _cut(large.drop("piece"), EXPAND_BATCH).select(
+        F.explode(F.array_repeat(F.col(column), F.col("pairs").cast("int"))).alias(column)
     )
     return pairs.where(F.col("pairs") == 1).select(column).union(repeated)
 

@@ -19,6 +19,7 @@ from runledger.schemas import (
     CLUSTER_DEFINITION,
     EDITABLE_DEFINITION,
     EDITABLE_JOB_CLUSTER,
+    FLEET_SIZE,
     INIT_SCRIPT,
     INSTANCES,
     JOB,
@@ -197,12 +198,18 @@ def without_cluster(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _values(spark: SparkSession, rows: tuple[tuple, ...], schema: StructType) -> DataFrame:
+    listed = ", ".join(str(row) for row in rows)
+    df = spark.sql(f"SELECT * FROM VALUES {listed} AS t({', '.join(schema.names)})")
+    return _table(df, schema, **{name: name for name in schema.names})
+
+
 def sizes(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(SIZES, "instance_size string, vcpus bigint")
+    return _values(spark, SIZES, FLEET_SIZE)
 
 
 def instances(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(INSTANCE_ROWS, INSTANCES)
+    return _values(spark, INSTANCE_ROWS, INSTANCES)
 
 
 def pools(spark: SparkSession, sf_dir: str) -> DataFrame:
