@@ -87,12 +87,19 @@ def core_hours(
 
 
 def sized_shapes(
-    clusters: DataFrame, sizes: DataFrame, keys: Sequence[str], normalize_size: bool = False
+    clusters: DataFrame, sizes: DataFrame, match: str, normalize_size: bool = False
 ) -> DataFrame:
-    """Distinct cluster shapes per key with the vcpus of driver and worker. Shapes whose
-    size the catalogue does not list are left out."""
+    """Cluster shapes per key with the vcpus of driver and worker. Shapes whose size the
+    catalogue does not list are left out.
+
+    Shapes of a task over all its runs are made distinct. Those of one run are not: they
+    hardly repeat, and a shuffle to find that out would cost as much as the join.
+    """
+    keys = match_keys(match)
     small = fits_broadcast(sizes)
-    shapes = clusters.select(*keys, *SHAPE_COLUMNS).dropna(subset=list(keys)).distinct()
+    shapes = clusters.select(*keys, *SHAPE_COLUMNS).dropna(subset=keys)
+    if match == "task":
+        shapes = shapes.distinct()
     for role in ("driver", "worker"):
         vcpus = sizes.select(
             F.col("instance_size").alias("_size"), F.col("vcpus").alias(f"{role}_vcps")
@@ -131,7 +138,7 @@ def run_usage(
     same run, and those the final DISTINCT removes.
     """
     keys = match_keys(match)
-    shapes = sized_shapes(clusters, sizes, keys, normalize_size)
+    shapes = sized_shapes(clusters, sizes, match, normalize_size)
     run_rows = runs.select("job_id", "run_id", "task_key", *RUN_COLUMNS)
     if match == "run":
         pairs = run_rows.dropna(subset=keys).join(shapes, keys)

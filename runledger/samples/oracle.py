@@ -27,7 +27,14 @@ from runledger.samples.orders import (
     TASK_COLUMNS,
     WORKER_NODES,
 )
-from runledger.samples.queries import END, SINCE, START, XOR_I, XOR_J
+from runledger.samples.queries import (
+    END,
+    EXPORT_END,
+    SINCE,
+    START,
+    XOR_I,
+    XOR_J,
+)
 from runledger.schemas import DEFINITION_COLUMNS, JOB_RUN_INFO
 
 
@@ -304,7 +311,8 @@ _DEFINED_SQL = ",\n    ".join(f"{_OF_DEFINITION[c]} AS {c}" for c in DEFINITION_
 _KNOWN_SQL = ", ".join(f"a.{c}" for c in DEFINITION_COLUMNS)
 
 _RESOLVED = f"""
-WITH {RUNS}, {_APC}, {_POOLS}, {_WAYS}
+{RUNS}, {_APC}, {_POOLS}, {_WAYS},
+resolved AS (
 SELECT job_id, run_id, task_key, a.cluster_id AS cluster_identifier,
   CASE WHEN way <= 1 THEN 'All Purpose Compute' ELSE 'Jobs Compute' END AS compute_definition,
   {_KNOWN_SQL}
@@ -315,7 +323,27 @@ SELECT job_id, run_id, task_key,
   CASE WHEN pool IS NULL THEN 'Task Defined' ELSE 'Pool Defined' END, 'Jobs Compute',
   {_DEFINED_SQL}
 FROM ways LEFT JOIN pools p ON p.k = pool LEFT JOIN pools d ON d.k = driver_pool
-WHERE found IN ('plain', 'shared plain', 'pooled', 'shared pooled')"""
+WHERE found IN ('plain', 'shared plain', 'pooled', 'shared pooled'))"""
+
+_FROM_EXPORTS = f"""
+WITH {_RESOLVED},
+charged AS (
+  SELECT DISTINCT r.job_id, r.run_id, run_name, r.run_type, run_starttime, run_result_state,
+    driver_node, worker_node, num_workers, autoscale_min, autoscale_max, duration,
+    round(duration / 3600000.0::DOUBLE * d.vcpus
+      + duration / 3600000.0::DOUBLE * w.vcpus * CAST(num_workers AS BIGINT), 2) AS core_hrs
+  FROM job_runs r
+  JOIN resolved c USING (job_id, run_id, task_key)
+  JOIN sizes d ON d.instance_size = split_part(driver_node, '.', -1)
+  JOIN sizes w ON w.instance_size = split_part(worker_node, '.', -1)
+  WHERE run_starttime >= {epoch_ms(SINCE)} AND run_starttime < {epoch_ms(EXPORT_END)}
+    AND run_life_cycle_state <> 'RUNNING')
+SELECT '{SINCE} - {EXPORT_END}' AS period, count(DISTINCT run_name) AS jobs,
+  count(DISTINCT run_id) AS runs, round(sum(core_hrs), 2) AS core_hrs,
+  round(sum(core_hrs) * {365 // (EXPORT_END - SINCE).days}, 2) AS est_annual_core_hrs,
+  round(sum(core_hrs) * {365 // (EXPORT_END - SINCE).days} * 0.006::DOUBLE, 2)
+    AS est_annual_core_hr_cost
+FROM charged"""
 
 _UNRESOLVED = f"""
 WITH {RUNS}, {_APC}, {_POOLS}, {_WAYS}
@@ -578,14 +606,15 @@ SELECT CAST(make_timestamp(r.run_starttime * 1000) AS DATE) AS day, {_TASK_KIND}
   count(DISTINCT r.run_id) AS distinct_run_ids, count(DISTINCT job_id) AS distinct_job_ids
 {_PAIR} GROUP BY 1, 2""",
     "dbu_usage": _DBU,
-    "size_coverage": f"""
+    "coverage": f"""
 WITH {RUNS}, roles AS (
   SELECT 'driver' AS role, driver_node AS node FROM shapes
   UNION ALL SELECT 'worker', worker_node FROM shapes)
 SELECT role, node, split_part(node, '.', -1) AS instance_size, count(*) AS cluster_rows
 FROM roles WHERE split_part(node, '.', -1) NOT IN (SELECT instance_size FROM sizes)
 GROUP BY role, node""",
-    "resolve_clusters": _RESOLVED,
+    "resolve_clusters": f"WITH {_RESOLVED} SELECT * FROM resolved",
+    "estimate_from_exports": _FROM_EXPORTS,
     "unresolved_tasks": _UNRESOLVED,
     "normalize_clusters": _CLUSTER_INFO,
     "normalize_pools": f"WITH {_POOLS} SELECT * EXCLUDE (k) FROM pools",

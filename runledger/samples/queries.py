@@ -10,11 +10,11 @@ from pyspark.sql import functions as F
 
 from runledger.functions.expr import epoch_ms, is_terminal
 from runledger.operators import jobdefs, normalize, reports, resolve, usage, workload
-from runledger.plans.estimate import annual_estimate
+from runledger.plans.estimate import annual_estimate, usage_tables
 from runledger.samples import orders
 
 START, END = dt.date(1997, 3, 1), dt.date(1997, 3, 31)
-SINCE = dt.date(1998, 1, 1)
+SINCE, EXPORT_END = dt.date(1998, 1, 1), dt.date(1998, 7, 1)
 XOR_I, XOR_J = 1000, 500
 
 ONBOARD = jobdefs.OnboardParams(
@@ -95,7 +95,7 @@ def dbu_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def size_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+def coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return usage.size_coverage(orders.with_cluster(spark, sf_dir), orders.sizes(spark))
 
 
@@ -119,6 +119,22 @@ def unresolved_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _resolved(spark, sf_dir)[1]
 
 
+def estimate_from_exports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From the nested exports through every step to the estimate of half a year."""
+    tables = usage_tables(
+        orders.nested_runs(spark, sf_dir),
+        orders.listed_clusters(spark, sf_dir),
+        orders.listed_pools(spark, sf_dir),
+        orders.job_definitions(spark, sf_dir),
+        SINCE,
+        orders.fetched_clusters(spark, sf_dir),
+    )
+    return annual_estimate(
+        tables["job_run_info"], resolve.with_cluster(tables["resolved_tasks"]),
+        orders.sizes(spark), SINCE, EXPORT_END, match="run",
+    )
+
+
 def normalize_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalize.normalize_clusters(orders.listed_clusters(spark, sf_dir))
 
@@ -322,7 +338,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         usage_estimate, usage_estimate_by_run, run_usage, run_usage_by_run, all_job_clusters,
         join_clusters, coverage_audit, result_states, pool_usage, daily_usage, submit_groups,
-        dbu_usage, size_coverage, resolve_clusters, unresolved_tasks, normalize_clusters,
+        dbu_usage, coverage, resolve_clusters, unresolved_tasks, estimate_from_exports,
+        normalize_clusters,
         normalize_pools, cluster_columns, normalize_jobs, normalize_runs, scan_runs,
         terminal_runs, task_prefix, exclude_tasks, filter_gt, filter_ne, self_join_value,
         self_join_counts, id_join, xor_series, sales_amount, wide_random, latest_recommendation,
