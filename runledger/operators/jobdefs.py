@@ -93,7 +93,7 @@ def eligibility(
         ).alias("project_id"),
         ((F.col("settings.format") != MULTI_TASK) | (_cluster_count() == 1)).alias("one_cluster"),
         F.col("cluster").isNotNull().alias("has_cluster"),
-        F.col("cluster.cluster_log_conf.dbfs").isNotNull().alias("logs_on_dbfs"),
+        F.col("cluster.cluster_log_conf.dbfs.destination").isNotNull().alias("logs_on_dbfs"),
     )
     flags = projects.groupBy("project_id").agg(F.max("auto_apply_recs").alias("auto_apply"))
     checked = lookup(facts, flags, "project_id", by=["job_id"], split_rows=split_rows)

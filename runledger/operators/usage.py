@@ -13,7 +13,7 @@ from runledger.schemas import DEFINITION_COLUMNS
 
 MATCH_KEYS = {"task": ["job_id", "task_key"], "run": ["job_id", "run_id", "task_key"]}
 
-RUN_COLUMNS = ["run_name", "run_type", "run_starttime", "run_endtime", "run_result_state"]
+RUN_COLUMNS = ["run_name", "run_type", "run_starttime", "run_result_state"]
 SHAPE_COLUMNS = [
     "driver_node",
     "worker_node",
@@ -79,10 +79,7 @@ def join_clusters(
     return split_by_job(runs, side, split_rows)
 
 
-def core_hours(
-    start: Column, end: Column, driver: Column, worker: Column, workers: Column
-) -> Column:
-    hours = (end - start) / 1000 / 60 / 60
+def core_hours(hours: Column, driver: Column, worker: Column, workers: Column) -> Column:
     return F.round(hours * driver + hours * worker * workers, 2)
 
 
@@ -139,12 +136,20 @@ def run_usage(
     """
     keys = match_keys(match)
     shapes = sized_shapes(clusters, sizes, match, normalize_size)
-    run_rows = runs.select("job_id", "run_id", "task_key", *RUN_COLUMNS)
+    # What depends on the run alone is computed here, not for every pair.
+    minutes = (F.col("run_endtime") - F.col("run_starttime")) / 1000 / 60
+    run_rows = runs.select(
+        "job_id",
+        "run_id",
+        "task_key",
+        *RUN_COLUMNS,
+        F.round(minutes, 2).alias("duration_min"),
+        (minutes / 60).alias("_hours"),
+    )
     if match == "run":
         pairs = run_rows.dropna(subset=keys).join(shapes, keys)
     else:
         pairs = split_by_job(run_rows, shapes, split_rows)
-    start, end = F.col("run_starttime"), F.col("run_endtime")
     return pairs.select(
         "job_id",
         "run_id",
@@ -160,9 +165,9 @@ def run_usage(
         "autoscale_min",
         "autoscale_max",
         "worker_vcps",
-        F.round((end - start) / 1000 / 60, 2).alias("duration_min"),
+        "duration_min",
         core_hours(
-            start, end, F.col("driver_vcps"), F.col("worker_vcps"), F.col("_workers")
+            F.col("_hours"), F.col("driver_vcps"), F.col("worker_vcps"), F.col("_workers")
         ).alias("core_hrs"),
     ).distinct()
 
