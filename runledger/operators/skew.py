@@ -11,15 +11,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 << 20
 
 SPLIT_ROWS = 4_000_000
-NULL_PARTS = 512
-
 PART = "_part"
 
 
@@ -48,10 +46,6 @@ def hot_keys(df: DataFrame, keys: Sequence[str], split_rows: int = SPLIT_ROWS) -
     )
 
 
-def _spread(by: Sequence[str], parts: Column) -> Column:
-    return F.pmod(F.xxhash64(*by), parts).cast("int")
-
-
 def split_join(
     left: DataFrame,
     right: DataFrame,
@@ -76,15 +70,17 @@ def split_join(
     key = list(key or on)
     hot = F.broadcast(hot_keys(left if counted is None else counted, key, split_rows))
     parts = F.coalesce("_parts", F.lit(1))
+    row = F.hash(*by)
+    part = F.pmod(row, parts)
 
     if how == "left":
+        # No row of the other side has to be repeated for these, so every hash is a part.
         no_key = F.lit(False)
         for name in on:
             no_key = no_key | F.col(name).isNull()
-        part = F.when(no_key, _spread(by, F.lit(NULL_PARTS))).otherwise(_spread(by, parts))
+        part = F.when(no_key, row).otherwise(part)
     else:
         left = left.dropna(subset=on)
-        part = _spread(by, parts)
 
     left = left.join(hot, key, "left").withColumn(PART, part).drop("_parts")
     right = (

@@ -286,3 +286,36 @@ def test_join_clusters_forms_no_repeated_pairs(spark):
                                  ["driver_node"])
     assert joined.count() == 10
     assert joined.agg(F.countDistinct("run_id")).first()[0] == 10
+
+
+def test_reports_by_run_see_only_the_cluster_of_the_run(spark):
+    runs = rows_of(spark, JOB_RUN_INFO, [run(run_id=1), run(run_id=2), run(run_id=3)])
+    clusters = rows_of(
+        spark, JOB_RUN_CLUSTER_INFO,
+        [cluster(run_id=1), cluster(run_id=2, compute_definition="All Purpose Compute")],
+    )
+
+    def counts(df):
+        return {r.compute_definition: r.run_count for r in df.collect()}
+
+    assert counts(reports.daily_usage(runs, clusters)) == {
+        "Jobs Compute": 3, "All Purpose Compute": 3,
+    }
+    assert counts(reports.daily_usage(runs, clusters, match="run")) == {
+        "Jobs Compute": 1, "All Purpose Compute": 1,
+    }
+    groups = {
+        match: reports.submit_groups(runs, clusters, match=match).first().distinct_run_ids
+        for match in ("task", "run")
+    }
+    assert groups == {"task": 3, "run": 2}
+
+
+def test_pairing_by_run_never_gives_more_pairs(spark, sf_dir):
+    runs = orders.runs(spark, sf_dir).select("job_id", "run_id", "task_key")
+    clusters = orders.with_cluster(spark, sf_dir)
+    pairs = {
+        match: usage.join_clusters(runs, clusters, ["driver_node"], match).count()
+        for match in ("task", "run")
+    }
+    assert 0 < pairs["run"] <= pairs["task"]
