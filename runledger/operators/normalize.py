@@ -58,7 +58,8 @@ TASK_NUMBERS = {
 def _shaped(schema: StructType, columns: dict[str, Column]) -> list[Column]:
     """Columns in the order and types of a table; one that is not given is NULL."""
     return [
-        columns.get(f.name, F.lit(None)).cast(f.dataType.simpleString()).alias(f.name) for f in schema.fields
+        columns.get(f.name, F.lit(None)).cast(f.dataType.simpleString()).alias(f.name)
+        for f in schema.fields
     ]
 
 
@@ -218,4 +219,5 @@ def normalize_runs(runs: DataFrame) -> DataFrame:
     }
     columns |= {name: task(path, NOT_AVAILABLE) for name, path in TASK_TEXT.items()}
     columns |= {name: task(path) for name, path in TASK_NUMBERS.items()}
-    return runs.withColumn("task", explode_fields("tasks", read)).select(*_shaped(JOB_RUN_INFO, columns))
+    tasks = runs.withColumn("task", explode_fields("tasks", read))
+    return tasks.select(*_shaped(JOB_RUN_INFO, columns))

@@ -672,7 +672,8 @@ summed AS (
   SELECT bucket, round(sum(xor(v, 2) / d + xor(v, 3) / d + xor(v, 4) / d), 2)
     AS factorial_value
   FROM steps GROUP BY bucket)
-SELECT l_orderkey, l_linenumber, bucket, factorial_value FROM bucketed JOIN summed USING (bucket)""",
+SELECT l_orderkey, l_linenumber, bucket, factorial_value
+FROM bucketed JOIN summed USING (bucket)""",
     "sales_amount": """
 SELECT l_orderkey AS InvoiceNo, l_quantity AS Quantity, l_extendedprice AS UnitPrice,
   l_quantity * l_extendedprice AS SalesAmount

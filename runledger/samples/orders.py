@@ -114,7 +114,10 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per order: ``lines``, the smallest part key of each of its line numbers."""
     items = read(spark, sf_dir, "lineitem").groupBy("l_orderkey")
     smallest = items.agg(
-        *(F.expr(f"min(l_partkey) FILTER (WHERE l_linenumber = {n})").alias(f"line{n}") for n in LINES)
+        *(
+            F.expr(f"min(l_partkey) FILTER (WHERE l_linenumber = {n})").alias(f"line{n}")
+            for n in LINES
+        )
     )
     lines = ", ".join(f"named_struct('n', {n}, 'mp', line{n})" for n in LINES)
     return (
@@ -275,8 +278,11 @@ def nested_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         task_key="'t' || l.n",
         existing_cluster_id=when("l.mp % 9 < 2", "'apc_' || (l.mp % 150)"),
         job_cluster_key=when("l.mp % 9 IN (2, 3)", "'shared_' || (l.mp div 9 % 3)"),
-        new_cluster=f"CASE WHEN l.mp % 9 IN (4, 5) THEN {plain} WHEN l.mp % 9 = 6 THEN {pooled} END",
-        cluster_instance=when("l.mp % 9 = 7", "named_struct('cluster_id', 'apc_' || (l.mp % 150))"),
+        new_cluster=f"CASE WHEN l.mp % 9 IN (4, 5) THEN {plain}"
+        f" WHEN l.mp % 9 = 6 THEN {pooled} END",
+        cluster_instance=when(
+            "l.mp % 9 = 7", "named_struct('cluster_id', 'apc_' || (l.mp % 150))"
+        ),
         start_time="run_starttime",
         execution_duration="duration",
         state="named_struct('result_state', run_result_state)",
@@ -416,7 +422,8 @@ def job_definitions(spark: SparkSession, sf_dir: str) -> DataFrame:
         return record(
             JOB_TASK,
             task_key=f"'t{i}'",
-            job_cluster_key=f"CASE (k + {i}) % 5 WHEN 4 THEN NULL WHEN 3 THEN 'aux' ELSE 'main' END",
+            job_cluster_key=f"CASE (k + {i}) % 5 WHEN 4 THEN NULL WHEN 3 THEN 'aux'"
+            " ELSE 'main' END",
             new_cluster=when(f"(k + {i}) % 5 = 4", cluster(10 * i)),
             notebook_task=when(f"(k + {i}) % 2 = 0", notebook),
             webhook_notifications=when(f"(k + {i}) % 4 = 0", hooks(i)),
@@ -441,7 +448,8 @@ def job_definitions(spark: SparkSession, sf_dir: str) -> DataFrame:
         schedule=when("k % 2 = 0", schedule),
         new_cluster=when("k % 4 = 0 AND k % 12 <> 0", cluster(3)),
         tasks=when(
-            "k % 4 <> 0", f"slice(array({task(1)}, {task(2)}, {task(3)}), 1, CAST(1 + k % 3 AS INT))"
+            "k % 4 <> 0",
+            f"slice(array({task(1)}, {task(2)}, {task(3)}), 1, CAST(1 + k % 3 AS INT))",
         ),
         job_clusters=when(
             "k % 4 <> 0 AND k % 7 <> 0",

@@ -62,7 +62,8 @@ def test_eligibility_names_the_first_rule_that_fails(spark):
         job(4, "SINGLE_TASK"),
         job(5, tasks=one, job_clusters=[shared("k", cluster_log_conf={"dbfs": {}})]),
         job(6, tasks=one, job_clusters=[shared("k", **(GOOD | {"custom_tags": {TAG: "off"}}))]),
-        job(7, tasks=one, job_clusters=[shared("k", **(GOOD | {"cluster_log_conf": {"dbfs": {}}}))]),
+        job(7, tasks=one,
+            job_clusters=[shared("k", **(GOOD | {"cluster_log_conf": {"dbfs": {}}}))]),
         job(8, tasks=one, job_clusters=[shared("k", **(GOOD | {"custom_tags": {TAG: "gone"}}))]),
         # A task with a key counts by its key, whatever else it has.
         job(9, tasks=[{"job_cluster_key": "k", "new_cluster": GOOD}], job_clusters=[]),

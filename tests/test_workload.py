@@ -36,7 +36,8 @@ def test_random_columns_repeat_with_the_seed(spark):
 
 
 def test_filters(spark):
-    df = spark.createDataFrame([(0.4, 1.0), (0.5, 0.5), (0.6, 0.6), (0.7, None)], "a double, b double")
+    rows = [(0.4, 1.0), (0.5, 0.5), (0.6, 0.6), (0.7, None)]
+    df = spark.createDataFrame(rows, "a double, b double")
     assert [r.a for r in workload.filter_gt(df, "a", 0.5).collect()] == [0.6, 0.7]
     assert [r.a for r in workload.filter_ne(df, "a", "b").collect()] == [0.4]
 
