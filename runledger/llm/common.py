@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import uuid
+from collections import Counter
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from runledger.operators.skew import fits_broadcast, split_join
+
 # Set only where the cluster names no folder: a single machine, as in tests.
 LOCAL_CHECKPOINTS = "/tmp/runledger-checkpoints"
 
@@ -42,35 +45,72 @@ def fold(doc_id: Column | str, folds: int) -> Column:
                    else doc_id.cast("string").cast("binary")) % folds
 
 
+# A document is known by its id (NULL is an id of its own) and the hash of its text.
+KEY = ["_none", "_d", "_k"]
+
+
+def document_key(doc_id: Column | str, text_key: Column | str) -> list[Column]:
+    """The columns of ``KEY``, none of which is ever NULL."""
+    doc_id = F.col(doc_id) if isinstance(doc_id, str) else doc_id
+    text_key = F.col(text_key) if isinstance(text_key, str) else text_key
+    return [
+        doc_id.isNull().alias("_none"),
+        F.coalesce(doc_id.cast("long"), F.lit(0).cast("long")).alias("_d"),
+        text_key.alias("_k"),
+    ]
+
+
+def attach(left: DataFrame, right: DataFrame, on: list[str], by: list[str], how: str) -> DataFrame:
+    """Equi-join on columns without NULL: the right side is broadcast if measured small, else
+    hot keys of the left one are split by the hash of its ``by`` columns."""
+    if fits_broadcast(right):
+        return left.join(F.broadcast(right), on, how)
+    return split_join(left, right, on, by, how)
+
+
+def without_repeats(docs: DataFrame, repeated: DataFrame) -> DataFrame:
+    """``docs`` (with the columns of ``KEY``) with one row for each of the ``repeated`` keys.
+    Only rows of such keys are compared."""
+    if repeated.isEmpty():
+        return docs
+    once = attach(docs, repeated, KEY, KEY, "left_semi").dropDuplicates(KEY)
+    return attach(docs, repeated, KEY, KEY, "left_anti").unionByName(once)
+
+
 def sampled_texts(
-    rows: DataFrame, id_col: str, text_col: str, keep: list[str], max_docs: int, max_bytes: int
+    rows: DataFrame, id_col: str, text_col: str, keep: list[str],
+    max_docs: int, max_bytes: int, per: str | None = None,
 ) -> list[tuple]:
-    """A bounded sample of labelled rows for a classifier: the whole texts of the first
-    ``max_docs`` rows by the hash of their id, as long as they hold at most ``max_bytes``
-    together (a text that would exceed this is passed over, so none is cut). Returns
-    (text, *keep) tuples in that order, the same on every run."""
+    """A bounded sample of labelled rows for a classifier: (text, *keep) of the first rows by
+    the hash of their id, at most ``max_docs`` rows and ``max_bytes`` of text, for each value
+    of ``per`` if given. Texts are whole; one that would exceed the bound is passed over. The
+    same on every run. Rows without a text are left out, repeated rows count repeatedly."""
+    group = F.col(per) if per else F.lit(0)
     order = F.xxhash64(F.col(id_col).cast("string"), F.lit(17))
-    sized = rows.where(F.col(text_col).isNotNull()).select(
-        order.alias("_h"), F.col(id_col).alias("_id"), F.octet_length(text_col).alias("_n")
+    sized = rows.where(F.col(text_col).isNotNull() & F.col(id_col).isNotNull()).select(
+        group.alias("_g"), order.alias("_h"), F.col(id_col).alias("_id"), F.col(text_col).alias("_t"),
+        F.octet_length(text_col).alias("_n"), *(F.col(c).alias(f"_k{i}") for i, c in enumerate(keep)),
     )
-    chosen, total = [], 0
-    for row in sized.orderBy("_h", "_id").limit(max_docs).collect():
-        if total + row["_n"] <= max_bytes:
-            chosen.append(row["_id"])
-            total += row["_n"]
-    found = (
-        rows.where(F.col(id_col).isin(chosen) if chosen else F.lit(False))
-        .select(order.alias("_h"), F.col(id_col).alias("_id"), text_col, *keep)
-        .collect()
-    )
-    found.sort(key=lambda r: (r["_h"], str(r["_id"]), r[text_col]))
-    # A repeated row counts once for each time it occurs, within the same bound.
-    out, total = [], 0
-    for row in found[:max_docs]:
-        size = len(row[text_col].encode())
-        if total + size <= max_bytes:
-            out.append(tuple(row[c] for c in [text_col, *keep]))
-            total += size
+    first = Window.partitionBy("_g").orderBy("_h", "_id", "_n")
+    ranked = sized.select("_g", "_h", "_id", "_n").withColumn("_r", F.row_number().over(first))
+    chosen, total = {}, Counter()
+    for row in sorted(ranked.where(F.col("_r") <= max_docs).collect(), key=lambda r: r["_r"]):
+        if total[row["_g"]] + row["_n"] <= max_bytes:
+            chosen[row["_id"]] = chosen.get(row["_id"], 0) + 1
+            total[row["_g"]] += row["_n"]
+    if not chosen:
+        return []
+    wanted = rows.sparkSession.createDataFrame([(i,) for i in chosen], ["_id"]).distinct()
+    wanted = wanted.withColumn("_id", F.col("_id").cast(sized.schema["_id"].dataType))
+    # At most max_docs ids for each group.
+    found = sized.join(F.broadcast(wanted), "_id", "left_semi").collect()
+    found.sort(key=lambda r: (r["_h"], str(r["_id"]), r["_n"], r["_t"]))
+    out, total = [], Counter()
+    for row in found:
+        if total[row["_g"]] + row["_n"] <= max_bytes and chosen.get(row["_id"], 0) > 0:
+            chosen[row["_id"]] -= 1
+            total[row["_g"]] += row["_n"]
+            out.append((row["_t"], *(row[f"_k{i}"] for i in range(len(keep)))))
     return out
 
 
@@ -110,6 +150,41 @@ def split_words(texts: pa.Array, lower: bool = True) -> tuple[np.ndarray, pa.Arr
     return before[offsets], words.filter(pa.array(real))
 
 
+def _byte_table() -> np.ndarray:
+    """Lower-cases A-Z and makes every other ASCII byte but digits and letters a space."""
+    table = np.arange(256, dtype=np.uint8)
+    for b in range(128):
+        c = chr(b)
+        table[b] = ord(c.lower()) if c.isalnum() else 0x20
+    return table
+
+
+BYTE_TABLE = _byte_table()
+
+
+def alnum_words(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """Bounds and words of texts: runs of digits, lower-cased letters and non-ASCII."""
+    texts = pc.fill_null(texts, "").cast(pa.large_string())
+    if isinstance(texts, pa.ChunkedArray):
+        texts = texts.combine_chunks()
+    offsets = np.frombuffer(texts.buffers()[1], np.int64)[
+        texts.offset : texts.offset + len(texts) + 1
+    ]
+    data = texts.buffers()[2]
+    raw = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]] if data else np.zeros(0, np.uint8)
+    plain = pa.LargeStringArray.from_buffers(
+        len(texts),
+        pa.py_buffer((offsets - offsets[0]).tobytes()),
+        pa.py_buffer(BYTE_TABLE[raw].tobytes()),
+    )
+    lists = pc.ascii_split_whitespace(plain)
+    words = lists.flatten()
+    real = np.asarray(pc.not_equal(words, "")) if len(words) else np.zeros(0, bool)
+    before = np.concatenate([[0], np.cumsum(real)])
+    starts = np.asarray(lists.offsets).astype(np.int64)
+    return before[starts], words.filter(pa.array(real))
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """Finalizer of splitmix64: spreads the bits of 64-bit integers."""
     x = x.astype(np.uint64, copy=True)

@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from runledger.llm.common import slices, written
+from runledger.llm.common import alnum_words, slices, written
 
 WINDOW = 13
 ITEM_BLOCK_BYTES = 16 << 20
@@ -46,41 +46,6 @@ SUMMARY_SCHEMA = (
 MATCH_SCHEMA = "doc_id long, text_key long, item_id string, kind string, word long, span int"
 
 
-def _byte_table() -> np.ndarray:
-    """Lower-cases A-Z and makes every other ASCII byte but digits and letters a space."""
-    table = np.arange(256, dtype=np.uint8)
-    for b in range(128):
-        c = chr(b)
-        table[b] = ord(c.lower()) if c.isalnum() else 0x20
-    return table
-
-
-BYTE_TABLE = _byte_table()
-
-
-def terms_of(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
-    """Bounds and words of texts: runs of digits, lower-cased letters and non-ASCII."""
-    texts = pc.fill_null(texts, "").cast(pa.large_string())
-    if isinstance(texts, pa.ChunkedArray):
-        texts = texts.combine_chunks()
-    offsets = np.frombuffer(texts.buffers()[1], np.int64)[
-        texts.offset : texts.offset + len(texts) + 1
-    ]
-    data = texts.buffers()[2]
-    raw = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]] if data else np.zeros(0, np.uint8)
-    plain = pa.LargeStringArray.from_buffers(
-        len(texts),
-        pa.py_buffer((offsets - offsets[0]).tobytes()),
-        pa.py_buffer(BYTE_TABLE[raw].tobytes()),
-    )
-    lists = pc.ascii_split_whitespace(plain)
-    words = lists.flatten()
-    real = np.asarray(pc.not_equal(words, "")) if len(words) else np.zeros(0, bool)
-    before = np.concatenate([[0], np.cumsum(real)])
-    starts = np.asarray(lists.offsets).astype(np.int64)
-    return before[starts], words.filter(pa.array(real))
-
-
 @dataclass
 class Windows:
     """Windows of one block of items. Row w of ``terms`` holds the term numbers of window w in
@@ -97,7 +62,7 @@ class Windows:
     def of(cls, items: Sequence[tuple[str, str | None]], size: int = WINDOW) -> Windows:
         names = sorted({name for name, _ in items})
         number = {name: i for i, name in enumerate(names)}
-        bounds, words = terms_of(pa.array([text for _, text in items], pa.string()))
+        bounds, words = alnum_words(pa.array([text for _, text in items], pa.string()))
         encoded = words.dictionary_encode()
         ids = np.asarray(encoded.indices).astype(np.int32)
         rows, owners = [], []
@@ -144,7 +109,7 @@ def build_index(docs: DataFrame, vocabulary: pa.Array, doc_id: str, text: str) -
 
 
 def _shard(number: int, rows: pa.RecordBatch, texts: pa.Array, terms: pa.Array) -> pa.RecordBatch:
-    bounds, words = terms_of(texts)
+    bounds, words = alnum_words(texts)
     ids = pc.fill_null(pc.index_in(words, value_set=terms), -1)
     ids = np.asarray(ids).astype(np.int32)
     # One free position between documents, so that no phrase spans two of them.

@@ -8,11 +8,86 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from runledger.llm.common import read_table
+from runledger.llm import language_id, quality, toxicity
+from runledger.llm.common import fold, read_table
 from runledger.llm.decontamination import contamination
+from runledger.llm.jaccard_join import near_duplicates
+from runledger.llm.line_dedup import dedup_lines
+from runledger.llm.mixing import mix
+from runledger.llm.neighbours import nearest
 from runledger.llm.token_counts import token_counts
+from runledger.llm.url_filters import judge_urls, rule_table
 
 TOKEN_LIMIT = 512
+NEIGHBOURS = 20
+RULES = [
+    ("net", "/", "block"),
+    ("example.net", "/en/", "allow"),
+    ("example.com", "/de/", "block"),
+    ("org", "/fr/", "allow"),
+]
+
+
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mix(read_table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source", "source_size", "target", "copies", "taken")
+
+
+def op2_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings")
+    return nearest(vectors, F.col("id") % 20 == 0, NEIGHBOURS)
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = read_table(spark, sf_dir, "labels")
+    network = toxicity.learn(docs, labels, fold("_id", 5) != 0)
+    scored = toxicity.toxicity(docs, network)
+    held_out = F.coalesce(fold("doc_id", 5) == 0, F.lit(False))
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
+    judged = judge_urls(pages, rule_table(spark, RULES))
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language_id.learn(
+        docs, fold("doc_id", 3) != 1, public_tokenizers.path("piece_bpe_32k.model")
+    )
+    held_out = F.coalesce(fold("doc_id", 3) == 1, F.lit(False)).alias("held_out")
+    found = language_id.identify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", held_out, "lang_pred", "score")
+
+
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return dedup_lines(docs).select("doc_id", "text", "n_lines", "n_removed")
+
+
+def grades(labels: DataFrame) -> DataFrame:
+    """Ratings made of two marks: 0 for poor text, 1 for good but toxic text, 2 for good."""
+    clean = 1 - F.coalesce("toxic", F.lit(0))
+    return labels.select("doc_id", F.when(F.col("quality") == 1, 1 + clean).otherwise(
+        F.col("quality")).alias("grade"))
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    ratings = grades(read_table(spark, sf_dir, "labels"))
+    model = quality.learn(docs, ratings, fold("_id", 5) != 0)
+    held_out = F.coalesce(fold("doc_id", 5) == 0, F.lit(False)).alias("held_out")
+    return quality.quality(docs, model, least=1).select(
+        "doc_id", held_out, "expected_grade", "tail_probability", "selected"
+    )
 
 
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,8 +105,56 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_mixing": op1_mixing,
+    "op2_neighbours": op2_neighbours,
+    "op3_toxicity": op3_toxicity,
+    "op4_url_filters": op4_url_filters,
+    "op5_language_id": op5_language_id,
+    "op6_jaccard_join": op6_jaccard_join,
+    "op7_line_dedup": op7_line_dedup,
+    "op8_quality": op8_quality,
     "op9_decontamination": op9_decontamination,
     "op10_token_counts": op10_token_counts,
 }
 
-ORACLE: dict[str, str] = {}
+URL_RULES_SQL = """
+WITH parsed AS (
+  SELECT page_id, CASE WHEN instr(url, '://') > 0
+                       THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest
+  FROM pages
+), split AS (
+  SELECT page_id, lower(regexp_extract(rest, '^[^/?#]*', 0)) AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM parsed
+), rules(rhost, rpath, verdict) AS (
+  VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'),
+         ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')
+)
+SELECT s.page_id, s.host, s.path,
+       (SELECT rhost || rpath FROM rules
+        WHERE (s.host = rhost OR ends_with(s.host, '.' || rhost)) AND starts_with(s.path, rpath)
+        ORDER BY length(rhost || rpath) DESC LIMIT 1) AS rule,
+       coalesce((SELECT verdict FROM rules
+        WHERE (s.host = rhost OR ends_with(s.host, '.' || rhost)) AND starts_with(s.path, rpath)
+        ORDER BY length(rhost || rpath) DESC LIMIT 1), 'allow') AS verdict
+FROM split s
+"""
+
+NEIGHBOURS_SQL = """
+WITH v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), pairs AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.e, c.e) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0
+), ranked AS (
+  SELECT query_id, CAST(row_number() OVER (
+    PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+  FROM pairs
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
+
+ORACLE: dict[str, str] = {"op2_neighbours": NEIGHBOURS_SQL, "op4_url_filters": URL_RULES_SQL}
