@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -115,16 +115,17 @@ def sampled_texts(
 
 
 def slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[pa.Array]:
-    """Consecutive pieces of an array of texts, of about ``limit`` bytes or a single text."""
+    """Consecutive pieces of an array of texts, of about ``limit`` bytes or a single text. They
+    are copies: some string kernels of Arrow read views from the wrong place."""
     sizes = np.asarray(pc.fill_null(pc.binary_length(texts), 0)).astype(np.int64)
     start, total = 0, 0
     for i, n in enumerate(sizes.tolist()):
         if i > start and total + n > limit:
-            yield texts.slice(start, i - start)
+            yield texts.take(pa.array(np.arange(start, i)))
             start, total = i, 0
         total += n
     if start < len(texts):
-        yield texts.slice(start)
+        yield texts.take(pa.array(np.arange(start, len(texts))))
 
 
 def text_column(
@@ -135,35 +136,19 @@ def text_column(
     return [np.concatenate(columns) for columns in zip(*parts, strict=True)] if parts else []
 
 
-def split_words(texts: pa.Array, lower: bool = True) -> tuple[np.ndarray, pa.Array]:
-    """Words of texts, cut at the six ASCII white-space characters, as (bounds, words):
-    those of text i are ``words[bounds[i]:bounds[i + 1]]``. A NULL text has none."""
-    texts = pc.fill_null(texts, "")
-    if isinstance(texts, pa.ChunkedArray):
-        texts = texts.combine_chunks()
-    texts = texts.cast(pa.large_string())
-    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts) if lower else texts)
-    words = lists.flatten()
-    offsets = np.asarray(lists.offsets).astype(np.int64) - lists.offsets[0].as_py()
-    real = np.asarray(pc.not_equal(words, "")) if len(words) else np.zeros(0, bool)
-    before = np.concatenate([[0], np.cumsum(real)])
-    return before[offsets], words.filter(pa.array(real))
-
-
-def _byte_table() -> np.ndarray:
-    """Lower-cases A-Z and makes every other ASCII byte but digits and letters a space."""
+def _byte_table(separators: Iterable[int]) -> np.ndarray:
+    """Lower-cases A-Z and makes the given bytes spaces."""
     table = np.arange(256, dtype=np.uint8)
-    for b in range(128):
-        c = chr(b)
-        table[b] = ord(c.lower()) if c.isalnum() else 0x20
+    table[ord("A") : ord("Z") + 1] += 32
+    table[list(separators)] = 0x20
     return table
 
 
-BYTE_TABLE = _byte_table()
+WHITE_SPACE = _byte_table([0x20, *range(0x09, 0x0E)])
+NOT_ALNUM = _byte_table(b for b in range(128) if not chr(b).isalnum())
 
 
-def alnum_words(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
-    """Bounds and words of texts: runs of digits, lower-cased letters and non-ASCII."""
+def _words(texts: pa.Array, table: np.ndarray) -> tuple[np.ndarray, pa.Array]:
     texts = pc.fill_null(texts, "").cast(pa.large_string())
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
@@ -171,11 +156,11 @@ def alnum_words(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
         texts.offset : texts.offset + len(texts) + 1
     ]
     data = texts.buffers()[2]
-    raw = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]] if data else np.zeros(0, np.uint8)
+    raw = np.frombuffer(data, np.uint8) if data else np.zeros(0, np.uint8)
     plain = pa.LargeStringArray.from_buffers(
         len(texts),
         pa.py_buffer((offsets - offsets[0]).tobytes()),
-        pa.py_buffer(BYTE_TABLE[raw].tobytes()),
+        pa.py_buffer(table[raw[offsets[0] : offsets[-1]]].tobytes()),
     )
     lists = pc.ascii_split_whitespace(plain)
     words = lists.flatten()
@@ -185,6 +170,17 @@ def alnum_words(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
     return before[starts], words.filter(pa.array(real))
 
 
+def split_words(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """Words of texts, A-Z lower-cased and cut at the six ASCII white-space characters, as
+    (bounds, words): those of text i are ``words[bounds[i]:bounds[i + 1]]``. NULL has none."""
+    return _words(texts, WHITE_SPACE)
+
+
+def alnum_words(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """Bounds and words of texts: runs of digits, letters (A-Z lower-cased) and non-ASCII."""
+    return _words(texts, NOT_ALNUM)
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """Finalizer of splitmix64: spreads the bits of 64-bit integers."""
     x = x.astype(np.uint64, copy=True)

@@ -71,7 +71,9 @@ def shingle_sets(texts: pa.Array, words: int = WORDS) -> tuple[np.ndarray, np.nd
     short = (within == 0) & (n[text] < words) if len(h) else np.zeros(0, bool)
     for i in np.flatnonzero(short):
         m = n[text[i]]
-        total[i] = (h[i : i + m] * odd[:m]).sum() + np.uint64(m) * np.uint64(0xD1B54A32D192ED03)
+        # The number of words is part of it: arrays, as they wrap around without a warning.
+        size = np.array([m], np.uint64) * np.array([0xD1B54A32D192ED03], np.uint64)
+        total[i] = ((h[i : i + m] * odd[:m]).sum(keepdims=True) + size)[0]
     at = starts | short
     value, text = mix64(total[at]), text[at]
     order = np.lexsort((value, text))

@@ -36,7 +36,7 @@ def letter_words(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
     texts = pc.fill_null(texts, "").cast(pa.large_string())
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
-    lists = pc.split_pattern_regex(pc.utf8_lower(texts), r"[^\p{L}]+")
+    lists = pc.split_pattern_regex(pc.utf8_lower(texts), pattern=r"[^\p{L}]+")
     words = lists.flatten()
     real = np.asarray(pc.not_equal(words, "")) if len(words) else np.zeros(0, bool)
     before = np.concatenate([[0], np.cumsum(real)])
