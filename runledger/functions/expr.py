@@ -70,7 +70,7 @@ def size_key(node: Column | str, normalize: bool = False) -> Column:
     suffix = F.substring_index(node, ".", -1)
     if not normalize:
         return suffix
-    short = F.replace(F.substring(node, 10, 1000), F.lit("_"), F.lit(" "))
+    short = F.replace(F.substr(node, F.lit(10)), F.lit("_"), F.lit(" "))
     return F.when(node.startswith("Standard_"), short).otherwise(suffix)
 
 

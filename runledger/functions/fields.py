@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, DataType, MapType, StructType
 
@@ -49,6 +49,40 @@ def field(
     return value if default is None else F.coalesce(value, F.lit(default).cast(to))
 
 
+def _conformed(value: Column, have: DataType, want: DataType) -> Column:
+    if isinstance(want, StructType) and isinstance(have, StructType):
+        fields = F.struct(
+            *(
+                (
+                    _conformed(value[f.name], have[f.name].dataType, f.dataType)
+                    if f.name in have.names
+                    else F.lit(None).cast(f.dataType)
+                ).alias(f.name)
+                for f in want.fields
+            )
+        )
+        return F.when(value.isNotNull(), fields)
+    if isinstance(want, ArrayType) and isinstance(have, ArrayType):
+        return F.transform(value, lambda x: _conformed(x, have.elementType, want.elementType))
+    return value if have == want else value.cast(want)
+
+
+def conformed(df: DataFrame, schema: StructType) -> DataFrame:
+    """``df`` with the columns and nested fields of ``schema``; those an export lacks are NULL.
+    A table that has them all is returned as it is, so that a scan can still leave out fields."""
+    if all(name in df.columns and df.schema[name].dataType == schema[name].dataType
+           for name in schema.names):
+        return df
+    return df.select(
+        *(
+            _conformed(F.col(f.name), df.schema[f.name].dataType, f.dataType).alias(f.name)
+            if f.name in df.columns
+            else F.lit(None).cast(f.dataType).alias(f.name)
+            for f in schema.fields
+        )
+    )
+
+
 def explode_fields(array: str, names: Sequence[str]) -> Column:
     """One row per element of an array of structs, with the named fields. Exploding the
     fields instead of the elements lets the scan leave out the other fields."""

@@ -9,6 +9,7 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -190,3 +191,33 @@ def mix64(x: np.ndarray) -> np.ndarray:
     x *= np.uint64(0x94D049BB133111EB)
     x ^= x >> np.uint64(31)
     return x
+
+
+SHORT_WORD = 64
+
+
+def hash_words(words: pa.Array) -> np.ndarray:
+    """64-bit hashes of words, equal words having equal hashes on every machine. Words of equal
+    length are hashed together, eight bytes at a time; very long ones one by one."""
+    words = words.cast(pa.large_string())
+    out = np.zeros(len(words), np.uint64)
+    if not len(words):
+        return out
+    offsets = np.frombuffer(words.buffers()[1], np.int64)[words.offset : words.offset + len(words) + 1]
+    data = np.frombuffer(words.buffers()[2], np.uint8)
+    lengths = np.diff(offsets)
+    order = np.argsort(lengths, kind="stable")
+    for group in np.split(order, np.flatnonzero(np.diff(lengths[order])) + 1):
+        n = int(lengths[group[0]])
+        if n > SHORT_WORD:
+            out[group] = [
+                xxhash.xxh64_intdigest(data[offsets[i] : offsets[i + 1]].tobytes()) for i in group
+            ]
+            continue
+        padded = np.zeros((len(group), -(-max(n, 1) // 8) * 8), np.uint8)
+        padded[:, :n] = data[offsets[group][:, None] + np.arange(n)]
+        h = np.full(len(group), n + 1, np.uint64)
+        for block in padded.view(np.uint64).T:
+            h = mix64(h * np.uint64(0x9E3779B97F4A7C15) + block)
+        out[group] = h
+    return out

@@ -4,10 +4,11 @@ Each document becomes its set of distinct 5-word shingles; documents with equal
 node. Shingles are ordered rare first by a count over the whole corpus. Two sets that overlap
 enough share a shingle among the first few of either (prefix filter), so only those are joined.
 
-A prefix shingle's list, sorted by set size, is turned into a chain of neighbours that the
-length filter lets pass: it has one edge per row however long the list is, yet connects all
-that the list could pair. Connected components of the chains are the groups inside which sets
-must be compared; a large group is cut into blocks, and blocks meet in tiles. In a tile, pairs
+A prefix shingle's list, sorted by set size, gives candidate edges: the pairs that the length
+and positional filters let pass or, of a long list, a chain of neighbours that connects all it
+could pair. So there are a bounded number of edges per row however long a list is. Connected
+components of the edges are the groups inside which sets must be compared; a large group is cut
+into blocks, and blocks meet in tiles. In a tile, pairs
 are generated from shared prefix shingles, pruned by the length, positional and suffix filters,
 and verified once, at their first common shingle. What a tile returns is a spanning forest of
 its links, never all pairs. Components of the links are the result.
@@ -23,7 +24,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,6 +31,7 @@ from runledger.llm.common import (
     KEY,
     attach,
     document_key,
+    hash_words,
     mix64,
     slices,
     split_words,
@@ -42,8 +43,9 @@ from runledger.llm.components import components
 WORDS = 5
 SIMILARITY = 80  # percent
 BUCKETS = 18  # log2 of the counters of shingles
-BLOCK = 256  # nodes of a large group that are in one block, at most
-BLOCK_SHINGLES = 1 << 20  # their shingles together, unless one set has more
+NEAR = 32  # rows of a list that are compared with each other; longer lists become chains
+BLOCK = 1024  # nodes of a large group that are in one block, about
+BLOCK_SHINGLES = 1 << 21  # their shingles together, unless one set has more
 ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
                 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 RANGES = 6  # log2 of the hash ranges of the suffix filter
@@ -58,7 +60,7 @@ def shingle_sets(texts: pa.Array, words: int = WORDS) -> tuple[np.ndarray, np.nd
     bounds, tokens = split_words(texts)
     n = np.diff(bounds)
     encoded = tokens.dictionary_encode()
-    known = np.array([xxhash.xxh64_intdigest(w) for w in encoded.dictionary.to_pylist()], np.uint64)
+    known = hash_words(encoded.dictionary)
     h = known[np.asarray(encoded.indices)] if len(tokens) else np.zeros(0, np.uint64)
     odd = _multipliers(words)
     text = np.repeat(np.arange(len(n)), n)
@@ -75,13 +77,12 @@ def shingle_sets(texts: pa.Array, words: int = WORDS) -> tuple[np.ndarray, np.nd
         size = np.array([m], np.uint64) * np.array([0xD1B54A32D192ED03], np.uint64)
         total[i] = ((h[i : i + m] * odd[:m]).sum(keepdims=True) + size)[0]
     at = starts | short
-    value, text = mix64(total[at]), text[at]
-    order = np.lexsort((value, text))
-    value, text = value[order], text[order]
-    new = np.ones(len(value), bool)
-    new[1:] = (value[1:] != value[:-1]) | (text[1:] != text[:-1])
-    value, text = value[new], text[new]
-    return np.searchsorted(text, np.arange(len(n) + 1)), value
+    value = mix64(total[at])
+    cut = np.searchsorted(text[at], np.arange(len(n) + 1))
+    sets = [np.unique(value[a:b]) for a, b in zip(cut[:-1], cut[1:], strict=True)]
+    return np.concatenate([[0], np.cumsum([len(x) for x in sets])]).astype(np.int64), (
+        np.concatenate(sets) if sets else value
+    )
 
 
 def _multipliers(words: int) -> np.ndarray:
@@ -112,9 +113,11 @@ def prefix_length(n: np.ndarray, percent: int) -> np.ndarray:
 
 
 def rare_first(bounds: np.ndarray, value: np.ndarray, uses: np.ndarray) -> np.ndarray:
-    """Each set's hashes from rare to common; ties by hash."""
-    text = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
-    return value[np.lexsort((value, uses[_bucket(value)], text))]
+    """Each set's hashes from rare to common; ties by hash, in which they come."""
+    cost, out = uses[_bucket(value)], np.empty_like(value)
+    for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+        out[a:b] = value[a:b][np.argsort(cost[a:b], kind="stable")]
+    return out
 
 
 def _facts(words: int):
@@ -165,33 +168,73 @@ def _prefixes(words: int, percent: int, shared):
                 at = np.repeat(bounds[:-1][keep] - (np.cumsum(p) - p), p) + np.arange(p.sum())
                 flat = pa.array([nodes[i] for i in keep.tolist()], pa.binary())
                 of = np.repeat(np.arange(len(keep)), p)
+                place = np.arange(p.sum()) - np.repeat(np.cumsum(p) - p, p)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(ordered[at].view(np.int64)), flat.take(pa.array(of)),
-                     pa.array(n[of].astype(np.int32))], names=["token", "node", "n"],
+                     pa.array(n[of].astype(np.int32)), pa.array(place.astype(np.int32))],
+                    names=["token", "node", "n", "at"],
                 )
 
     return run
 
 
-def _chains(percent: int):
-    """Edges between neighbours in each token's list, which is sorted by size; between sets
-    whose sizes rule a link out there is none."""
+def _candidates(percent: int):
+    """Edges between the sets of each token's list, which is sorted by size. In a short list all
+    pairs that the length and positional filters let pass; in a long one a chain of neighbours,
+    which the length filter alone may break, so there are no more than ``NEAR`` edges per row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = None
+        kept = None
         for batch in batches:
             if not batch.num_rows:
                 continue
-            rows = batch if last is None else pa.Table.from_batches([last, batch]).combine_chunks().to_batches()[0]
-            last = rows.slice(rows.num_rows - 1)
-            token, n = np.asarray(rows.column(0)), np.asarray(rows.column(2)).astype(np.int64)
-            near = (token[1:] == token[:-1]) & (100 * n[:-1] >= percent * n[1:])
-            at = np.flatnonzero(near)
-            a, b = rows.column(1).take(pa.array(at)), rows.column(1).take(pa.array(at + 1))
-            yield pa.RecordBatch.from_arrays([a, b], names=["a", "b"])
+            rows = batch if kept is None else _joined(kept, batch)
+            old = 0 if kept is None else kept.num_rows
+            a, b = candidate_edges(*(np.asarray(rows.column(c)).astype(np.int64) for c in (0, 2, 3)),
+                                   old, percent)
+            yield pa.RecordBatch.from_arrays(
+                [rows.column(1).take(pa.array(a)), rows.column(1).take(pa.array(b))], names=["a", "b"]
+            )
+            # The rows that the next batch can still meet.
+            kept = rows.slice(max(0, rows.num_rows - NEAR - 1))
 
     return run
 
 
+def _joined(a: pa.RecordBatch, b: pa.RecordBatch) -> pa.RecordBatch:
+    return pa.Table.from_batches([a, b]).combine_chunks().to_batches()[0]
+
+
+def candidate_edges(token, n, at, old: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of rows to compare, but for those of the first ``old`` rows with each other."""
+    first, second = [], []
+    size = len(token)
+    for d in range(1, min(NEAR, size - 1) + 1):
+        i = np.arange(max(0, old - d), size - d)
+        i = i[token[i] == token[i + d]]
+        if not len(i):
+            break
+        j = i + d
+        i, j = i[100 * n[i] >= percent * n[j]], j[100 * n[i] >= percent * n[j]]
+        least = -(-percent * (n[i] + n[j]) // (100 + percent))
+        good = np.minimum(n[i] - at[i], n[j] - at[j]) >= least
+        first.append(i[good])
+        second.append(j[good])
+    # A row that is further than NEAR rows from another of its list: all between are chained.
+    ends = np.arange(max(old, NEAR + 1), size)
+    ends = ends[token[ends - NEAR - 1] == token[ends]]
+    if len(ends):
+        cover = np.zeros(size + 1, np.int64)
+        np.add.at(cover, ends - NEAR - 1, 1)
+        np.add.at(cover, ends, -1)
+        i = np.flatnonzero(np.cumsum(cover)[:size] > 0)
+        i = i[100 * n[i] >= percent * n[i + 1]]
+        first.append(i)
+        second.append(i + 1)
+    if not first:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return np.concatenate(first), np.concatenate(second)
+
+
 def _sets(words: int, shared):
     """(node, rare-first hashes) of each text, once for each task."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -243,15 +286,23 @@ def tile_links(sets: list[np.ndarray], uses: np.ndarray, side: np.ndarray, perce
         ranges[i] = np.bincount((s >> np.uint64(64 - RANGES)).astype(np.int64), minlength=1 << RANGES)
     plain = [np.sort(s) for s in sets]
     forest, links = Forest(len(sets)), []
+    # Only prefix shingles that several sets of the tile have are looked up.
+    heads = [s[:p] for s, p in zip(sets, prefix.tolist(), strict=True)]
+    found, times = np.unique(np.concatenate(heads), return_counts=True) if heads else ([], [])
+    common = found[times > 1] if len(sets) else np.zeros(0, np.uint64)
+    if not len(common):
+        return links
     lists: dict[int, list[tuple[int, int]]] = {}
     for i in order:
         met: dict[int, tuple[int, int]] = {}
-        for at, token in enumerate(sets[i][: prefix[i]].tolist()):
-            found = lists.setdefault(token, [])
-            for j, there in found:
+        where = np.minimum(np.searchsorted(common, heads[i]), len(common) - 1)
+        for at in np.flatnonzero(common[where] == heads[i]).tolist():
+            others = lists.setdefault(int(where[at]), [])
+            for j, there in others:
                 # Only the first common shingle of a pair counts.
-                met.setdefault(j, (at, there))
-            found.append((i, at))
+                if j not in met:
+                    met[j] = (at, there)
+            others.append((i, at))
         mates = [j for j in met if 100 * size[j] >= percent * size[i] and not (both and side[i] == side[j])]
         if not mates:
             continue
@@ -313,11 +364,11 @@ def near_duplicates(
     shared = spark.sparkContext.broadcast(uses)
 
     prefixes = rows.select("t").mapInArrow(
-        _prefixes(words, percent, shared), "token long, node binary, n int"
+        _prefixes(words, percent, shared), "token long, node binary, n int, at int"
     )
     lists = prefixes.repartition("token").sortWithinPartitions("token", "n", "node")
-    chains = written(lists.mapInArrow(_chains(percent), "a binary, b binary"), "chains")
-    groups = components(chains.where(F.col("a") != F.col("b")))
+    candidates = lists.mapInArrow(_candidates(percent), "a binary, b binary")
+    groups = components(candidates.where(F.col("a") != F.col("b")))
 
     # Large groups are cut into blocks, and every two blocks of a group meet in a tile. Sets of
     # a block have like sizes, so tiles of blocks that the length filter rules out are left out.
@@ -328,13 +379,14 @@ def near_duplicates(
         attach(owned, groups, ["node"], ["n"], "inner").withColumn("grade", _grade(percent)),
         "group-members",
     )
-    placed = written(_placed(members, block), "tiles")
+    members = written(_blocked(members, block), "blocks")
     wanted = members.select(*document_key("one.doc_id", "one.text_key")).distinct()
     keyed = rows.select("t", *document_key("d", "k"))
     compared = attach(keyed, wanted, KEY, ["t"], "left_semi")
     sets = compared.select("t").mapInArrow(_sets(words, shared), "node binary, hashes binary")
-    tiles = attach(sets, placed, ["node"], ["hashes"], "inner")
-    links = tiles.select("root", "tile", "block", "node", "hashes").groupBy("root", "tile")
+    placed = attach(sets, members, ["node"], ["hashes"], "inner")
+    tiles = placed.select("root", "block", "node", "hashes", F.explode(_tiles_of()).alias("tile"))
+    links = tiles.groupBy("root", "tile")
     joined = components(links.applyInArrow(_tiles(percent, shared), "a binary, b binary"))
 
     owners = attach(owners, joined, ["node"], ["doc_id", "text_key"], "left")
@@ -357,10 +409,9 @@ def _grade(percent: int):
     return F.floor(F.log(F.col("n").cast("double")) / F.lit(float(step * (1 + 1e-6)))).cast("int")
 
 
-def _placed(members: DataFrame, block: int) -> DataFrame:
-    """(``root``, ``tile``, ``block``, ``node``): the tiles of each node. A group that fits one
-    block is one tile; the nodes of another are dealt to blocks by grade of size and hash, and
-    a tile is named by the two blocks that meet in it."""
+def _blocked(members: DataFrame, block: int) -> DataFrame:
+    """Adds the ``blocks`` of the group by grade of size, and which is ``here``: the nodes of a
+    grade are dealt to its blocks by hash. A group that fits one block has no ``blocks``."""
     sizes = members.groupBy("root", "grade").agg(
         F.count("*").alias("size"), F.sum("n").alias("shingles")
     )
@@ -369,13 +420,20 @@ def _placed(members: DataFrame, block: int) -> DataFrame:
         F.sum("size").alias("size"), F.sum("shingles").alias("shingles"),
         F.map_from_entries(F.collect_list(F.struct("grade", "blocks"))).alias("blocks"),
     )
-    rows = attach(members, written(totals, "group-sizes"), ["root"], ["node"], "inner")
-    small = (F.col("size") <= block) & (F.col("shingles") <= BLOCK_SHINGLES)
-    own = F.pmod(F.xxhash64("node"), F.element_at("blocks", F.col("grade"))).cast("int")
+    large = totals.where((F.col("size") > block) | (F.col("shingles") > BLOCK_SHINGLES))
+    rows = attach(members, written(large.select("root", "blocks"), "group-sizes"), ["root"], ["node"], "left")
+    own = F.pmod(F.xxhash64("node"), F.try_element_at("blocks", F.col("grade"))).cast("int")
     rows = rows.withColumn("here", F.struct("grade", own.alias("number")))
+    name = F.when(F.col("blocks").isNull(), F.lit(0).cast("long")).otherwise(
+        F.xxhash64("here.grade", "here.number")
+    )
+    return rows.withColumn("block", name)
+
 
+def _tiles_of():
+    """Names of the tiles that a node takes part in: one for each block of its group that holds
+    sets of a like size, made of the names of both blocks; a single one in a small group."""
     def meeting(grade):
-        """Tiles with the blocks of one grade, if the group has any of it."""
         def name(number):
             other = F.struct(grade.alias("grade"), number.alias("number"))
             return F.concat_ws("|", F.least(other, F.col("here")).cast("string"),
@@ -387,11 +445,9 @@ def _placed(members: DataFrame, block: int) -> DataFrame:
         )
 
     grade = F.col("grade")
-    tiles = F.when(small, F.array(F.lit("all"))).otherwise(
+    return F.when(F.col("blocks").isNull(), F.array(F.lit("all"))).otherwise(
         F.concat(meeting(grade - 1), meeting(grade), meeting(grade + 1))
     )
-    name = F.when(small, F.lit(0).cast("long")).otherwise(F.xxhash64("here.grade", "here.number"))
-    return rows.select("root", "node", name.alias("block"), F.explode(tiles).alias("tile"))
 
 
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:

@@ -29,6 +29,7 @@ SAMPLE_DOCS = 1500  # per language
 SAMPLE_BYTES = 1 << 20  # per language
 ROUNDS = 3
 SLOTS = 1 << 19
+AT_ONCE = 1 << 18  # letters that are scored together
 
 
 def letter_words(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
@@ -71,11 +72,33 @@ def _next(h: np.ndarray, points: np.ndarray) -> np.ndarray:
     return (h ^ points.astype(np.uint64)) * MULTIPLIER ^ (h >> np.uint64(29))
 
 
+def code_points(words: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Words as code points: numbers of words of equal length, and a matrix with a row for
+    each. Groups hold a bounded number of letters, or one word."""
+    words = words.cast(pa.large_string())
+    data = words.buffers()[2]
+    text = data.to_pybytes().decode() if data and len(words) else ""
+    points = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+    lengths = np.asarray(pc.utf8_length(words)).astype(np.int64)
+    starts = np.cumsum(lengths) - lengths
+    order = np.argsort(lengths, kind="stable")
+    for group in np.split(order, np.flatnonzero(np.diff(lengths[order])) + 1):
+        if len(group):
+            n = int(lengths[group[0]])
+            step = max(1, AT_ONCE // max(1, n))
+            for at in range(0, len(group), step):
+                part = group[at : at + step]
+                yield part, points[starts[part][:, None] + np.arange(n)]
+
+
 def _points(words: list[str]) -> np.ndarray:
     """Code points of equally long words, one row each."""
-    return np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(
-        len(words), -1
-    )
+    return np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).reshape(len(words), -1)
+
+
+def _started(points: np.ndarray) -> np.ndarray:
+    """The same words with the mark of a word's start before them."""
+    return np.concatenate([np.full((len(points), 1), ord(START), np.uint32), points], 1)
 
 
 @dataclass
@@ -119,10 +142,9 @@ class Pieces:
             at[rest] = (at[rest] + 1) % SLOTS
         return out
 
-    def edges(self, words: list[str]) -> list[list[np.ndarray]]:
-        """For equally long words: the piece from position i to i + n + 1, as
-        ``edges[i][n]`` over the words."""
-        points = _points(words)
+    def edges(self, points: np.ndarray) -> list[list[np.ndarray]]:
+        """For equally long words, given as code points: the piece from position i to
+        i + n + 1, as ``edges[i][n]`` over the words."""
         out = []
         for i in range(points.shape[1]):
             h = np.zeros(len(points), np.uint64)
@@ -179,18 +201,18 @@ class LanguageModel:
             beta[t] = total
         return uses
 
-    def word_scores(self, words: list[str]) -> np.ndarray:
+    def word_scores(self, words: pa.Array) -> np.ndarray:
         """Log probability of each word by language."""
         out = np.zeros((len(words), len(self.languages)))
-        for group in _by_length(words):
-            out[group], _ = self.forward(self.pieces.edges([START + words[i] for i in group]))
+        for group, points in code_points(words):
+            out[group], _ = self.forward(self.pieces.edges(_started(points)))
         return out
 
     def text_scores(self, texts: pa.Array) -> list[np.ndarray]:
         """Number of the best language (-1 without a letter) and its posterior."""
         bounds, words = letter_words(texts)
         encoded = words.dictionary_encode()
-        by_word = self.word_scores(encoded.dictionary.to_pylist())
+        by_word = self.word_scores(encoded.dictionary)
         total = np.zeros((len(texts), len(self.languages)))
         full = np.flatnonzero(np.diff(bounds))
         if len(full):
@@ -202,19 +224,6 @@ class LanguageModel:
         return [np.where(empty, -1, best), np.where(empty, 0.0, score)]
 
 
-def _by_length(words: list[str], at_once: int = 1 << 15) -> Iterator[np.ndarray]:
-    """Numbers of equally long words, in pieces that hold at most about ``at_once`` words and
-    a bounded number of letters."""
-    lengths = np.fromiter(map(len, words), np.int64, len(words))
-    order = np.argsort(lengths, kind="stable")
-    cut = np.flatnonzero(np.diff(lengths[order])) + 1
-    for group in np.split(order, cut):
-        if len(group):
-            step = max(1, at_once * 8 // max(8, int(lengths[group[0]])))
-            for at in range(0, len(group), step):
-                yield group[at : at + step]
-
-
 def train(samples: list[tuple[str, str]], pieces: list[str], rounds: int = ROUNDS) -> LanguageModel:
     """Piece probabilities from (text, language) pairs."""
     known = Pieces(pieces)
@@ -222,9 +231,8 @@ def train(samples: list[tuple[str, str]], pieces: list[str], rounds: int = ROUND
     number = {language: i for i, language in enumerate(languages)}
     bounds, words = letter_words(pa.array([text for text, _ in samples], pa.string()))
     encoded = words.dictionary_encode()
-    distinct = encoded.dictionary.to_pylist()
     of = np.repeat([number[language] for _, language in samples], np.diff(bounds)).astype(np.int64)
-    counts = np.zeros((len(distinct), max(1, len(languages))))
+    counts = np.zeros((len(encoded.dictionary), max(1, len(languages))))
     np.add.at(counts, (np.asarray(encoded.indices), of), 1)
     # Start: pieces in proportion to the letters they cover; unknown letters are rare.
     size = len(known.pieces) + 2
@@ -233,9 +241,8 @@ def train(samples: list[tuple[str, str]], pieces: list[str], rounds: int = ROUND
     model = LanguageModel(known, languages, p)
     for _ in range(rounds if languages else 0):
         uses = np.zeros_like(model.p)
-        for group in _by_length(distinct):
-            edges = known.edges([START + distinct[i] for i in group])
-            uses += model.expected(edges, counts[group])
+        for group, points in code_points(encoded.dictionary):
+            uses += model.expected(known.edges(_started(points)), counts[group])
         # A small share for every piece: words not seen in a language stay possible.
         uses[:-1] += 0.01
         uses[-1] = 0

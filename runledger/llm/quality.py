@@ -70,9 +70,8 @@ class OrdinalModel:
     cuts: np.ndarray
 
     def place(self, text: bytes) -> float:
-        counts = ngram_counts(text)
-        total = counts.sum()
-        return float(np.sqrt(counts / total) @ self.weights) if total else 0.0
+        used, value = features(text)
+        return float((value * self.weights[used]).sum())
 
     def tails(self, place: np.ndarray) -> np.ndarray:
         """P(grade >= grades[k + 1]) for each k, by row; it falls with k."""

@@ -16,16 +16,16 @@ from a column), on a part of the sample that was not trained on; the score is sh
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from runledger.llm.common import alnum_words, sampled_texts, text_column
+from runledger.llm.common import alnum_words, hash_words, sampled_texts, text_column
 
 WIDTHS = (1, 2, 3)
 FILTERS = 8
@@ -55,9 +55,9 @@ COMMON_WORDS = {
 def guess_languages(bounds: np.ndarray, words: pa.Array) -> np.ndarray:
     """Number of the language of ``COMMON_WORDS`` with most words in a text, -1 without any."""
     encoded = words.dictionary_encode()
-    sets = [set(x.split()) for x in COMMON_WORDS.values()]
-    hits = np.array([[w in s for s in sets] for w in encoded.dictionary.to_pylist()], np.int64)
-    hits = hits.reshape(-1, len(sets))[np.asarray(encoded.indices)]
+    sets = [pa.array(x.split(), pa.large_string()) for x in COMMON_WORDS.values()]
+    known = [np.asarray(pc.is_in(encoded.dictionary, value_set=s)) for s in sets]
+    hits = np.stack(known, 1).astype(np.int64)[np.asarray(encoded.indices)]
     sums = np.concatenate([np.zeros((1, len(sets)), np.int64), np.cumsum(hits, 0)])
     counts = sums[bounds[1:]] - sums[bounds[:-1]]
     return np.where(counts.max(1, initial=0) > 0, counts.argmax(1), -1)
@@ -76,10 +76,10 @@ class Words:
     def of(cls, texts: pa.Array) -> Words:
         bounds, words = alnum_words(texts)
         encoded = words.dictionary_encode()
-        distinct = encoded.dictionary.to_pylist()
-        index = np.asarray(encoded.indices)
-        word = np.array([zlib.crc32(w.encode()) % WORD_SLOTS for w in distinct], np.int32)
-        head = np.array([zlib.crc32(w[:HEAD].encode()) % HEAD_SLOTS for w in distinct], np.int32)
+        distinct, index = encoded.dictionary, np.asarray(encoded.indices)
+        word = (hash_words(distinct) % np.uint64(WORD_SLOTS)).astype(np.int32)
+        heads = pc.utf8_slice_codeunits(distinct, 0, HEAD)
+        head = (hash_words(heads) % np.uint64(HEAD_SLOTS)).astype(np.int32)
         base = bounds + PAD * np.arange(len(bounds))
         place = np.arange(len(index)) + PAD * np.repeat(np.arange(len(texts)), np.diff(bounds))
         # The last slot of either table is the empty word; it stays zero.

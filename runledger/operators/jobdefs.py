@@ -10,13 +10,20 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
 
-from runledger.operators.skew import SPLIT_ROWS, lookup, split_join
+from runledger.operators.skew import (
+    BROADCAST_ROWS,
+    MIN_SPLIT_ROWS,
+    SPLIT_ROWS,
+    fits_broadcast,
+    hot_keys,
+    lookup,
+)
 from runledger.schemas import JOB_TASK, STRING_MAP, WEBHOOKS
 
 SINGLE_TASK, MULTI_TASK = "SINGLE_TASK", "MULTI_TASK"
 SUCCESS = "SUCCESS"
 
-NO_CLUSTER = "Could not identify a cluster for this job"
+NO_CLUSTER = "No cluster found for the job"
 NOT_ONE_CLUSTER = "Job does not have exactly one cluster"
 NO_PROJECT = "Cluster tag of the project is missing"
 NO_AUTO_APPLY = "Project does not apply recommendations"
@@ -217,7 +224,7 @@ def latest_recommendation(recommendations: DataFrame) -> DataFrame:
 
 
 # Columns that show a cluster before and after a recommendation: a missing value is ''.
-def _shown(cluster: Column, stage: str) -> list[Column]:
+def _shown(cluster: Column, stage: str) -> dict[str, Column]:
     texts = {
         "driver": cluster["driver_node_type_id"],
         "worker": cluster["node_type_id"],
@@ -227,7 +234,7 @@ def _shown(cluster: Column, stage: str) -> list[Column]:
             F.cardinality(cluster["spark_conf"]) > 0, F.to_json(cluster["spark_conf"])
         ),
     }
-    return [F.coalesce(text, F.lit("")).alias(f"{name}_{stage}") for name, text in texts.items()]
+    return {f"{name}_{stage}": F.coalesce(text, F.lit("")) for name, text in texts.items()}
 
 
 def apply_recommendation(
@@ -235,24 +242,25 @@ def apply_recommendation(
     recommendations: DataFrame,
     project_tag: str,
     split_rows: int = SPLIT_ROWS,
+    max_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    """Jobs with the newest recommendation of their project applied to their first shared
+    """All jobs, with the newest recommendation of their project applied to their first shared
     cluster, and what it looked like before and after.
 
     Node types and Spark settings are always replaced; the number of workers and the
     autoscale range only where they are set. Jobs without a recommendation or without a
-    shared cluster are left out.
+    shared cluster keep their settings: ``changed`` is false and the columns that describe a
+    change are NULL. So the result can replace the table it was made of.
     """
     newest = latest_recommendation(recommendations).select(
         "project_id", "prediction_id", F.col("configuration").alias("_new")
     )
     first = F.get("settings.job_clusters", 0)
-    tagged = jobs.where(F.size("settings.job_clusters") > 0).select(
-        "*", F.try_element_at(first["new_cluster"]["custom_tags"], F.lit(project_tag)).alias(
-            "project_id"
-        )
-    )
-    matched = split_join(tagged, newest, ["project_id"], by=["job_id"], split_rows=split_rows)
+    tag = F.try_element_at(first["new_cluster"]["custom_tags"], F.lit(project_tag))
+    matched = lookup(
+        jobs.select("*", tag.alias("project_id")), newest, "project_id", ["job_id"],
+        max_rows=max_rows, split_rows=split_rows,
+    ).withColumn("changed", F.col("_new").isNotNull())
 
     old, new = F.get("settings.job_clusters", 0)["new_cluster"], F.col("_new")
     # Rebuilt field by field: a chain of withField on a wide struct grows the plan.
@@ -273,36 +281,46 @@ def apply_recommendation(
         "settings.job_clusters",
         lambda c, i: F.when(i == 0, c.withField("new_cluster", F.col("_changed"))).otherwise(c),
     )
-    return (
-        matched.select("*", changed.alias("_changed"), old.alias("_old"))
-        .select(
-            "job_id",
-            "project_id",
-            "prediction_id",
-            F.coalesce(F.get("settings.job_clusters", 0)["job_cluster_key"], F.lit("")).alias(
-                "cluster_name"
-            ),
-            *_shown(F.col("_old"), "before"),
-            *_shown(F.col("_changed"), "after"),
-            F.col("settings").withField("job_clusters", clusters).alias("settings"),
-        )
+    shown = {
+        "cluster_name": F.coalesce(first["job_cluster_key"], F.lit("")),
+        **_shown(F.col("_old"), "before"),
+        **_shown(F.col("_changed"), "after"),
+    }
+    settings = F.col("settings")
+    return matched.select("*", changed.alias("_changed"), old.alias("_old")).select(
+        "job_id",
+        "project_id",
+        "prediction_id",
+        "changed",
+        *(F.when(F.col("changed"), text).alias(name) for name, text in shown.items()),
+        F.when(F.col("changed"), settings.withField("job_clusters", clusters))
+        .otherwise(settings)
+        .alias("settings"),
     )
 
 
+GROUP_LIMIT = "spark.sql.optimizer.windowGroupLimitThreshold"
+
+
 def success_prefix(
     runs: DataFrame,
     n: int,
     group: Sequence[str] = ("job_id",),
     order: Sequence[str] = ("run_starttime", "run_id"),
     state: str = "run_result_state",
+    split_rows: int = SPLIT_ROWS,
 ) -> DataFrame:
     """The runs before the first that did not succeed, at most ``n`` per group.
 
-    They are all among the first ``n`` runs, and Spark keeps only those of each group
-    before the shuffle; so a group of any length costs at most ``n`` rows per task.
+    They are all among the first ``n`` runs. Up to the session's group limit Spark keeps only
+    those of each group before the shuffle. For a larger ``n`` a group of many rows is cut
+    into parts of about ``split_rows``, of which the first ``n`` each are kept, so no task ever
+    sorts a whole group.
     """
     if n < 1:
         raise ValueError("n must be at least 1")
+    if n > int(runs.sparkSession.conf.get(GROUP_LIMIT, "1000")):
+        runs = _first_of_parts(runs, n, group, order, split_rows)
     window = Window.partitionBy(*group).orderBy(*order)
     failed = F.when(F.col(state) == SUCCESS, 0).otherwise(1)
     first_n = runs.withColumn("run_number", F.row_number().over(window)).where(
@@ -318,6 +336,24 @@ def success_prefix(
     )
 
 
+def _first_of_parts(
+    runs: DataFrame, n: int, group: Sequence[str], order: Sequence[str], split_rows: int
+) -> DataFrame:
+    """Rows that can be among the first ``n`` of their group: the first ``n`` of each part of
+    a large group, and whole small groups."""
+    hot = hot_keys(runs, group, split_rows)
+    hot = F.broadcast(hot) if split_rows >= MIN_SPLIT_ROWS or fits_broadcast(hot) else hot
+    cut = runs.join(hot, list(group), "left").withColumn(
+        "_part", F.pmod(F.hash(*order), F.coalesce("_parts", F.lit(1)))
+    )
+    window = Window.partitionBy(*group, "_part").orderBy(*order)
+    return (
+        cut.withColumn("_rank", F.row_number().over(window))
+        .where(F.col("_rank") <= n)
+        .select(runs.columns)
+    )
+
+
 def strip_webhooks(jobs: DataFrame) -> DataFrame:
     """Job definitions whose webhook blocks, where present, are empty."""
 
@@ -365,7 +401,7 @@ def onboard_plan(jobs: DataFrame, params: OnboardParams) -> DataFrame:
 
     The first shared cluster gets the init script, once, and the environment variables; a
     single-node cluster and a task that follows the last task are appended. Jobs without a
-    shared cluster or without tasks are left out.
+    shared cluster or without tasks keep their settings, and ``changed`` is false.
     """
     job = jobs.schema["settings"].dataType
     cluster_type = job["job_clusters"].dataType.elementType
@@ -426,14 +462,15 @@ def onboard_plan(jobs: DataFrame, params: OnboardParams) -> DataFrame:
             i == 0, c.withField("new_cluster", prepared(c["new_cluster"]))
         ).otherwise(c),
     )
-    return jobs.where(
-        (F.size(settings["job_clusters"]) > 0) & (F.size(settings["tasks"]) > 0)
-    ).withColumn(
-        "settings",
-        settings.withField("job_clusters", F.array_append(clusters, added_cluster)).withField(
-            "tasks", F.array_append(settings["tasks"], added_task)
-        ),
-    )
+    ready = (F.size(settings["job_clusters"]) > 0) & (F.size(settings["tasks"]) > 0)
+    changed = F.coalesce(ready, F.lit(False))
+    prepared_settings = settings.withField(
+        "job_clusters", F.array_append(clusters, added_cluster)
+    ).withField("tasks", F.array_append(settings["tasks"], added_task))
+    return jobs.withColumns({
+        "changed": changed,
+        "settings": F.when(changed, prepared_settings).otherwise(settings),
+    })
 
 
 def exclude_tasks(df: DataFrame, keys: Sequence[str] | None) -> DataFrame:

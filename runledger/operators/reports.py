@@ -9,8 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from runledger.functions.expr import epoch_day, in_window, task_type
-from runledger.operators.skew import SPLIT_ROWS, fits_broadcast, lookup
+from runledger.operators.skew import BROADCAST_ROWS, SPLIT_ROWS, fits_broadcast, lookup
 from runledger.operators.usage import join_clusters, match_keys, split_by_job
+from runledger.schemas import NONE
 
 CORE_HOUR_RATE = 0.006
 
@@ -19,6 +20,13 @@ def _labelled(label: str, counts: str) -> Column:
     return F.struct(F.lit(label).alias("label"), F.col(counts).alias("counts"))
 
 
+# Labels of the audit: fixed values.
+ALL_TASKS = "all runs tasks"
+WITH_CLUSTER = "tasks with cluster definition"
+WITHOUT_CLUSTER = "tasks with no cluster definition"
+NOT_FOUND = "clusters we couldnt look up"
+
+
 def coverage_audit(
     runs: DataFrame, with_cluster: DataFrame, without_cluster: DataFrame
 ) -> DataFrame:
@@ -27,10 +35,10 @@ def coverage_audit(
     pair = F.countDistinct("run_id", "task_key")
     return (
         runs.agg(pair.alias("counts"))
-        .select(F.lit("all runs tasks").alias("label"), "counts")
+        .select(F.lit(ALL_TASKS).alias("label"), "counts")
         .union(
             with_cluster.agg(pair.alias("counts")).select(
-                F.lit("tasks with cluster definition"), "counts"
+                F.lit(WITH_CLUSTER), "counts"
             )
         )
         .union(
@@ -39,8 +47,8 @@ def coverage_audit(
             ).select(
                 F.inline(
                     F.array(
-                        _labelled("tasks with no cluster definition", "tasks"),
-                        _labelled("clusters we couldnt look up", "clusters"),
+                        _labelled(WITHOUT_CLUSTER, "tasks"),
+                        _labelled(NOT_FOUND, "clusters"),
                     )
                 )
             )
@@ -68,15 +76,18 @@ def pool_usage(
     pools: DataFrame,
     match: str = "task",
     split_rows: int = SPLIT_ROWS,
+    max_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Job tasks and runs per instance pool."""
     keys = match_keys(match)
     pooled = lookup(
-        clusters.select(*keys, "instance_pool_id").distinct(),
+        # Clusters without a pool are most, and match none.
+        clusters.where(F.col("instance_pool_id") != NONE).select(*keys, "instance_pool_id").distinct(),
         pools.select("instance_pool_id", "instance_pool_name", "node_type_id").distinct(),
         "instance_pool_id",
-        by=["job_id", "task_key"],
+        by=keys,
         how="inner",
+        max_rows=max_rows,
         split_rows=split_rows,
     )
     pool = ["instance_pool_id", "instance_pool_name", "node_type_id"]
@@ -168,6 +179,27 @@ def usage_estimate(
     )
 
 
+def instance_coverage(usage: DataFrame, instances: DataFrame) -> DataFrame:
+    """Usage rows that :func:`dbu_usage` leaves out, per role and instance type that the
+    catalogue does not list; NULL types are among them."""
+    roles = F.array(
+        *(
+            F.struct(F.lit(role).alias("role"), F.col(f"{role}_node").alias("instance_type"))
+            for role in ("driver", "worker")
+        )
+    )
+    counted = (
+        usage.select(F.explode(roles).alias("r"))
+        .groupBy("r.role", "r.instance_type")
+        .agg(F.count(F.lit(1)).alias("usage_rows"))
+    )
+    listed = instances.select("instance_type")
+    listed = F.broadcast(listed) if fits_broadcast(listed) else listed
+    return counted.join(listed, "instance_type", "left_anti").select(
+        "role", "instance_type", "usage_rows"
+    )
+
+
 def dbu_usage(usage: DataFrame, instances: DataFrame, rate: float) -> DataFrame:
     """DBUs (dbus x hours x nodes) and their price per driver and worker type, of the usage
     rows whose instance types the catalogue lists."""

@@ -17,9 +17,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from runledger.functions.fields import explode_fields
+from runledger.functions.fields import conformed, explode_fields
 from runledger.operators.normalize import cluster_columns
-from runledger.operators.skew import BROADCAST_ROWS, SPLIT_ROWS, lookup
+from runledger.operators.skew import BROADCAST_ROWS, SPLIT_ROWS, fits_broadcast, lookup
 from runledger.schemas import (
     ALL_PURPOSE,
     CLUSTER_DEFINITION,
@@ -29,6 +29,7 @@ from runledger.schemas import (
     JOBS_COMPUTE,
     NONE,
     POOL_DEFINED,
+    RUN,
     TASK_DEFINED,
 )
 
@@ -59,8 +60,9 @@ def run_tasks(runs: DataFrame) -> DataFrame:
     or the definition in the task.
 
     Only the task fields named here are read, and the run's list of shared clusters is
-    searched but not copied.
+    searched but not copied. Fields that an export lacks count as unset.
     """
+    runs = conformed(runs, RUN)
     shared = F.filter(
         "job_clusters", lambda c: c["job_cluster_key"] == F.col("task.job_cluster_key")
     )
@@ -73,11 +75,13 @@ def run_tasks(runs: DataFrame) -> DataFrame:
     )
     return (
         runs.select(
-            "job_id", "run_id", "job_clusters", explode_fields("tasks", _TASK_FIELDS).alias("task")
+            "job_id", "run_id", "start_time", "job_clusters",
+            explode_fields("tasks", _TASK_FIELDS).alias("task"),
         )
         .select(
             "job_id",
             "run_id",
+            F.col("start_time").alias("run_starttime"),
             F.col("task.task_key").alias("task_key"),
             F.col("task.existing_cluster_id").alias("existing_id"),
             F.col("task.cluster_instance.cluster_id").alias("instance_id"),
@@ -146,16 +150,21 @@ def resolve_tasks(
     )
 
     spread = ["run_id", "task_key"]
-    # Keys are counted in the tasks as they are before the joins.
-    sizes = {"max_rows": broadcast_rows, "split_rows": split_rows, "counted": tasks}
+    # Keys are counted in the tasks as they are before the joins. The tables as given are
+    # measured, each once: they bound what is made of them.
+    sizes = {"split_rows": split_rows, "counted": tasks}
+    few_clusters = fits_broadcast(clusters, broadcast_rows) and (
+        fetched is None or fits_broadcast(fetched, broadcast_rows)
+    )
+    few_pools = fits_broadcast(pools, broadcast_rows)
     known = _known_clusters(clusters, fetched, missing_workers)
-    tasks = lookup(tasks, known, "cluster_id", spread, **sizes)
+    tasks = lookup(tasks, known, "cluster_id", spread, small=few_clusters, **sizes)
     one_pool = _one_per_key(pools, "instance_pool_id", F.struct(*_POOL_COLUMNS.values()))
     for key, row in (("_pool_id", "_pool"), ("_driver_pool_id", "_driver_pool")):
         side = one_pool.select(
             F.col("instance_pool_id").alias(key), F.col("_row").alias(row)
         )
-        tasks = lookup(tasks, side, key, spread, **sizes)
+        tasks = lookup(tasks, side, key, spread, small=few_pools, **sizes)
 
     defined = F.col("definition").isNotNull()
     pooled = defined & F.col("_pool_id").isNotNull()
@@ -199,6 +208,7 @@ def resolve_tasks(
     return tasks.select(
         "job_id",
         "run_id",
+        "run_starttime",
         "task_key",
         identifier.alias("cluster_identifier"),
         F.when(existing, ALL_PURPOSE).otherwise(JOBS_COMPUTE).alias("compute_definition"),

@@ -11,14 +11,28 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType
 
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 << 20
 
 SPLIT_ROWS = 4_000_000
-PART = "_part"
+MIN_SPLIT_ROWS = 1_000_000  # below it, hot keys may be too many to broadcast unmeasured
+PART, COLUMN = "_part", "_column"
+
+
+def _width(df: DataFrame) -> Column:
+    """About the bytes of a row: texts and binaries by length, nested values as JSON."""
+    width = F.lit(8 * len(df.columns)).cast("bigint")
+    for f in df.schema.fields:
+        if isinstance(f.dataType, (StringType, BinaryType)):
+            width = width + F.coalesce(F.octet_length(f.name), F.lit(0))
+        elif isinstance(f.dataType, (ArrayType, MapType, StructType)):
+            text = F.to_json(F.struct(F.col(f.name)))
+            width = width + F.coalesce(F.octet_length(text), F.lit(0))
+    return width
 
 
 def fits_broadcast(
@@ -26,15 +40,17 @@ def fits_broadcast(
 ) -> bool:
     """Measure a lookup table: True if it is small enough for every executor to hold.
 
-    Runs a job over at most ``max_rows + 1`` rows of ``df``.
+    Each task counts its rows and bytes; one row per task is all that is moved.
     """
-    width = F.octet_length(F.to_json(F.struct("*")))
-    measured = df.select(width.alias("width")).limit(max_rows + 1)
-    rows, size = measured.agg(F.count(F.lit(1)), F.sum("width")).first()
+    rows, size = df.select(_width(df).alias("width")).agg(
+        F.count(F.lit(1)), F.sum("width")
+    ).first()
     return rows <= max_rows and (size or 0) <= max_bytes
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], split_rows: int = SPLIT_ROWS) -> DataFrame:
+def hot_keys(
+    df: DataFrame, keys: Sequence[str], split_rows: int = SPLIT_ROWS, parts: str = "_parts"
+) -> DataFrame:
     """Keys with more than ``split_rows`` rows and the number of parts to cut them into.
 
     Each such key has that many rows, so there are fewer than ``rows / split_rows`` of them:
@@ -42,7 +58,7 @@ def hot_keys(df: DataFrame, keys: Sequence[str], split_rows: int = SPLIT_ROWS) -
     """
     counts = df.dropna(subset=list(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
     return counts.where(F.col("_rows") > split_rows).select(
-        *keys, F.ceil(F.col("_rows") / split_rows).cast("int").alias("_parts")
+        *keys, F.ceil(F.col("_rows") / split_rows).cast("int").alias(parts)
     )
 
 
@@ -55,12 +71,16 @@ def split_join(
     split_rows: int = SPLIT_ROWS,
     key: Sequence[str] | None = None,
     counted: DataFrame | None = None,
+    right_by: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Equi-join of ``left`` with ``right`` in which hot keys of ``left`` are split.
+    """Equi-join of ``left`` with ``right`` in which hot keys are split.
 
-    Rows of a hot key are dealt to parts by the hash of the ``by`` columns and the rows of
-    ``right`` are repeated once per part, for hot keys only. Rows whose key is NULL match
-    nothing; an inner or semi join drops them and a left join spreads them.
+    Rows of a hot key of ``left`` are dealt to parts by the hash of the ``by`` columns and the
+    rows of ``right`` are repeated once per part, for hot keys only. In an inner join the same
+    is done the other way round for keys with many rows in ``right``, dealt by ``right_by``:
+    a key then is a grid of parts, none with more than about ``split_rows`` rows of either
+    side. Without ``right_by`` the right side is taken to have few rows per key. Rows whose
+    key is NULL match nothing; an inner or semi join drops them and a left join spreads them.
 
     ``key`` names the columns of ``on`` whose rows are counted (default: all); fewer columns
     make the count cheaper and split a little more. ``counted`` is the table in which they
@@ -68,7 +88,10 @@ def split_join(
     """
     on = list(on)
     key = list(key or on)
-    hot = F.broadcast(hot_keys(left if counted is None else counted, key, split_rows))
+    hot = hot_keys(left if counted is None else counted, key, split_rows)
+    # Few keys have so many rows, unless the caller lowers the bound: then they are measured.
+    bounded = split_rows >= MIN_SPLIT_ROWS
+    hot = F.broadcast(hot) if bounded or fits_broadcast(hot) else hot
     parts = F.coalesce("_parts", F.lit(1))
     row = F.hash(*by)
     part = F.pmod(row, parts)
@@ -89,7 +112,20 @@ def split_join(
         .withColumn(PART, F.explode(F.sequence(F.lit(0), parts - 1)))
         .drop("_parts")
     )
-    return left.join(right, [*on, PART], how).drop(PART)
+    if how != "inner" or not right_by:
+        return left.join(right, [*on, PART], how).drop(PART)
+
+    # Counted before the rows were repeated, which would count them once per part.
+    wide = hot_keys(right.where(F.col(PART) == 0), on, split_rows, "_wide")
+    wide = F.broadcast(wide) if bounded or fits_broadcast(wide) else wide
+    columns = F.coalesce("_wide", F.lit(1))
+    left = left.join(wide, on, "left").withColumn(
+        COLUMN, F.explode(F.sequence(F.lit(0), columns - 1))
+    ).drop("_wide")
+    right = right.join(wide, on, "left").withColumn(
+        COLUMN, F.pmod(F.hash(*right_by), columns)
+    ).drop("_wide")
+    return left.join(right, [*on, PART, COLUMN]).drop(PART, COLUMN)
 
 
 def lookup(
@@ -101,9 +137,11 @@ def lookup(
     max_rows: int = BROADCAST_ROWS,
     split_rows: int = SPLIT_ROWS,
     counted: DataFrame | None = None,
+    small: bool | None = None,
 ) -> DataFrame:
     """Attach the row of ``dim`` with the same ``on``; ``dim`` has one row per key.
-    Broadcast when ``dim`` is measured small, otherwise a split shuffle join."""
-    if fits_broadcast(dim, max_rows):
+    Broadcast when ``dim`` is measured small, otherwise a split shuffle join. ``small`` gives
+    the outcome of a measurement that was already made."""
+    if fits_broadcast(dim, max_rows) if small is None else small:
         return df.join(F.broadcast(dim), on, how)
     return split_join(df, dim, [on], by, how, split_rows, counted=counted)

@@ -8,7 +8,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from runledger.functions.expr import provision_method, sentinel_long, size_key
-from runledger.operators.skew import SPLIT_ROWS, fits_broadcast, split_join
+from runledger.operators.skew import (
+    BROADCAST_ROWS,
+    SPLIT_ROWS,
+    fits_broadcast,
+    lookup,
+    split_join,
+)
 from runledger.schemas import DEFINITION_COLUMNS
 
 MATCH_KEYS = {"task": ["job_id", "task_key"], "run": ["job_id", "run_id", "task_key"]}
@@ -52,10 +58,12 @@ def all_job_clusters(clusters: DataFrame, keep_run_id: bool = False) -> DataFram
 def split_by_job(
     runs: DataFrame, side: DataFrame, split_rows: int, how: str = "inner"
 ) -> DataFrame:
-    """Join of run tasks by job and task, in which the runs of a large job are split."""
+    """Join of run tasks by job and task, in which the runs of a large job are split, and
+    so are the ``side`` rows of a task that has many."""
+    rest = [c for c in side.columns if c not in MATCH_KEYS["task"]]
     return split_join(
         runs, side, MATCH_KEYS["task"], by=["run_id"], how=how, split_rows=split_rows,
-        key=["job_id"],
+        key=["job_id"], right_by=rest or None,
     )
 
 
@@ -84,7 +92,12 @@ def core_hours(hours: Column, driver: Column, worker: Column, workers: Column) -
 
 
 def sized_shapes(
-    clusters: DataFrame, sizes: DataFrame, match: str, normalize_size: bool = False
+    clusters: DataFrame,
+    sizes: DataFrame,
+    match: str,
+    normalize_size: bool = False,
+    split_rows: int = SPLIT_ROWS,
+    max_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Cluster shapes per key with the vcpus of driver and worker. Shapes whose size the
     catalogue does not list are left out.
@@ -93,7 +106,7 @@ def sized_shapes(
     hardly repeat, and a shuffle to find that out would cost as much as the join.
     """
     keys = match_keys(match)
-    small = fits_broadcast(sizes)
+    small = fits_broadcast(sizes, max_rows)
     shapes = clusters.select(*keys, *SHAPE_COLUMNS).dropna(subset=keys)
     if match == "task":
         shapes = shapes.distinct()
@@ -102,7 +115,9 @@ def sized_shapes(
             F.col("instance_size").alias("_size"), F.col("vcpus").alias(f"{role}_vcps")
         )
         shapes = shapes.withColumn("_size", size_key(f"{role}_node", normalize_size))
-        shapes = shapes.join(F.broadcast(vcpus) if small else vcpus, "_size").drop("_size")
+        shapes = lookup(
+            shapes, vcpus, "_size", keys, "inner", split_rows=split_rows, small=small
+        ).drop("_size")
     method = provision_method()
     workers = F.when(method == "Autoscale", F.col("autoscale_max")).otherwise(F.col("num_workers"))
     return shapes.select(
@@ -135,7 +150,7 @@ def run_usage(
     same run, and those the final DISTINCT removes.
     """
     keys = match_keys(match)
-    shapes = sized_shapes(clusters, sizes, match, normalize_size)
+    shapes = sized_shapes(clusters, sizes, match, normalize_size, split_rows)
     # What depends on the run alone is computed here, not for every pair.
     minutes = (F.col("run_endtime") - F.col("run_starttime")) / 1000 / 60
     run_rows = runs.select(

@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
 from math import fsum
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 EXPAND_BATCH = 4096
+# A count of rows has at most 63 bits, its square 126: that is 4096 to the power 10.5. The first
+# cut leaves at most 4096 pieces, and so does each one after it.
+LARGEST_CUT = 10
 
 
 def random_columns(df: DataFrame, cols: int, seed: int, prefix: str = "rand_col_") -> DataFrame:
-    """``df`` with ``cols`` columns of uniform random numbers, the same for the same seed."""
+    """``df`` with ``cols`` columns of uniform random numbers, the same for the same seed over
+    the same rows in the same partitions."""
     return df.select("*", *(F.rand(seed + i).alias(f"{prefix}{i}") for i in range(cols)))
 
 
@@ -29,31 +34,51 @@ def filter_ne(df: DataFrame, a: str, b: str) -> DataFrame:
 
 def self_join_counts(df: DataFrame, column: str) -> DataFrame:
     """Each value of a column and how many rows a join of the table with itself on that
-    column has for it: the square of its count. No pair is formed."""
+    column has for it: the square of its count. No pair is formed. Counts of pairs are
+    decimals of 38 digits, which hold the square of any count."""
     counts = df.dropna(subset=[column]).groupBy(column).agg(F.count(F.lit(1)).alias("_rows"))
-    return counts.select(column, (F.col("_rows") * F.col("_rows")).alias("pairs"))
+    rows = F.col("_rows").cast("decimal(19,0)")
+    return counts.select(column, (rows * rows).cast(PAIRS).alias("pairs"))
+
+
+PAIRS = "decimal(38,0)"
+
+
+def _pieces(size: int) -> Column:
+    """How many pieces of ``size`` pairs a row is cut into."""
+    size = F.lit(Decimal(size)).cast(PAIRS)
+    return F.call_function("div", F.col("pairs") - 1, size) + 1
 
 
 def _cut(pairs: DataFrame, size: int) -> DataFrame:
     """Rows cut into pieces that stand for at most ``size`` pairs each."""
-    last = F.ceil(F.col("pairs") / size).cast("bigint") - 1
-    pieces = pairs.select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("piece"))
-    return pieces.withColumn("pairs", F.least(F.lit(size), F.col("pairs") - F.col("piece") * size))
+    whole = F.lit(Decimal(size)).cast(PAIRS)
+    cut = pairs.withColumn("piece", F.explode(F.sequence(F.lit(0).cast("bigint"), _pieces(size) - 1)))
+    rest = F.col("pairs") - F.col("piece").cast("decimal(19,0)") * whole
+    return cut.withColumn("pairs", F.least(whole, rest.cast(PAIRS)))
 
 
 def self_join_on(df: DataFrame, column: str) -> DataFrame:
     """The rows of a join of the table with itself on a column, showing that column.
 
     Values are counted first and written out as often as the join would give them. Repeated
-    values are cut into pieces that are dealt to all tasks, so a frequent value is written
-    by many, and no row ever holds more than a few thousand copies.
+    values are cut step by step, each step into at most a few thousand pieces, and the pieces
+    are dealt to all tasks; so a frequent value is written by many, and no row ever holds more
+    than a few thousand copies, whatever the count.
     """
-    pairs = self_join_counts(df, column)
-    large = _cut(pairs.where(F.col("pairs") > 1), EXPAND_BATCH**2).repartition(column, "piece")
-    repeated = _cut(large.drop("piece"), EXPAND_BATCH).select(
+    counts = self_join_counts(df, column)
+    pieces = counts.where(F.col("pairs") > 1)
+    for power in range(LARGEST_CUT, 1, -1):
+        pieces = _cut(pieces, EXPAND_BATCH**power).drop("piece")
+        if power == LARGEST_CUT // 2:
+            pieces = pieces.withColumn("_spread", F.monotonically_increasing_id())
+            pieces = pieces.repartition("_spread").drop("_spread")
+    pieces = pieces.withColumn("_spread", F.monotonically_increasing_id())
+    pieces = _cut(pieces.repartition("_spread").drop("_spread"), EXPAND_BATCH)
+    repeated = pieces.select(
         F.explode(F.array_repeat(F.col(column), F.col("pairs").cast("int"))).alias(column)
     )
-    return pairs.where(F.col("pairs") == 1).select(column).union(repeated)
+    return counts.where(F.col("pairs") == 1).select(column).union(repeated)
 
 
 def join_on_id(a: DataFrame, b: DataFrame, a_id: str, b_id: str) -> DataFrame:

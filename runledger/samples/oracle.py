@@ -111,8 +111,11 @@ no_shapes AS (
 
 
 def _usage(match: str, where: str = "true") -> str:
+    """Run usage of the runs that meet a condition, on shapes of such runs."""
     by_run = "AND r.run_id = s.run_id" if match == "run" else ""
     return f"""
+own_shapes AS (
+  SELECT * FROM shapes WHERE run_id IN (SELECT run_id FROM job_runs WHERE {where})),
 paired AS (
   SELECT r.*, s.driver_node, s.worker_node, s.node_provision_method,
     CAST(CASE s.num_workers WHEN 'None' THEN '0' ELSE s.num_workers END AS BIGINT)
@@ -122,7 +125,7 @@ paired AS (
     CAST(d.vcpus AS BIGINT) AS driver_vcps, CAST(w.vcpus AS BIGINT) AS worker_vcps,
     duration / 3600000.0::DOUBLE AS hours
   FROM job_runs r
-  JOIN shapes s ON r.job_id = s.job_id AND r.task_key = s.task_key {by_run}
+  JOIN own_shapes s ON r.job_id = s.job_id AND r.task_key = s.task_key {by_run}
   JOIN sizes d ON d.instance_size = split_part(s.driver_node, '.', -1)
   JOIN sizes w ON w.instance_size = split_part(s.worker_node, '.', -1)
   WHERE {where}),
@@ -136,6 +139,33 @@ usage AS (
   FROM paired)"""
 
 
+_NORMALIZED = f"""
+WITH {RUNS},
+named AS (
+  SELECT job_id, run_id, task_key, num_workers, autoscale_min, autoscale_max,
+    node_provision_method, split_part(driver_node, '.', -1) AS ds,
+    split_part(worker_node, '.', -1) AS ws,
+    CASE WHEN run_id % 3 = 0 THEN 'Standard_' || split_part(driver_node, '.', -1) || '_v2'
+      ELSE driver_node END AS driver_node,
+    CASE WHEN run_id % 3 = 0 THEN 'Standard_' || split_part(worker_node, '.', -1) || '_v2'
+      ELSE worker_node END AS worker_node
+  FROM shapes),
+paired AS (
+  SELECT r.job_id, r.run_id, run_name, run_type, run_starttime, run_result_state, driver_node,
+    worker_node, node_provision_method, duration / 3600000.0::DOUBLE AS hours,
+    CAST(CASE num_workers WHEN 'None' THEN '0' ELSE num_workers END AS BIGINT) AS worker_nodes,
+    CAST(autoscale_min AS BIGINT) AS autoscale_min, CAST(autoscale_max AS BIGINT) AS autoscale_max,
+    CAST(d.vcpus AS BIGINT) AS driver_vcps, CAST(w.vcpus AS BIGINT) AS worker_vcps
+  FROM job_runs r JOIN named s USING (job_id, run_id, task_key)
+  JOIN sizes d ON d.instance_size = ds JOIN sizes w ON w.instance_size = ws)
+SELECT DISTINCT job_id, run_id, run_name, run_type, run_starttime, run_result_state,
+  driver_node, driver_vcps, node_provision_method, worker_node, worker_nodes,
+  autoscale_min, autoscale_max, worker_vcps, round(hours * 60, 2) AS duration_min,
+  round(hours * driver_vcps + hours * worker_vcps * greatest(worker_nodes, autoscale_max), 2)
+    AS core_hrs
+FROM paired"""
+
+
 def _estimate(match: str) -> str:
     factor = 365 // (END - START).days
     window = f"run_starttime >= {epoch_ms(START)} AND run_starttime < {epoch_ms(END)}"
@@ -256,6 +286,7 @@ ways AS (
   SELECT t.*,
     CASE WHEN way <= 1 AND a.k IS NOT NULL THEN 'listed'
       WHEN (way <= 1 OR way = 7) AND f.k IS NOT NULL THEN 'fetched'
+      WHEN mp IS NULL THEN 'nothing'
       WHEN way <= 1 THEN 'lost' WHEN way = 7 THEN 'no instance' WHEN way = 8 THEN 'nothing'
       WHEN way IN (4, 5) THEN 'plain'
       WHEN way = 6 THEN CASE WHEN p.k IS NULL THEN 'no pool' ELSE 'pooled' END
@@ -325,13 +356,14 @@ SELECT job_id, run_id, task_key,
 FROM ways LEFT JOIN pools p ON p.k = pool LEFT JOIN pools d ON d.k = driver_pool
 WHERE found IN ('plain', 'shared plain', 'pooled', 'shared pooled'))"""
 
-_FROM_EXPORTS = f"""
+def _from_exports(workers: str) -> str:
+    return f"""
 WITH {_RESOLVED},
 charged AS (
   SELECT DISTINCT r.job_id, r.run_id, run_name, r.run_type, run_starttime, run_result_state,
     driver_node, worker_node, num_workers, autoscale_min, autoscale_max, duration,
     round(duration / 3600000.0::DOUBLE * d.vcpus
-      + duration / 3600000.0::DOUBLE * w.vcpus * CAST(num_workers AS BIGINT), 2) AS core_hrs
+      + duration / 3600000.0::DOUBLE * w.vcpus * {workers}, 2) AS core_hrs
   FROM job_runs r
   JOIN resolved c USING (job_id, run_id, task_key)
   JOIN sizes d ON d.instance_size = split_part(driver_node, '.', -1)
@@ -525,8 +557,8 @@ old AS (
 fresh AS (
   SELECT old.*, prediction_id, e, {driver("e")} AS new_driver, {worker("e")} AS new_worker,
     CASE WHEN workers IS NOT NULL THEN CAST(1 + e % 12 AS VARCHAR) ELSE '' END AS new_workers
-  FROM old JOIN newest USING (project_id))
-SELECT k AS job_id, project_id, prediction_id, 'main' AS cluster_name,
+  FROM old JOIN newest USING (project_id)),
+applied AS (SELECT k AS job_id, project_id, prediction_id, 'main' AS cluster_name,
   driver AS driver_before, worker AS worker_before,
   CASE WHEN workers <> 0 THEN CAST(workers AS VARCHAR) ELSE '' END AS num_workers_before,
   CASE WHEN scale_max IS NULL THEN ''
@@ -538,7 +570,12 @@ SELECT k AS job_id, project_id, prediction_id, 'main' AS cluster_name,
     AS autoscale_after,
   '{{"n":"' || (e % 16) || '"}}' AS spark_conf_after,
   new_driver AS written_driver
-FROM fresh"""
+FROM fresh)
+SELECT k AS job_id, CASE WHEN has_shared THEN j.project_id END AS project_id,
+  a.job_id IS NOT NULL AS changed, a.* EXCLUDE (job_id, project_id, written_driver),
+  CASE WHEN a.job_id IS NOT NULL THEN written_driver WHEN has_shared THEN {driver("k")} END
+    AS written_driver
+FROM jobs j LEFT JOIN applied a ON a.job_id = k"""
 
 _WEBHOOKS = """
 WITH blocks AS (
@@ -550,24 +587,51 @@ SELECT c_custkey AS job_id, CASE WHEN c_custkey % 9 = 0 THEN '{}' END AS job_blo
   coalesce(task_blocks, '') AS task_blocks
 FROM customer LEFT JOIN blocks ON k = c_custkey"""
 
+_ENGINE_CONF = '{"spark.master":"local[*, 4]","spark.databricks.cluster.profile":"singleNode"}'
 _ONBOARD = f"""
 WITH {_JOBS}
-SELECT k AS job_id, CAST(CASE WHEN has_aux THEN 3 ELSE 2 END AS INTEGER) AS clusters,
+SELECT k AS job_id, true AS changed, CAST(CASE WHEN has_aux THEN 3 ELSE 2 END AS INTEGER)
+    AS clusters,
   CAST(2 + k % 3 AS INTEGER) AS tasks,
   CASE WHEN k % 8 = 5 THEN '/other.sh,/agent.sh' ELSE '/agent.sh' END AS scripts,
   CAST(CASE WHEN k % 3 = 0 THEN 4 ELSE 3 END AS INTEGER) AS env_vars, 'new' AS host,
   CASE WHEN k % 3 = 0 THEN CAST(k % 4 AS VARCHAR) END AS kept,
   'get_recommendation_cluster' AS cluster_key,
   CASE WHEN k % 10 <> 9 THEN 'arn:' || ((k + CASE WHEN has_aux THEN 1 ELSE 0 END) % 3) END AS arn,
-  'PHOTON' AS engine, 'i3.xlarge' AS node, 'recommend' AS task_key,
+  'PHOTON' AS engine, 'i3.xlarge' AS node, '{_ENGINE_CONF}' AS conf,
+  '{{"ResourceClass":"SingleNode"}}' AS tags, '{{}}' AS env,
+  '{{"plan":"Standard"}}' AS parameters, 'recommend' AS task_key,
   't' || (1 + k % 3) AS depends_on,
   CASE WHEN (k + 1 + k % 3) % 2 = 0 THEN 'GIT' END AS source
-FROM jobs WHERE has_shared"""
+FROM jobs WHERE has_shared
+UNION ALL
+SELECT k, false, CAST(0 AS INTEGER), CAST(CASE WHEN multi THEN 1 + k % 3 ELSE 0 END AS INTEGER),
+  NULL, CAST(NULL AS INTEGER), NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL,
+  CASE WHEN multi THEN 't' || (1 + k % 3) END, NULL,
+  CASE WHEN multi AND (k + 1 + k % 3) % 2 = 0 THEN 'GIT' END
+FROM jobs WHERE NOT has_shared"""
 
 _PAIR = "FROM job_runs r JOIN shapes s USING (job_id, task_key)"
+_RUN_PAIR = "FROM job_runs r JOIN shapes s USING (job_id, run_id, task_key)"
 _COUNTS = """count(DISTINCT r.run_name || r.task_key) AS job_task_count,
   count(DISTINCT r.run_id) AS run_count"""
 
+def _xor_series(value: str) -> str:
+    return f"""
+WITH bucketed AS (
+  SELECT l_orderkey, l_linenumber, CAST(floor(l_quantity / 5) AS INTEGER) AS bucket
+  FROM lineitem),
+steps AS (
+  SELECT bucket, CAST(bucket * i + bucket * j AS BIGINT) AS v, i + 1 + j AS d
+  FROM (SELECT DISTINCT bucket FROM bucketed), range(1, {XOR_I}) a(i), range(1, {XOR_J}) b(j)),
+summed AS (
+  SELECT bucket, round(fsum(xor(v, 2) / d + xor(v, 3) / d + xor(v, 4) / d), 6)
+    AS factorial_value
+  FROM steps GROUP BY bucket)
+SELECT l_orderkey, l_linenumber, bucket, {value} AS factorial_value
+FROM bucketed JOIN summed USING (bucket)"""
+
+
 ORACLE: dict[str, str] = {
     "usage_estimate": _estimate("task"),
     "usage_estimate_by_run": _estimate("run"),
@@ -614,7 +678,35 @@ SELECT role, node, split_part(node, '.', -1) AS instance_size, count(*) AS clust
 FROM roles WHERE split_part(node, '.', -1) NOT IN (SELECT instance_size FROM sizes)
 GROUP BY role, node""",
     "resolve_clusters": f"WITH {_RESOLVED} SELECT * FROM resolved",
-    "estimate_from_exports": _FROM_EXPORTS,
+    "estimate_from_exports": _from_exports("CAST(num_workers AS BIGINT)"),
+    # An unset number of workers is 0 in these rows; their largest size is then charged, and
+    # it is 0 wherever a number is set.
+    "estimate_autoscale": _from_exports("greatest(CAST(num_workers AS BIGINT),"
+                                        " CAST(autoscale_max AS BIGINT))"),
+    "run_usage_normalized": _NORMALIZED,
+    "pool_usage_by_run": f"""
+WITH {RUNS}, {_POOLS}
+SELECT instance_pool_id, instance_pool_name, node_type_id, {_COUNTS}
+{_RUN_PAIR} JOIN pools USING (instance_pool_id)
+GROUP BY instance_pool_id, instance_pool_name, node_type_id""",
+    "daily_usage_by_run": f"""
+WITH {RUNS}
+SELECT CAST(make_timestamp(r.run_starttime * 1000) AS DATE) AS day, run_type,
+  compute_definition, {_COUNTS}
+{_RUN_PAIR} GROUP BY day, run_type, compute_definition""",
+    "submit_groups_by_run": f"""
+WITH {RUNS}
+SELECT CAST(make_timestamp(r.run_starttime * 1000) AS DATE) AS day, {_TASK_KIND} AS task_type,
+  count(DISTINCT run_id) AS distinct_run_ids, count(DISTINCT job_id) AS distinct_job_ids
+{_RUN_PAIR} GROUP BY 1, 2""",
+    "instance_coverage": f"""
+WITH {RUNS}, {_usage("run")},
+{rows("instances", "instance_type, vcpus, memory, dbus, cloud", INSTANCE_ROWS)},
+roles AS (SELECT 'driver' AS role, driver_node AS instance_type FROM usage
+  UNION ALL SELECT 'worker', worker_node FROM usage)
+SELECT role, instance_type, count(*) AS usage_rows FROM roles
+WHERE instance_type NOT IN (SELECT instance_type FROM instances)
+GROUP BY role, instance_type""",
     "unresolved_tasks": _UNRESOLVED,
     "normalize_clusters": _CLUSTER_INFO,
     "normalize_pools": f"WITH {_POOLS} SELECT * EXCLUDE (k) FROM pools",
@@ -661,19 +753,9 @@ GROUP BY a.l_extendedprice""",
     "id_join": """
 SELECT o_orderkey, o_totalprice, l_orderkey, l_quantity, l_extendedprice
 FROM orders JOIN lineitem ON o_orderkey = l_orderkey""",
-    "xor_series": f"""
-WITH bucketed AS (
-  SELECT l_orderkey, l_linenumber, CAST(floor(l_quantity / 5) AS INTEGER) AS bucket
-  FROM lineitem),
-steps AS (
-  SELECT bucket, CAST(bucket * i + bucket * j AS BIGINT) AS v, i + 1 + j AS d
-  FROM (SELECT DISTINCT bucket FROM bucketed), range(1, {XOR_I}) a(i), range(1, {XOR_J}) b(j)),
-summed AS (
-  SELECT bucket, round(sum(xor(v, 2) / d + xor(v, 3) / d + xor(v, 4) / d), 2)
-    AS factorial_value
-  FROM steps GROUP BY bucket)
-SELECT l_orderkey, l_linenumber, bucket, factorial_value
-FROM bucketed JOIN summed USING (bucket)""",
+    "xor_series_text": _xor_series("CAST(CAST(round(factorial_value, 3) AS DECIMAL(20,3))"
+                                   " AS VARCHAR)"),
+    "xor_series": _xor_series("factorial_value"),
     "sales_amount": """
 SELECT l_orderkey AS InvoiceNo, l_quantity AS Quantity, l_extendedprice AS UnitPrice,
   l_quantity * l_extendedprice AS SalesAmount

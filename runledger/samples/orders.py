@@ -1,9 +1,9 @@
 """Usage tables derived from an order schema, so that every operator can be run at any
 scale on the same data. An order is a run, its customer the job, its lines the tasks.
 
-Line numbers run from 1 to 7, so the lines of an order fit into seven columns: they are
-combined before the one shuffle of ``lineitem``, which is by order key and also serves the
-join with ``orders``. Columns are given as SQL text: there are many, and all are plain.
+``lineitem`` is shuffled once, by order key, which serves the grouping by line, the list of an
+order's lines and the join with ``orders``. Any line number counts, and a line without a part
+key is a line. Columns are given as SQL text: there are many, and all are plain.
 """
 
 from __future__ import annotations
@@ -38,8 +38,6 @@ from runledger.schemas import (
     WEBHOOKS,
 )
 
-LINES = range(1, 8)
-
 # Node types and sizes of the derived clusters. 'metal' is not a listed size.
 DRIVER_NODES = (
     "m5.large", "m5.xlarge", "r5.2xlarge", "r5.4xlarge", "m-fleet.xlarge", "m5.metal",
@@ -110,39 +108,48 @@ def _nested(df: DataFrame, schema: StructType, **columns: str) -> DataFrame:
     return df.selectExpr(f"inline(array({record(schema, **columns)}))")
 
 
-def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per order: ``lines``, the smallest part key of each of its line numbers."""
-    items = read(spark, sf_dir, "lineitem").groupBy("l_orderkey")
-    smallest = items.agg(
-        *(
-            F.expr(f"min(l_partkey) FILTER (WHERE l_linenumber = {n})").alias(f"line{n}")
-            for n in LINES
-        )
-    )
-    lines = ", ".join(f"named_struct('n', {n}, 'mp', line{n})" for n in LINES)
+RUN_SQL = (
+    "o_custkey AS job_id",
+    "o_orderkey AS run_id",
+    "'job_' || (o_custkey % 97) AS run_name",
+    "CAST(unix_date(CAST(o_orderdate AS DATE)) AS BIGINT) * 86400000"
+    " + (o_orderkey % 96) * 900000 AS run_starttime",
+    "(1 + o_orderkey % 16) * 900000 AS duration",
+    "CASE o_orderpriority WHEN '1-URGENT' THEN 'SUBMIT_RUN'"
+    " WHEN '2-HIGH' THEN 'WORKFLOW_RUN' ELSE 'JOB_RUN' END AS run_type",
+    f"{LIFE_CYCLE} AS run_life_cycle_state",
+    "CASE o_orderstatus WHEN 'F' THEN 'SUCCESS' WHEN 'O' THEN 'FAILED'"
+    " ELSE 'CANCELED' END AS run_result_state",
+)
+
+
+def _items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per order key and line number: its smallest part key."""
+    items = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
     return (
-        read(spark, sf_dir, "orders")
-        .join(smallest, F.col("o_orderkey") == F.col("l_orderkey"))
-        .selectExpr(
-            "o_custkey AS job_id",
-            "o_orderkey AS run_id",
-            "'job_' || (o_custkey % 97) AS run_name",
-            "CAST(unix_date(CAST(o_orderdate AS DATE)) AS BIGINT) * 86400000"
-            " + (o_orderkey % 96) * 900000 AS run_starttime",
-            "(1 + o_orderkey % 16) * 900000 AS duration",
-            "CASE o_orderpriority WHEN '1-URGENT' THEN 'SUBMIT_RUN'"
-            " WHEN '2-HIGH' THEN 'WORKFLOW_RUN' ELSE 'JOB_RUN' END AS run_type",
-            f"{LIFE_CYCLE} AS run_life_cycle_state",
-            "CASE o_orderstatus WHEN 'F' THEN 'SUCCESS' WHEN 'O' THEN 'FAILED'"
-            " ELSE 'CANCELED' END AS run_result_state",
-            f"array({lines}) AS lines",
-        )
+        items.repartition("l_orderkey")
+        .groupBy("l_orderkey", "l_linenumber")
+        .agg(F.min("l_partkey").alias("mp"))
+        .withColumnRenamed("l_linenumber", "n")
     )
 
 
+def _with_orders(spark: SparkSession, sf_dir: str, items: DataFrame, *columns: str) -> DataFrame:
+    joined = read(spark, sf_dir, "orders").join(items, F.col("o_orderkey") == F.col("l_orderkey"))
+    return joined.selectExpr(*RUN_SQL, *columns)
+
+
+def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per order that has lines: ``lines``, its line numbers in order with the smallest
+    part key of each."""
+    lines = F.array_sort(F.collect_list(F.struct("n", "mp"))).alias("lines")
+    listed = _items(spark, sf_dir).groupBy("l_orderkey").agg(lines)
+    return _with_orders(spark, sf_dir, listed, "lines")
+
+
 def run_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per (order, line number): ``n`` and ``mp``, its smallest part key."""
-    return order_lines(spark, sf_dir).selectExpr("*", "inline(lines)").where("mp IS NOT NULL")
+    return _with_orders(spark, sf_dir, _items(spark, sf_dir), "n", "mp")
 
 
 def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -211,6 +218,18 @@ def sizes(spark: SparkSession) -> DataFrame:
     return _values(spark, SIZES, FLEET_SIZE)
 
 
+def standard_name(column: str) -> str:
+    """Every third node type in the form ``Standard_<size>_v2``, by part of the name."""
+    size = f"substring_index({column}, '.', -1)"
+    return f"CASE WHEN run_id % 3 = 0 THEN 'Standard_' || {size} || '_v2' ELSE {column} END"
+
+
+def standard_sizes(spark: SparkSession) -> DataFrame:
+    """The sizes, once more by the catalogue's name for the other form."""
+    own = sizes(spark)
+    return own.union(own.selectExpr("instance_size || ' v2'", "vcpus"))
+
+
 def instances(spark: SparkSession) -> DataFrame:
     return _values(spark, INSTANCE_ROWS, INSTANCES)
 
@@ -314,7 +333,7 @@ def nested_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         state="named_struct('life_cycle_state', run_life_cycle_state,"
         " 'result_state', run_result_state)",
         job_clusters=when("run_id % 13 <> 0", f"array({shared_plain}, {shared_pooled})"),
-        tasks=f"transform(filter(lines, l -> l.mp IS NOT NULL), l -> {task})",
+        tasks=f"transform(lines, l -> {task})",
     )
 
 

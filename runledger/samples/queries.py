@@ -89,6 +89,42 @@ def submit_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.submit_groups(orders.runs(spark, sf_dir), orders.with_cluster(spark, sf_dir))
 
 
+def pool_usage_by_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.pool_usage(
+        orders.runs(spark, sf_dir),
+        orders.with_cluster(spark, sf_dir),
+        orders.pools(spark, sf_dir),
+        match="run",
+    )
+
+
+def daily_usage_by_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.daily_usage(
+        orders.runs(spark, sf_dir), orders.with_cluster(spark, sf_dir), "run"
+    )
+
+
+def submit_groups_by_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.submit_groups(
+        orders.runs(spark, sf_dir), orders.with_cluster(spark, sf_dir), "run"
+    )
+
+
+def run_usage_normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clusters of which every third has node types of another cloud's form."""
+    named = orders.with_cluster(spark, sf_dir).withColumns({
+        name: F.expr(orders.standard_name(name)) for name in ("driver_node", "worker_node")
+    })
+    return usage.run_usage(
+        orders.runs(spark, sf_dir), named, orders.standard_sizes(spark), "run",
+        normalize_size=True,
+    )
+
+
+def instance_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.instance_coverage(run_usage(spark, sf_dir, "run"), orders.instances(spark))
+
+
 def dbu_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.dbu_usage(
         run_usage(spark, sf_dir, "run"), orders.instances(spark), rate=0.2
@@ -135,6 +171,23 @@ def estimate_from_exports(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def estimate_autoscale(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same estimate, with clusters without a worker count charged for their largest size."""
+    tables = usage_tables(
+        orders.nested_runs(spark, sf_dir),
+        orders.listed_clusters(spark, sf_dir),
+        orders.listed_pools(spark, sf_dir),
+        orders.job_definitions(spark, sf_dir),
+        SINCE,
+        orders.fetched_clusters(spark, sf_dir),
+        missing_workers="None",
+    )
+    return annual_estimate(
+        tables["job_run_info"], resolve.with_cluster(tables["resolved_tasks"]),
+        orders.sizes(spark), SINCE, EXPORT_END, match="run",
+    )
+
+
 def normalize_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalize.normalize_clusters(orders.listed_clusters(spark, sf_dir))
 
@@ -206,7 +259,8 @@ def self_join_value(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def self_join_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return workload.self_join_counts(_items(spark, sf_dir), "l_extendedprice")
+    counts = workload.self_join_counts(_items(spark, sf_dir), "l_extendedprice")
+    return counts.withColumn("pairs", F.col("pairs").cast("bigint"))
 
 
 def id_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -220,8 +274,18 @@ def xor_series(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey", "l_linenumber", F.floor(F.col("l_quantity") / 5).cast("int").alias("bucket")
     )
     return workload.xor_series(bucketed, "bucket", XOR_I, XOR_J).withColumn(
-        "factorial_value", F.round("factorial_value", 2)
+        "factorial_value", F.round("factorial_value", 6)
+    )
+
+
+def xor_series_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The expensive function as text; whole numbers of it, so that texts can be compared."""
+    bucketed = _items(spark, sf_dir).select(
+        "l_orderkey", "l_linenumber", F.floor(F.col("l_quantity") / 5).cast("int").alias("bucket")
     )
+    text = workload.xor_series(bucketed, "bucket", XOR_I, XOR_J, as_text=True)
+    whole = F.round(F.col("factorial_value").cast("double"), 3).cast("decimal(20,3)")
+    return text.withColumn("factorial_value", whole.cast("string"))
 
 
 def sales_amount(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -315,8 +379,9 @@ def onboard_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     task = F.element_at("settings.tasks", -1)
     return plan.select(
         "job_id",
-        F.size("settings.job_clusters").alias("clusters"),
-        F.size("settings.tasks").alias("tasks"),
+        "changed",
+        F.coalesce(F.size("settings.job_clusters"), F.lit(0)).alias("clusters"),
+        F.coalesce(F.size("settings.tasks"), F.lit(0)).alias("tasks"),
         F.array_join(
             F.transform(first["init_scripts"], lambda s: s["workspace"]["destination"]), ","
         ).alias("scripts"),
@@ -327,6 +392,10 @@ def onboard_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
         last["new_cluster"]["aws_attributes"]["instance_profile_arn"].alias("arn"),
         last["new_cluster"]["runtime_engine"].alias("engine"),
         last["new_cluster"]["node_type_id"].alias("node"),
+        F.to_json(last["new_cluster"]["spark_conf"]).alias("conf"),
+        F.to_json(last["new_cluster"]["custom_tags"]).alias("tags"),
+        F.to_json(last["new_cluster"]["spark_env_vars"]).alias("env"),
+        F.to_json(task["notebook_task"]["base_parameters"]).alias("parameters"),
         task["task_key"].alias("task_key"),
         F.get(task["depends_on"], 0)["task_key"].alias("depends_on"),
         task["notebook_task"]["source"].alias("source"),
@@ -338,11 +407,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         usage_estimate, usage_estimate_by_run, run_usage, run_usage_by_run, all_job_clusters,
         join_clusters, coverage_audit, result_states, pool_usage, daily_usage, submit_groups,
-        dbu_usage, coverage, resolve_clusters, unresolved_tasks, estimate_from_exports,
+        pool_usage_by_run, daily_usage_by_run, submit_groups_by_run, run_usage_normalized,
+        dbu_usage, instance_coverage, coverage, estimate_autoscale, resolve_clusters, unresolved_tasks, estimate_from_exports,
         normalize_clusters,
         normalize_pools, cluster_columns, normalize_jobs, normalize_runs, scan_runs,
         terminal_runs, task_prefix, exclude_tasks, filter_gt, filter_ne, self_join_value,
-        self_join_counts, id_join, xor_series, sales_amount, wide_random, latest_recommendation,
+        self_join_counts, id_join, xor_series, xor_series_text, sales_amount, wide_random, latest_recommendation,
         job_cluster, eligibility, on_demand_plan, set_on_demand, apply_recommendation,
         strip_webhooks, onboard_plan,
     )

@@ -5,12 +5,14 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from runledger.functions.expr import epoch_day
 from runledger.operators.resolve import with_cluster, without_cluster
 
 RUN_DAY = "run_day"
 RESOLVED = "resolved_tasks"
+BY_DAY = ("job_run_info", "job_run_cluster_info")
 
 
 def register(tables: Mapping[str, DataFrame]) -> None:
@@ -19,11 +21,14 @@ def register(tables: Mapping[str, DataFrame]) -> None:
         df.createOrReplaceTempView(name)
 
 
-def split_resolved(resolved: DataFrame) -> dict[str, DataFrame]:
-    return {
-        "job_run_cluster_info": with_cluster(resolved),
-        "job_run_no_cluster_info": without_cluster(resolved),
-    }
+def split_resolved(resolved: DataFrame, by_day: bool = False) -> dict[str, DataFrame]:
+    """The two cluster tables; ``by_day`` adds the day of the run to the first."""
+    found = with_cluster(resolved)
+    if by_day:
+        found = with_run_day(resolved.where(F.col("status").isNull())).select(
+            *found.columns, RUN_DAY
+        )
+    return {"job_run_cluster_info": found, "job_run_no_cluster_info": without_cluster(resolved)}
 
 
 def with_run_day(runs: DataFrame) -> DataFrame:
@@ -40,8 +45,9 @@ def write_tables(
     """Store tables, replacing old ones, and return them as read back.
 
     They become managed tables of ``schema`` or Parquet folders under ``path``. A table of
-    resolved tasks is stored first and then split, so its joins run once. ``runs_by_day``
-    partitions ``job_run_info`` by day, for estimates that read only their window.
+    resolved tasks is stored first and then split, so its joins run once; it stays, since the
+    cluster tables have to be there by name. ``runs_by_day`` partitions ``job_run_info`` and
+    ``job_run_cluster_info`` by the day of the run, for estimates that read only their window.
     """
     if (schema is None) == (path is None):
         raise ValueError("give either schema or path")
@@ -50,9 +56,10 @@ def write_tables(
 
     def store(name: str, df: DataFrame) -> DataFrame:
         writer = df.write.mode("overwrite").format("parquet")
-        if runs_by_day and name == "job_run_info":
+        if runs_by_day and name in BY_DAY:
             # Rebalancing gathers the rows of a day, but splits a day too large for one task.
-            by_day = with_run_day(df).hint("rebalance", RUN_DAY)
+            dated = df if RUN_DAY in df.columns else with_run_day(df)
+            by_day = dated.hint("rebalance", RUN_DAY)
             writer = by_day.write.mode("overwrite").format("parquet").partitionBy(RUN_DAY)
         if schema is not None:
             writer.saveAsTable(f"`{schema}`.`{name}`")
@@ -64,7 +71,7 @@ def write_tables(
     for name, df in tables.items():
         stored[name] = store(name, df)
         if name == RESOLVED:
-            for part, rows in split_resolved(stored[name]).items():
+            for part, rows in split_resolved(stored[name], runs_by_day).items():
                 stored[part] = store(part, rows)
     return stored
 

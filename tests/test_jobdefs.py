@@ -156,7 +156,16 @@ def test_apply_recommendation(spark):
         job(3, job_clusters=[shared("k", custom_tags={TAG: "none"})]),
         job(4, tasks=[]),
     )
-    one, two = jobdefs.apply_recommendation(jobs, recs, TAG).orderBy("job_id").collect()
+    applied = jobdefs.apply_recommendation(jobs, recs, TAG)
+    one, two, three, four = applied.orderBy("job_id").collect()
+    # The others come back as they were, so that the result can replace the table.
+    assert [r.changed for r in (one, two, three, four)] == [True, True, False, False]
+    before = {r.job_id: r.settings for r in jobs.collect()}
+    assert (three.settings, four.settings) == (before[3], before[4])
+    assert (three.project_id, three.prediction_id, three.cluster_name) == ("none", None, None)
+    for limits in ({"max_rows": 0}, {"max_rows": 0, "split_rows": 1}):
+        again = jobdefs.apply_recommendation(jobs, recs, TAG, **limits)
+        assert sorted(map(str, again.collect())) == sorted(map(str, applied.collect()))
     assert (one.prediction_id, one.cluster_name) == ("2", "k")
     assert (one.driver_before, one.driver_after) == ("", "d")
     assert (one.worker_before, one.worker_after) == ("a", "w")
@@ -200,6 +209,38 @@ def test_success_prefix_limits_groups_before_the_shuffle(spark, capsys):
     assert plan.rindex("WindowGroupLimit") > plan.rindex("Exchange")
 
 
+@pytest.mark.parametrize("split_rows", [3, 1_000_000])
+def test_success_prefix_of_any_length(spark, conf, split_rows):
+    conf("spark.sql.optimizer.windowGroupLimitThreshold", "4")
+    runs = spark.range(60).selectExpr(
+        "IF(id % 10 = 9, NULL, id % 3) AS job_id", "id AS run_id", "1000 - id AS run_starttime",
+        "IF(id = 7, 'FAILED', 'SUCCESS') AS run_result_state",
+    )
+    window = {}
+    for r in sorted(runs.collect(), key=lambda r: (r.run_starttime, r.run_id)):
+        window.setdefault(r.job_id, []).append(r)
+    expected = []
+    for rows in window.values():
+        for number, r in enumerate(rows[:12], start=1):
+            if r.run_result_state != "SUCCESS":
+                break
+            expected.append((r.job_id, r.run_id, number))
+    found = jobdefs.success_prefix(runs, 12, split_rows=split_rows).collect()
+    assert sorted(((r.job_id, r.run_id, r.run_number) for r in found), key=str) == sorted(
+        expected, key=str
+    )
+
+
+def test_success_prefix_of_many_runs_sorts_parts(spark, capsys):
+    runs = spark.range(100).selectExpr(
+        "id % 3 AS job_id", "id AS run_id", "id AS run_starttime", "'SUCCESS' AS run_result_state"
+    )
+    jobdefs.success_prefix(runs, 5000).explain()
+    plan = capsys.readouterr().out
+    # The first sort by the shuffle nearest to the source is of parts.
+    assert "_part" in plan[plan.rindex("Window [row_number()"):]
+
+
 def test_strip_webhooks(spark):
     hooks = {"on_success": [{"id": "h"}]}
     jobs = frame(
@@ -246,7 +287,10 @@ def test_onboarding(spark):
         job(4, tasks=[{"task_key": "a"}]),
         job(5, job_clusters=[shared("k")]),
     )
-    assert set(found) == {1, 2, 3}
+    assert set(found) == {1, 2, 3, 4, 5}
+    assert [len(found[k].job_clusters or []) for k in (4, 5)] == [0, 1]
+    assert [len(found[k].tasks or []) for k in (4, 5)] == [1, 0]
+    del found[4], found[5]
     one = found[1]
     assert one.job_clusters[0].new_cluster.spark_env_vars == {"A": "1", "B": "2", "KEEP": "k"}
     assert one.job_clusters[1].new_cluster.spark_env_vars is None
@@ -276,7 +320,8 @@ def test_onboarding(spark):
 def test_onboarding_keeps_the_schema(spark):
     jobs = frame(spark, JOB, job(1))
     plan = jobdefs.onboard_plan(jobs, PARAMS)
-    assert plan.schema.simpleString() == jobs.schema.simpleString()
+    assert plan.drop("changed").schema.simpleString() == jobs.schema.simpleString()
+    assert [r.changed for r in plan.collect()] == [False]
 
 
 def test_exclude_tasks(spark):

@@ -2,6 +2,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
+from pyspark.sql.classic.dataframe import DataFrame
 
 from runledger.operators.skew import fits_broadcast, hot_keys, lookup, split_join
 
@@ -16,6 +17,44 @@ def skewed(spark, n=300):
     return ids.select(k.cast("bigint").alias("k"), F.col("id").alias("v"))
 
 
+@settings(max_examples=12, deadline=None,
+          suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    left=st.lists(key, max_size=9), right=st.lists(key, max_size=9), split=st.integers(1, 4),
+)
+def test_split_join_of_both_sides_is_a_join(spark, left, right, split):
+    a = spark.createDataFrame([(k, i) for i, k in enumerate(left)], LEFT)
+    b = spark.createDataFrame([(k, i) for i, k in enumerate(right)], RIGHT)
+    ours = split_join(a, b, ["k"], by=["v"], split_rows=split, right_by=["w"])
+    plain = a.join(b, "k")
+    assert ours.columns == plain.columns
+    assert sorted(map(str, ours.collect())) == sorted(map(str, plain.collect()))
+
+
+def test_many_rows_on_the_right_reach_many_partitions(spark, conf):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    conf("spark.sql.adaptive.enabled", "false")
+    few = spark.createDataFrame([(0, 5)], LEFT)
+    many = spark.range(1000).select((F.col("id") % 1).alias("k"), F.col("id").alias("w"))
+    joined = split_join(few, many, ["k"], by=["v"], split_rows=10, right_by=["w"])
+    sizes = [r[1] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 1000 and max(sizes) < 400
+
+
+def test_size_check_moves_one_row_per_task(spark, capsys):
+    seen = []
+    original = DataFrame.first
+    try:
+        DataFrame.first = lambda self: seen.append(self) or original(self)
+        assert fits_broadcast(spark.range(1000))
+    finally:
+        DataFrame.first = original
+    seen[0].explain()
+    plan = capsys.readouterr().out
+    assert plan.index("SinglePartition") < plan.index("partial_count")
+    assert "Limit" not in plan
+
+
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi"])
 @settings(max_examples=12, deadline=None,
           suppress_health_check=[HealthCheck.function_scoped_fixture])

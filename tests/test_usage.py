@@ -3,8 +3,9 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from runledger.functions.expr import epoch_ms
+from runledger.functions.expr import epoch_day, epoch_ms
 from runledger.operators import reports, usage
+from runledger.operators.skew import lookup
 from runledger.plans.estimate import annual_estimate, window_runs
 from runledger.samples import orders
 from runledger.schemas import JOB_RUN_CLUSTER_INFO, JOB_RUN_INFO, POOLS_INFO
@@ -222,8 +223,10 @@ def test_estimate_equals_plain_python(spark, sf_dir):
     start, end = dt.date(1996, 1, 1), dt.date(1996, 3, 1)
     runs, clusters = orders.runs(spark, sf_dir), orders.with_cluster(spark, sf_dir)
     sizes = orders.sizes(spark)
+    inside = [r.run_id for r in window_runs(runs, start, end).select("run_id").collect()]
+    own = clusters.where(F.col("run_id").isin(inside))
     rows = [
-        r for r in usage.run_usage(runs, clusters, sizes).collect()
+        r for r in usage.run_usage(runs, own, sizes).collect()
         if epoch_ms(start) <= r.run_starttime < epoch_ms(end)
     ]
     (row,) = annual_estimate(runs, clusters, sizes, start, end, rate=0.01).collect()
@@ -236,6 +239,84 @@ def test_estimate_equals_plain_python(spark, sf_dir):
     assert row.est_annual_core_hr_cost == pytest.approx(total * 6 * 0.01, abs=0.01)
 
 
+@pytest.mark.parametrize("by_day", [False, True])
+def test_shapes_from_before_the_window_are_not_charged(spark, tmp_path, by_day):
+    day = 86_400_000
+    names = ["job_id", "run_id", "task_key", "run_name", "run_type", "run_starttime",
+             "run_endtime", "run_result_state"]
+    runs = spark.createDataFrame(
+        [(1, 10, "t", "a", "JOB_RUN", 1 * day, 1 * day + 3_600_000, "SUCCESS"),
+         (1, 11, "t", "a", "JOB_RUN", 5 * day, 5 * day + 3_600_000, "SUCCESS"),
+         (1, 12, "t", "a", "JOB_RUN", 6 * day, 6 * day + 3_600_000, "SUCCESS")], names,
+    )
+    shape = ["job_id", "run_id", "task_key", *usage.SHAPE_COLUMNS]
+    clusters = spark.createDataFrame(
+        [(1, 10, "t", "m.big", "m.big", "50", "0", "0"),
+         (1, 11, "t", "m.small", "m.small", "1", "0", "0"),
+         (1, 12, "t", "m.small", "m.small", "2", "0", "0")], shape,
+    )
+    if by_day:
+        days = runs.select("run_id", F.expr("date_add(DATE'1970-01-01', CAST(run_starttime"
+                                            " / 86400000 AS INT))").alias("run_day"))
+        clusters.join(days, "run_id").write.partitionBy("run_day").parquet(str(tmp_path / "c"))
+        clusters = spark.read.parquet(str(tmp_path / "c"))
+    sizes = spark.createDataFrame([("big", 64), ("small", 2)], "instance_size string, vcpus int")
+    start = dt.date(1970, 1, 5)
+    row = annual_estimate(runs, clusters, sizes, start, start + dt.timedelta(7)).first()
+    # Two runs of an hour, each charged for both small shapes of the window.
+    assert (row.runs, row.core_hrs) == (2, 2 * ((2 + 2) + (2 + 4)))
+    by_run = annual_estimate(
+        runs, clusters, sizes, start, start + dt.timedelta(7), match="run"
+    ).first()
+    assert (by_run.runs, by_run.core_hrs) == (2, (2 + 2) + (2 + 4))
+
+
+def test_stored_days_prune_both_tables(spark, sf_dir, tmp_path, capsys):
+    runs = orders.runs(spark, sf_dir)
+    days = runs.select("run_id", epoch_day("run_starttime").alias("run_day")).distinct()
+    with_run_day(runs).repartition(1).write.partitionBy("run_day").parquet(str(tmp_path / "runs"))
+    orders.with_cluster(spark, sf_dir).join(days, "run_id").repartition(1).write.partitionBy(
+        "run_day"
+    ).parquet(str(tmp_path / "clusters"))
+    stored = [spark.read.parquet(str(tmp_path / name)) for name in ("runs", "clusters")]
+    for match in ("task", "run"):
+        annual_estimate(
+            *stored, orders.sizes(spark), dt.date(1996, 1, 1), dt.date(1996, 1, 8), match=match
+        ).explain("formatted")
+        plan = capsys.readouterr().out
+        for name in ("runs", "clusters"):
+            scan = plan[plan.index(str(tmp_path / name)):]
+            filters = scan[scan.index("PartitionFilters"):].splitlines()[0]
+            assert "run_day" in filters
+
+
+@pytest.mark.parametrize("what", ["pool", "size"])
+def test_a_popular_pool_or_size_is_split(spark, conf, what):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    conf("spark.sql.adaptive.enabled", "false")
+    ids = spark.range(2000).selectExpr("id % 50 AS job_id", "id AS run_id", "'t' AS task_key")
+    if what == "pool":
+        side = ids.withColumn("instance_pool_id", F.lit("p"))
+        dim = spark.createDataFrame([("p", 1)], "instance_pool_id string, x int")
+        joined = lookup(side, dim, "instance_pool_id", usage.match_keys("run"), "inner",
+                        max_rows=0, split_rows=20)
+    else:
+        shapes = ids.withColumns({c: F.lit("m.large") for c in usage.SHAPE_COLUMNS})
+        dim = spark.createDataFrame([("large", 2)], "instance_size string, vcpus int")
+        joined = usage.sized_shapes(shapes, dim, "run", split_rows=20, max_rows=0)
+    sizes = [r[1] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 2000 and max(sizes) < 800
+
+
+def test_instance_coverage(spark):
+    rows = spark.createDataFrame([("a", "b"), ("a", None)], "driver_node string, worker_node string")
+    listed = spark.createDataFrame([("b",)], "instance_type string")
+    found = reports.instance_coverage(rows, listed).collect()
+    assert sorted(map(str, map(tuple, found))) == sorted(
+        map(str, [("driver", "a", 2), ("worker", None, 1)])
+    )
+
+
 def test_empty_window(spark, sf_dir):
     day = dt.date(1900, 1, 1)
     (row,) = annual_estimate(

@@ -1,3 +1,5 @@
+from decimal import Decimal
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -54,6 +56,18 @@ def test_self_join_equals_the_join(spark, monkeypatch, batch):
     assert counts == {1.0: 49, 2.0: 4, 3.0: 1}
 
 
+def test_pairs_of_a_very_frequent_value(spark):
+    """Four billion rows of a value: the pieces add up, none is too large to write."""
+    n = 4_000_000_000
+    pairs = spark.createDataFrame([(1.0, Decimal(n * n))], "c double, pairs decimal(38,0)")
+    pieces = pairs
+    for power in (10, 9, 8, 7, 6, 5, 4):
+        pieces = workload._cut(pieces, 4096**power).drop("piece")
+    found = pieces.agg(F.count("*").alias("n"), F.sum("pairs").alias("s"), F.max("pairs").alias("m"))
+    row = found.first()
+    assert (row.n, row.s, row.m) == (-(-n * n // 4096**4), n * n, 4096**4)
+
+
 def test_id_join_keeps_both_sides(spark):
     a = spark.range(5).selectExpr("id AS id1", "id * 2 AS v1")
     b = spark.range(3, 8).selectExpr("id AS id2", "id * 3 AS v2")
