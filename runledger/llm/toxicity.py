@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from runledger.llm.common import alnum_words, hash_words, sampled_texts, text_column
+from runledger.llm.common import alnum_words, hash_words, sampled_texts, slices, text_column
 
 WIDTHS = (1, 2, 3)
 FILTERS = 8
@@ -34,6 +34,8 @@ WORD_SLOTS = 1 << 16
 HEAD_SLOTS = 1 << 14
 HEAD = 4  # characters of a word's beginning
 PAD = max(WIDTHS) - 1  # empty words after each text, so that all filters fit
+AT_ONCE = 1 << 17  # words whose filter values are in memory together
+TEXTS = 256  # texts of a sample that are looked at together
 
 SAMPLE_DOCS = 4000  # for each label
 SAMPLE_BYTES = 12 << 20  # for each label
@@ -88,6 +90,18 @@ class Words:
             w[place], h[place] = word[index], head[index]
         return cls(w, h, base, guess_languages(bounds, words))
 
+    @classmethod
+    def of_many(cls, texts: pa.Array) -> Words:
+        """The same, made of bounded pieces of the texts."""
+        parts = [cls.of(piece) for piece in slices(texts)]
+        sizes = np.concatenate([np.diff(part.bounds) for part in parts])
+        return cls(
+            np.concatenate([part.word for part in parts]),
+            np.concatenate([part.head for part in parts]),
+            np.concatenate([[0], np.cumsum(sizes)]),
+            np.concatenate([part.language for part in parts]),
+        )
+
     def take(self, rows: np.ndarray) -> Words:
         n = np.diff(self.bounds)[rows]
         base = np.concatenate([[0], np.cumsum(n)])
@@ -118,48 +132,69 @@ class Network:
             self.p[f"offset{width}"] = np.zeros(FILTERS, np.float32)
         self.p["word"][-1] = self.p["head"][-1] = 0
 
-    def warm_start(self, words: Words, labels: np.ndarray) -> None:
+    def warm_start(self, words: Words, labels: np.ndarray, rows: np.ndarray) -> None:
         """Smoothed log odds of the label given a word, as the first dimension."""
-        prior = labels.mean()
-        text = np.repeat(np.arange(len(labels)), np.diff(words.bounds))
-        for table, slots in (("word", words.word), ("head", words.head)):
-            pairs = np.unique(slots.astype(np.int64) * len(labels) + text)
-            slot, of = pairs // len(labels), pairs % len(labels)
-            n = np.bincount(slot, minlength=len(self.p[table]))
-            bad = np.bincount(slot, weights=labels[of], minlength=len(self.p[table]))
-            odds = np.log((bad + 4 * prior) / (n - bad + 4 * (1 - prior)) * (1 - prior) / prior)
-            self.p[table][:, 0] = np.clip(odds, -4, 4) / 4
-            self.p[table][-1] = 0
+        prior = labels[rows].mean()
+        n = {name: np.zeros(len(self.p[name])) for name in ("word", "head")}
+        bad = {name: np.zeros(len(self.p[name])) for name in n}
+        for start in range(0, len(rows), TEXTS):
+            part = words.take(rows[start : start + TEXTS])
+            own = labels[rows[start : start + TEXTS]]
+            text = np.repeat(np.arange(len(own)), np.diff(part.bounds))
+            for name, slots in (("word", part.word), ("head", part.head)):
+                # A word counts once for each text.
+                pairs = np.unique(slots.astype(np.int64) * len(own) + text)
+                slot, of = pairs // len(own), pairs % len(own)
+                n[name] += np.bincount(slot, minlength=len(n[name]))
+                bad[name] += np.bincount(slot, weights=own[of], minlength=len(n[name]))
+        for name, total in n.items():
+            odds = (bad[name] + 4 * prior) / (total - bad[name] + 4 * (1 - prior))
+            self.p[name][:, 0] = np.clip(np.log(odds * (1 - prior) / prior), -4, 4) / 4
+            self.p[name][-1] = 0
         self.p["filter1"][0, :, 0] = 0
         self.p["filter1"][0, 0, 0] = 1
         self.p["dense"][0] = 2
 
-    def pooled(self, words: Words) -> tuple[np.ndarray, list[np.ndarray]]:
-        """Maximum of each filter over each text, and where it is."""
-        x = self.p["word"][words.word] + self.p["head"][words.head]
-        first, n = words.bounds[:-1], len(words.word)
-        text = np.repeat(np.arange(len(first)), np.diff(words.bounds))
-        values, places = [], []
-        for width in WIDTHS:
-            rows = n - width + 1
-            y = np.zeros((n, FILTERS), np.float32)
-            for k in range(width):
-                y[:rows] += x[k : k + rows] @ self.p[f"filter{width}"][k]
-            y += self.p[f"offset{width}"]
-            # A window may reach from the padding into the next text: it does not count.
-            for k in range(1, width):
-                y[words.bounds[1:] - k] = -np.inf
-            top = np.maximum.reduceat(y, first, axis=0)
-            values.append(top)
-            places.append((y, top, text))
-        return np.concatenate(values, 1), places
+    def pooled(self, words: Words, places: bool = False) -> tuple[np.ndarray, np.ndarray | None]:
+        """Maximum of each filter over each text and, if asked for, the first place of it.
+        Memory holds the filter values of ``AT_ONCE`` words, however long a text is."""
+        n, texts = len(words.word), len(words.bounds) - 1
+        top = np.full((texts, len(WIDTHS) * FILTERS), -np.inf, np.float32)
+        at = np.repeat(words.bounds[:-1, None], top.shape[1], axis=1) if places else None
+        for start in range(0, n, AT_ONCE):
+            stop, end = min(n, start + AT_ONCE), min(n, start + AT_ONCE + PAD)
+            x = self.p["word"][words.word[start:end]] + self.p["head"][words.head[start:end]]
+            position = np.arange(start, stop)
+            text = np.searchsorted(words.bounds, position, "right") - 1
+            # No text is empty, so those of a piece are consecutive.
+            low, high = text[0], text[-1] + 1
+            first = np.maximum(words.bounds[low:high], start) - start
+            for i, width in enumerate(WIDTHS):
+                rows = max(0, min(stop, n - width + 1) - start)
+                y = np.zeros((stop - start, FILTERS), np.float32)
+                for k in range(width):
+                    y[:rows] += x[k : k + rows] @ self.p[f"filter{width}"][k]
+                y += self.p[f"offset{width}"]
+                # A window may reach from the padding into the next text: it does not count.
+                y[position > words.bounds[text + 1] - width] = -np.inf
+                here = top[low:high, i * FILTERS : (i + 1) * FILTERS]
+                best = np.maximum.reduceat(y, first, axis=0)
+                if places:
+                    for f in range(FILTERS):
+                        # The first of equal maxima in each text.
+                        hit = np.flatnonzero(y[:, f] == best[text - low, f])
+                        of, one = np.unique(text[hit], return_index=True)
+                        new = best[of - low, f] > here[of - low, f]
+                        at[of[new], i * FILTERS + f] = start + hit[one[new]]
+                np.maximum(here, best, out=here)
+        return top, at
 
     def log_odds(self, words: Words) -> np.ndarray:
         pooled, _ = self.pooled(words)
         return np.maximum(pooled, 0) @ self.p["dense"] + self.p["bias"][0]
 
     def gradients(self, words: Words, labels: np.ndarray, weight: np.ndarray) -> dict:
-        pooled, places = self.pooled(words)
+        pooled, places = self.pooled(words, places=True)
         active = np.maximum(pooled, 0)
         z = active @ self.p["dense"] + self.p["bias"][0]
         error = ((1 / (1 + np.exp(-z)) - labels) * weight / len(labels)).astype(np.float32)
@@ -168,16 +203,15 @@ class Network:
         rows = {"word": [], "head": []}
         x_of = self.p["word"], self.p["head"]
         for i, width in enumerate(WIDTHS):
-            y, top, text = places[i]
             here = back[:, i * FILTERS : (i + 1) * FILTERS]
             grad[f"offset{width}"] = here.sum(0)
             own = np.zeros_like(self.p[f"filter{width}"])
             for f in range(FILTERS):
-                # The first of equal maxima in each text.
-                at = np.flatnonzero(y[:, f] == top[text, f])
-                at = at[np.unique(text[at], return_index=True)[1]]
+                at = places[:, i * FILTERS + f]
                 for k in range(width):
-                    w, h = words.word[at + k], words.head[at + k]
+                    # Texts too short for the filter have no gradient, but need a place.
+                    one = np.minimum(at + k, len(words.word) - 1)
+                    w, h = words.word[one], words.head[one]
                     own[k, :, f] = (x_of[0][w] + x_of[1][h]).T @ here[:, f]
                     step = here[:, f, None] * self.p[f"filter{width}"][k, :, f][None]
                     rows["word"].append((w, step))
@@ -192,16 +226,17 @@ class Network:
             grad[table] = (used, total)
         return grad
 
-    def fit(self, words: Words, labels: np.ndarray, epochs: int = EPOCHS) -> None:
-        """Adam over shuffled batches; embeddings that a batch does not use stay as they are."""
+    def fit(self, words: Words, labels: np.ndarray, learned: np.ndarray, epochs: int = EPOCHS) -> None:
+        """Adam over shuffled batches of the ``learned`` rows; embeddings that a batch does not
+        use stay as they are."""
         rng = np.random.default_rng(self.seed + 1)
-        share = labels.mean()
+        share = labels[learned].mean()
         weight = np.where(labels == 1, 0.5 / max(share, 1e-6), 0.5 / max(1 - share, 1e-6))
         mean = {k: np.zeros_like(v) for k, v in self.p.items()}
         square = {k: np.zeros_like(v) for k, v in self.p.items()}
         step = 0
         for _ in range(epochs):
-            order = rng.permutation(len(labels))
+            order = rng.permutation(learned)
             for at in range(0, len(order), BATCH):
                 rows, step = order[at : at + BATCH], step + 1
                 grad = self.gradients(words.take(rows), labels[rows], weight[rows])
@@ -252,19 +287,20 @@ def train(samples: list[tuple[str, int]], rate: float, epochs: int = EPOCHS) ->
             network.p[name][:] = 0
         network.threshold = {-2: -2.0 if len(labels) and labels[0] == 1 else 2.0}
         return network
-    words = Words.of(pa.array([t for t, _ in samples], pa.string()))
+    words = Words.of_many(pa.array([t for t, _ in samples], pa.string()))
     held = np.arange(len(labels)) % CALIBRATION_SHARE == 0
     if not 0 < labels[~held].mean() < 1:
         held = np.zeros(len(labels), bool)
     rows = np.flatnonzero(~held)
-    own = words.take(rows)
-    network.warm_start(own, labels[rows])
-    network.fit(own, labels[rows], epochs)
+    network.warm_start(words, labels, rows)
+    network.fit(words, labels, rows, epochs)
     # Too few texts were held back to judge by: all are used.
     rows = np.flatnonzero(held)
     if min(labels[rows].sum(), (1 - labels[rows]).sum()) < 8:
         rows = np.arange(len(labels))
-    z = np.concatenate([network.log_odds(words.take(rows[i : i + 256])) for i in range(0, len(rows), 256)])
+    z = np.concatenate([
+        network.log_odds(words.take(rows[i : i + TEXTS])) for i in range(0, len(rows), TEXTS)
+    ])
     network.calibrate(z, labels[rows], words.language[rows], rate)
     return network
 
