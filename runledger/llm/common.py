@@ -19,6 +19,7 @@ from runledger.operators.skew import fits_broadcast, split_join
 LOCAL_CHECKPOINTS = "/tmp/runledger-checkpoints"
 
 SLICE_BYTES = 2 << 20
+SAMPLE_PARTS = 256  # parts of a group of labelled rows that are ranked apart
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -92,10 +93,14 @@ def sampled_texts(
         group.alias("_g"), order.alias("_h"), F.col(id_col).alias("_id"), F.col(text_col).alias("_t"),
         F.octet_length(text_col).alias("_n"), *(F.col(c).alias(f"_k{i}") for i, c in enumerate(keep)),
     )
-    first = Window.partitionBy("_g").orderBy("_h", "_id", "_n")
-    ranked = sized.select("_g", "_h", "_id", "_n").withColumn("_r", F.row_number().over(first))
+    # The first rows of each part of a group, then those of the group: no task gets a whole group.
+    order_of = ["_h", "_id", "_n"]
+    ranked = sized.select("_g", *order_of)
+    for part in ([F.pmod("_h", F.lit(SAMPLE_PARTS))], []):
+        first = Window.partitionBy("_g", *part).orderBy(*order_of)
+        ranked = ranked.withColumn("_r", F.row_number().over(first)).where(F.col("_r") <= max_docs)
     chosen, total = {}, Counter()
-    for row in sorted(ranked.where(F.col("_r") <= max_docs).collect(), key=lambda r: r["_r"]):
+    for row in sorted(ranked.collect(), key=lambda r: r["_r"]):
         if total[row["_g"]] + row["_n"] <= max_bytes:
             chosen[row["_id"]] = chosen.get(row["_id"], 0) + 1
             total[row["_g"]] += row["_n"]
