@@ -9,9 +9,13 @@ Because the pool passes its gradient to one place per filter and text, a step to
 embeddings. The first dimension starts as each word's smoothed log odds in the sample, which
 the first filter of width one reads; everything else starts at random.
 
-Thresholds are calibrated by language, guessed from the text itself by common words (never read
-from a column), on a part of the sample that was not trained on; the score is shifted so that
-0.5 is the threshold.
+Thresholds are calibrated by language: groups of texts with like frequent words, which are
+learned from the sample (never read from a column). The executors score all labelled texts that
+the weights were not fitted on, and their scores are counted by group and label, so the numbers
+grow with the labels and not with the sample. A group's counts are joined by ``PRIOR`` texts of
+each label that are spread like those of all groups: a small group gets about the threshold of
+all, a large one its own, without a step between. The score is shifted so that 0.5 is the
+threshold.
 """
 
 from __future__ import annotations
@@ -25,7 +29,15 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from runledger.llm.common import alnum_words, hash_words, sampled_texts, slices, text_column
+from runledger.llm.common import (
+    alnum_words,
+    attach,
+    hash_words,
+    sampled_texts,
+    slices,
+    text_column,
+    written,
+)
 
 WIDTHS = (1, 2, 3)
 FILTERS = 8
@@ -43,26 +55,12 @@ EPOCHS = 6
 BATCH = 64
 RATE = 0.01
 CALIBRATION_SHARE = 5  # one text in so many
-MIN_GROUP = 40  # texts of each label to calibrate a language by itself
-
-# Frequent words by which a language is guessed: fixed values.
-COMMON_WORDS = {
-    "en": "the of and to in is that it for was on are with as be this by from",
-    "de": "der die und den das von zu mit sich des auf für ist im dem nicht ein eine",
-    "fr": "de la le et les des en un du une que est pour qui dans sur par au avec",
-    "es": "de la que el en y los se del las un por con una su para es al lo como",
-}
-
-
-def guess_languages(bounds: np.ndarray, words: pa.Array) -> np.ndarray:
-    """Number of the language of ``COMMON_WORDS`` with most words in a text, -1 without any."""
-    encoded = words.dictionary_encode()
-    sets = [pa.array(x.split(), pa.large_string()) for x in COMMON_WORDS.values()]
-    known = [np.asarray(pc.is_in(encoded.dictionary, value_set=s)) for s in sets]
-    hits = np.stack(known, 1).astype(np.int64)[np.asarray(encoded.indices)]
-    sums = np.concatenate([np.zeros((1, len(sets)), np.int64), np.cumsum(hits, 0)])
-    counts = sums[bounds[1:]] - sums[bounds[:-1]]
-    return np.where(counts.max(1, initial=0) > 0, counts.argmax(1), -1)
+PRIOR = 40  # texts of each label, spread like all, that a group's scores are joined by
+GROUPS = 8  # groups of texts, at most
+GROUP_WORDS = 256  # frequent words that groups are told by
+ROUNDS = 15  # of k-means
+LIMIT, FINE = 40, 32  # scores count from -LIMIT to LIMIT, in steps of 1 / FINE
+BINS = 2 * LIMIT * FINE + 1
 
 
 @dataclass
@@ -72,7 +70,6 @@ class Words:
     word: np.ndarray
     head: np.ndarray
     bounds: np.ndarray
-    language: np.ndarray
 
     @classmethod
     def of(cls, texts: pa.Array) -> Words:
@@ -88,7 +85,7 @@ class Words:
         w, h = np.full(base[-1], WORD_SLOTS, np.int32), np.full(base[-1], HEAD_SLOTS, np.int32)
         if len(index):
             w[place], h[place] = word[index], head[index]
-        return cls(w, h, base, guess_languages(bounds, words))
+        return cls(w, h, base)
 
     @classmethod
     def of_many(cls, texts: pa.Array) -> Words:
@@ -99,21 +96,23 @@ class Words:
             np.concatenate([part.word for part in parts]),
             np.concatenate([part.head for part in parts]),
             np.concatenate([[0], np.cumsum(sizes)]),
-            np.concatenate([part.language for part in parts]),
         )
 
     def take(self, rows: np.ndarray) -> Words:
         n = np.diff(self.bounds)[rows]
         base = np.concatenate([[0], np.cumsum(n)])
         at = np.arange(base[-1]) + np.repeat(self.bounds[rows] - base[:-1], n)
-        return Words(self.word[at], self.head[at], base, self.language[rows])
+        return Words(self.word[at], self.head[at], base)
 
 
 @dataclass
 class Network:
     seed: int = 5
     p: dict[str, np.ndarray] = field(default_factory=dict)
-    threshold: dict[int, float] = field(default_factory=dict)
+    # By group; the last is that of all, which texts without frequent words get.
+    threshold: np.ndarray = field(default_factory=lambda: np.zeros(GROUPS + 1))
+    column: np.ndarray | None = None  # of each slot of a word among the frequent ones, or -1
+    centers: np.ndarray | None = None
 
     def __post_init__(self):
         rng = np.random.default_rng(self.seed)
@@ -247,36 +246,113 @@ class Network:
                     square[name][used] = 0.999 * square[name][used] + 0.001 * g * g
                     self.p[name][used] -= rate * mean[name][used] / (np.sqrt(square[name][used]) + 1e-8)
 
-    def calibrate(self, z: np.ndarray, labels: np.ndarray, language: np.ndarray, rate: float) -> None:
-        """The log odds above which a text counts as toxic: where errors, weighted to a share
-        ``rate`` of toxic texts, are fewest; the middle of the best range. -2 stands for
-        languages with too few texts of either label."""
-        def best(rows: np.ndarray) -> float:
-            order = np.argsort(z[rows], kind="stable")
-            x, y = z[rows][order], labels[rows][order]
-            ones = np.concatenate([[0], np.cumsum(y)])
-            zeros = np.arange(len(x) + 1) - np.concatenate([[0], np.cumsum(y)])
-            cost = rate * ones / max(1, ones[-1]) + (1 - rate) * (zeros[-1] - zeros) / max(1, zeros[-1])
-            # No cut between equal values.
-            cost[1:-1][x[1:] == x[:-1]] = np.inf
-            at = np.flatnonzero(cost <= cost.min() + 1e-12)
-            edges = np.concatenate([[x[0] - 2], (x[1:] + x[:-1]) / 2, [x[-1] + 2]])
-            return float(edges[at[len(at) // 2]])
-
-        self.threshold = {-2: best(np.arange(len(z))) if len(z) else 0.0}
-        for value in np.unique(language):
-            rows = np.flatnonzero(language == value)
-            if min(labels[rows].sum(), (1 - labels[rows]).sum()) >= MIN_GROUP:
-                self.threshold[int(value)] = best(rows)
+    def features(self, words: Words) -> np.ndarray:
+        """Square roots of the counts of frequent words, of length one or zero."""
+        texts = len(words.bounds) - 1
+        column = self.column[words.word]
+        at = np.flatnonzero(column >= 0)
+        text = np.searchsorted(words.bounds, at, "right") - 1
+        flat = np.bincount(text * GROUP_WORDS + column[at], minlength=texts * GROUP_WORDS)
+        x = np.sqrt(flat.reshape(texts, GROUP_WORDS))
+        return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
+
+    def learn_groups(self, words: Words) -> None:
+        """Groups of texts by k-means over the words that most texts have."""
+        texts = len(words.bounds) - 1
+        uses = np.zeros(WORD_SLOTS + 1, np.int64)
+        for i in range(0, texts, TEXTS):
+            part = words.take(np.arange(i, min(i + TEXTS, texts)))
+            text = np.repeat(np.arange(len(part.bounds) - 1), np.diff(part.bounds))
+            uses += np.bincount(np.unique(part.word.astype(np.int64) * TEXTS + text) // TEXTS,
+                                minlength=len(uses))
+        uses[-1] = 0
+        top = np.argsort(-uses, kind="stable")[:GROUP_WORDS]
+        top = top[uses[top] > 0]
+        self.column = np.full(WORD_SLOTS + 1, -1, np.int64)
+        self.column[top] = np.arange(len(top))
+        x = np.concatenate([
+            self.features(words.take(np.arange(i, min(i + TEXTS, texts))))
+            for i in range(0, texts, TEXTS)
+        ])
+        x = x[x.any(1)]
+        rng, centers = np.random.default_rng(self.seed), []
+        far = np.ones(len(x))
+        while len(centers) < GROUPS and far.sum() > 1e-9:
+            centers.append(x[rng.choice(len(x), p=far / far.sum())])
+            far = np.minimum(far, np.maximum(0, 1 - x @ centers[-1]))
+        if not centers:
+            return
+        self.centers = np.array(centers)
+        for _ in range(ROUNDS):
+            own = (x @ self.centers.T).argmax(1)
+            for g in range(len(centers)):
+                if (own == g).any():
+                    total = x[own == g].sum(0)
+                    self.centers[g] = total / np.linalg.norm(total)
+
+    def groups(self, words: Words) -> np.ndarray:
+        """Group of each text, ``GROUPS`` for texts without frequent words."""
+        texts = len(words.bounds) - 1
+        if self.centers is None:
+            return np.full(texts, GROUPS)
+        x = self.features(words)
+        # Sums in a fixed order, so that the group does not depend on the batch.
+        near = np.stack([(x * center).sum(1) for center in self.centers], 1)
+        return np.where(x.any(1), near.argmax(1), GROUPS)
+
+    def counted(self, words: Words, labels: np.ndarray) -> np.ndarray:
+        """Number of texts by group, label and step of the log odds."""
+        found = np.zeros((GROUPS + 1, 2, BINS), np.int64)
+        for i in range(0, len(labels), TEXTS):
+            part = words.take(np.arange(i, min(i + TEXTS, len(labels))))
+            z = np.clip(self.log_odds(part).astype(np.float64), -LIMIT, LIMIT)
+            step = np.rint((z + LIMIT) * FINE).astype(np.int64)
+            np.add.at(found, (self.groups(part), labels[i : i + TEXTS].astype(np.int64), step), 1)
+        return found
+
+    def calibrate(self, counts: np.ndarray, rate: float) -> None:
+        """Log odds from which a text counts as toxic, by group: where errors, weighted to a
+        share ``rate`` of toxic texts, are fewest; the middle of the best range."""
+        whole = counts.sum(0)
+        spread = whole / np.maximum(whole.sum(1, keepdims=True), 1)
+
+        def best(own: np.ndarray) -> float:
+            share = own / np.maximum(own.sum(1, keepdims=True), 1e-12)
+            # The cut stands before a step: lower toxic and higher other texts are errors.
+            below = np.concatenate([np.zeros((2, 1)), np.cumsum(share, 1)], 1)
+            cost = rate * below[1] + (1 - rate) * (below[0, -1] - below[0])
+            at = np.flatnonzero(cost <= cost.min() + 1e-9)
+            # Of several best ranges the longest counts.
+            parts = np.split(at, np.flatnonzero(np.diff(at) > 1) + 1)
+            part = max(parts, key=len)
+            return (part[0] + part[-1] - 1) / 2 / FINE - LIMIT
+
+        self.threshold = np.full(GROUPS + 1, best(whole))
+        for g in range(GROUPS):
+            if counts[g].any():
+                self.threshold[g] = best(counts[g] + PRIOR * spread)
 
     def scores(self, texts: pa.Array) -> list[np.ndarray]:
-        """Probability-like scores of texts, 0.5 at the threshold of their language."""
+        """Probability-like scores of texts, 0.5 at the threshold of their group."""
         words = Words.of(texts)
         z = self.log_odds(words).astype(np.float64)
-        cut = np.array([self.threshold.get(int(x), self.threshold.get(-2, 0.0)) for x in words.language])
+        cut = self.threshold[self.groups(words)]
         return [1 / (1 + np.exp(-np.clip(z - cut, -40, 40)))]
 
 
+def fitted(labels: np.ndarray) -> np.ndarray:
+    """Which texts of a sample the weights are fitted on."""
+    held = np.arange(len(labels)) % CALIBRATION_SHARE == 0
+    if not len(labels) or not 0 < labels[~held].mean() < 1:
+        held[:] = False
+    return ~held
+
+
+def enough(counts: np.ndarray) -> bool:
+    """Whether there are texts of both labels to judge a threshold by."""
+    return counts.sum((0, 2)).min() >= 8
+
+
 def train(samples: list[tuple[str, int]], rate: float, epochs: int = EPOCHS) -> Network:
     """Network from (text, label) pairs; ``rate`` is the share of toxic texts to expect. With
     one label only, every text gets the same score on that label's side."""
@@ -285,44 +361,79 @@ def train(samples: list[tuple[str, int]], rate: float, epochs: int = EPOCHS) ->
     if not len(labels) or labels.min() == labels.max():
         for name in ("dense", "bias"):
             network.p[name][:] = 0
-        network.threshold = {-2: -2.0 if len(labels) and labels[0] == 1 else 2.0}
+        network.threshold[:] = -2.0 if len(labels) and labels[0] == 1 else 2.0
         return network
     words = Words.of_many(pa.array([t for t, _ in samples], pa.string()))
-    held = np.arange(len(labels)) % CALIBRATION_SHARE == 0
-    if not 0 < labels[~held].mean() < 1:
-        held = np.zeros(len(labels), bool)
-    rows = np.flatnonzero(~held)
+    rows = np.flatnonzero(fitted(labels))
     network.warm_start(words, labels, rows)
     network.fit(words, labels, rows, epochs)
+    network.learn_groups(words)
+    rows = np.flatnonzero(~fitted(labels))
+    counts = network.counted(words.take(rows), labels[rows])
     # Too few texts were held back to judge by: all are used.
-    rows = np.flatnonzero(held)
-    if min(labels[rows].sum(), (1 - labels[rows]).sum()) < 8:
-        rows = np.arange(len(labels))
-    z = np.concatenate([
-        network.log_odds(words.take(rows[i : i + TEXTS])) for i in range(0, len(rows), TEXTS)
-    ])
-    network.calibrate(z, labels[rows], words.language[rows], rate)
+    network.calibrate(counts if enough(counts) else network.counted(words, labels), rate)
     return network
 
 
+def count_scores(rows: DataFrame, network: Network) -> np.ndarray:
+    """Number of texts by group, label and step of the log odds, over all ``rows`` (columns
+    ``_text`` and ``_label``). Texts are scored on the executors."""
+    shared = rows.sparkSession.sparkContext.broadcast(network)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = np.zeros((GROUPS + 1, 2, BINS), np.int64)
+        for batch in batches:
+            at = 0
+            for piece in slices(batch.column(0)):
+                labels = np.asarray(batch.column(1).slice(at, len(piece)))
+                at += len(piece)
+                found += shared.value.counted(Words.of(piece), labels)
+        used = np.flatnonzero(found)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(used), pa.array(found.reshape(-1)[used])], names=["at", "n"]
+        )
+
+    counted = rows.select("_text", "_label").mapInArrow(run, "at long, n long")
+    out = np.zeros((GROUPS + 1, 2, BINS), np.int64)
+    for row in counted.groupBy("at").agg(F.sum("n").alias("n")).collect():
+        out.reshape(-1)[row["at"]] = row["n"]
+    return out
+
+
 def learn(
     docs: DataFrame, labels: DataFrame, learnable: Column, doc_id: str = "doc_id",
     text: str = "text", label: str = "toxic", max_docs: int = SAMPLE_DOCS,
     max_bytes: int = SAMPLE_BYTES, epochs: int = EPOCHS,
 ) -> Network:
     """Network from the labelled rows of ``docs`` that are ``learnable`` (a condition on
-    ``_id``): for each label at most ``max_docs`` whole texts of ``max_bytes`` together, chosen
-    by the hash of the id. Labels other than 0 and 1 are left out; of several labels of one id
-    the largest counts."""
+    ``_id``). Weights are fitted on a sample: for each label at most ``max_docs`` whole texts of
+    ``max_bytes`` together, chosen by the hash of the id. Thresholds are calibrated on all other
+    rows. Labels other than 0 and 1 are left out; of several labels of one id the largest
+    counts."""
     marks = (
         labels.select(F.col(doc_id).alias("_id"), F.col(label).cast("int").alias("_label"))
         .where(F.col("_label").isin(0, 1) & F.col("_id").isNotNull() & learnable)
         .groupBy("_id").agg(F.max("_label").alias("_label"))
     )
     share = marks.agg(F.avg("_label").alias("p")).first()["p"] or 0.0
-    rows = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text")).join(marks, "_id")
-    samples = sampled_texts(rows, "_id", "_text", ["_label"], max_docs, max_bytes, per="_label")
-    return train(samples, share, epochs)
+    marks = written(marks, "marks")
+    rows = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text"))
+    # Marks that are small are broadcast, so that the texts are not shuffled.
+    rows = attach(rows.where(F.col("_id").isNotNull()), marks, ["_id"], ["_text"], "inner")
+    samples = sampled_texts(
+        rows, "_id", "_text", ["_label", "_id"], max_docs, max_bytes, per="_label"
+    )
+    network = train([(t, y) for t, y, _ in samples], share, epochs)
+    if network.centers is not None:
+        own = fitted(np.array([y for _, y, _ in samples], np.float64)).tolist()
+        ids = sorted({i for (_, _, i), used in zip(samples, own, strict=True) if used})
+        kind = marks.schema["_id"].dataType.simpleString()
+        seen = docs.sparkSession.createDataFrame([(i,) for i in ids], f"_id {kind}")
+        others = rows.where(F.col("_text").isNotNull()).join(F.broadcast(seen), "_id", "left_anti")
+        counts = count_scores(others, network)
+        if enough(counts):
+            network.calibrate(counts, share)
+    return network
 
 
 def toxicity(

@@ -92,6 +92,47 @@ def test_gradient_of_the_network():
             assert own[i] == pytest.approx((up - down) / 2e-5, abs=2e-4)
 
 
+def group_counts(z):
+    """Counts of scores around ``z``: toxic texts above, others below, for the numbers given."""
+    counts = np.zeros((toxicity.GROUPS + 1, 2, toxicity.BINS), np.int64)
+    for group, (middle, n) in enumerate(z):
+        step = int((middle + toxicity.LIMIT) * toxicity.FINE)
+        counts[group, 1, step + 3 : step + 35] += n
+        counts[group, 0, step - 35 : step - 3] += n
+    return counts
+
+
+def test_small_groups_are_calibrated_without_a_step():
+    found = []
+    for n in (0, 1, 2, 4, 16):
+        network = toxicity.Network()
+        network.calibrate(group_counts([(0, 200), (0.5, n)]), 0.5)
+        found.append(network.threshold[1])
+    assert found == sorted(found) and found[1] > found[0] and found[-1] == pytest.approx(0.5, abs=0.2)
+
+
+def test_groups_are_learned_from_the_texts():
+    """Two languages that no list of words knows."""
+    rng = random.Random(4)
+    texts = [" ".join(rng.choice(w) for _ in range(40)) + f" x{i} y{i}" for i in range(100)
+             for w in (["ja", "ei", "on", "se"], ["ve", "bir", "bu", "da"])]
+    network = toxicity.train([(t, int(i % 7 == 0)) for i, t in enumerate(texts)], 0.1, epochs=1)
+    groups = network.groups(toxicity.Words.of(pa.array(texts)))
+    assert not set(groups[::2]) & set(groups[1::2]) and toxicity.GROUPS not in groups
+
+
+def test_thresholds_are_calibrated_on_all_labels(spark, make_docs, monkeypatch):
+    seen = []
+    whole = toxicity.count_scores
+    monkeypatch.setattr(toxicity, "count_scores", lambda *a: seen.append(whole(*a)) or seen[-1])
+    rows = list(enumerate(toxic_samples()))
+    docs = make_docs([(i, t) for i, (t, _) in rows])
+    labels = spark.createDataFrame([(i, y) for i, (_, y) in rows], "doc_id bigint, toxic int")
+    toxicity.learn(docs, labels, F.lit(True), max_docs=20, epochs=1)
+    # 32 of the 40 texts of the sample are fitted on.
+    assert seen[0].sum() == len(rows) - 32
+
+
 def test_toxicity_column(spark, make_docs):
     docs = make_docs([(1, "badword1"), (2, None), (2, None), (None, "")]).withColumnRenamed("n", "score")
     network = toxicity.train(toxic_samples(), 0.25)
