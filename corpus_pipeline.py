@@ -10,6 +10,7 @@ takes documents with words only. An empty table stays empty.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +22,7 @@ from runledger.llm.common import (
     document_key,
     fold,
     read_table,
+    set_apart,
     without_repeats,
     written,
 )
@@ -30,6 +32,20 @@ from runledger.llm.line_dedup import dedup_lines
 from runledger.llm.mixing import mix
 
 
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def own_columns(stage: Stage) -> Stage:
+    """The stage for tables that have columns named like those it uses inside."""
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        docs, back = set_apart(docs)
+        return stage(spark, docs, sf_dir).withColumnsRenamed(back)
+
+    return run_stage
+
+
+@own_columns
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not take for toxic."""
     network = toxicity.learn(docs, read_table(spark, sf_dir, "labels"), fold("_id", 5) != 0)
@@ -37,6 +53,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return scored.where(F.col("_toxic") == 0).select(docs.columns)
 
 
+@own_columns
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without lines that repeat an earlier one; lengths follow the texts."""
     kept = dedup_lines(docs)
@@ -46,11 +63,13 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     return kept.select(docs.columns)
 
 
+@own_columns
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates."""
     return one_of_each(docs)
 
 
+@own_columns
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a notable share of benchmark text."""
     found = contamination(docs, read_table(spark, sf_dir, "benchmark"))
@@ -59,6 +78,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return attach(keyed, written(dirty, "contaminated"), KEY, KEY, "left_anti").select(docs.columns)
 
 
+@own_columns
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the mix takes, with ``copies``, ``taken`` (words) and ``place`` (words
     of the mix up to the first copy)."""
@@ -79,7 +99,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return rows.drop(*KEY).withColumnsRenamed(renamed)
 
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+STAGES: list[tuple[str, Stage]] = [
     ("toxicity", drop_toxic),
     ("line_dedup", drop_repeated_lines),
     ("ngram_jaccard_join", drop_near_duplicates),

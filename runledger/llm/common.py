@@ -62,6 +62,20 @@ def document_key(doc_id: Column | str, text_key: Column | str) -> list[Column]:
     ]
 
 
+def set_apart(docs: DataFrame, *known: str) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` with its columns that begin with "_", as names inside the operators do, but for
+    the ``known`` ones renamed, and their former names by the new ones."""
+    taken, back = {c.lower() for c in docs.columns}, {}
+    for column in docs.columns:
+        if column.startswith("_") and column not in known:
+            name = f"own{column}"
+            while name.lower() in taken:
+                name = f"own_{name}"
+            taken.add(name.lower())
+            back[name] = column
+    return docs.withColumnsRenamed({old: new for new, old in back.items()}), back
+
+
 def attach(left: DataFrame, right: DataFrame, on: list[str], by: list[str], how: str) -> DataFrame:
     """Equi-join on columns without NULL: the right side is broadcast if measured small, else
     hot keys of the left one are split by the hash of its ``by`` columns."""

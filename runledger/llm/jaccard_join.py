@@ -33,6 +33,7 @@ from runledger.llm.common import (
     document_key,
     hash_words,
     mix64,
+    set_apart,
     slices,
     split_words,
     without_repeats,
@@ -454,6 +455,7 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **o
     """``docs`` with one document of each component: that with the smallest id (NULL last), of
     equal ids the one with the smallest hash of its text, of rows equal in both any one.
     Documents without words all stay."""
+    docs, back = set_apart(docs, doc_id, text)
     found = written(near_duplicates(docs, doc_id=doc_id, text=text, **options), "duplicates")
     rows = found.where(F.col("root").isNotNull()).select("root", *document_key("doc_id", "text_key"))
     rank = F.struct(*KEY)
@@ -465,4 +467,4 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **o
     repeated = written(repeated.where(F.col("_n") > 1).drop("_n"), "repeated-documents")
     keyed = docs.select("*", *document_key(doc_id, F.xxhash64(text)))
     kept = attach(keyed, dropped, KEY, KEY, "left_anti")
-    return without_repeats(kept, repeated).select(docs.columns)
+    return without_repeats(kept, repeated).select(docs.columns).withColumnsRenamed(back)

@@ -49,3 +49,14 @@ def test_stages_of_odd_tables(spark, sf_dir):
         nulls = mixed.where(F.col("doc_id").isNull()).count()
         assert nulls == (0 if name == "source_mixing" else 3), name
         assert stage(spark, plain.limit(0), sf_dir).count() == 0, name
+
+
+def test_stages_keep_clashing_columns(spark, sf_dir):
+    names = ["_d", "_none", "_k", "_toxicity", "_dropped", "_copies", "own_d"]
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(20)
+    docs = docs.withColumns({c: F.lit(f"mine{c}") for c in names})
+    for name, stage in corpus_pipeline.STAGES:
+        found = stage(spark, docs, sf_dir)
+        assert found.columns[: len(docs.columns)] == docs.columns, name
+        rows = found.select(names).distinct().collect()
+        assert [tuple(r) for r in rows] == [tuple(f"mine{c}" for c in names)], name
