@@ -48,6 +48,13 @@ def test_export_is_read_with_its_schema(spark, tmp_path):
         readers.read_export(spark, "nothing", str(path))
 
 
+def test_damaged_export_fails(spark, tmp_path):
+    path = tmp_path / "runs.json"
+    path.write_text('{"run_id": 1}\n{"run_id": 2, "tas\n')
+    with pytest.raises(Exception, match="MALFORMED_RECORD"):
+        readers.read_export(spark, "runs", str(path)).collect()
+
+
 def test_views(spark):
     tables.register({"sizes_view": orders.sizes(spark)})
     assert spark.sql("SELECT sum(vcpus) FROM sizes_view").first()[0] == 66
