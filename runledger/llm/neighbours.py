@@ -25,20 +25,18 @@ from runledger.llm.common import written
 QUERY_BLOCK = 2048
 CANDIDATE_BLOCK = 8192
 AT_ONCE = 256  # queries of a block that are multiplied together
-NEIGHBOUR = "query_id long, vec_id long, score double"
+NEIGHBOUR = "row long, query_id long, vec_id long, score double"
 
 
 def usable_vectors(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """(``id``, ``v``) of vectors that take part: with an id, not NULL, not empty, not all
-    zero, all components finite. Of rows that share an id, the vector that is smallest in
-    array order stands for it."""
+    """(``row``, ``id``, ``v``) of vectors that take part, their rows numbered: with an id, not
+    NULL, not empty, not all zero, all components finite."""
     v = F.col("v")
     bad = F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     return (
         vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("v"))
         .where(F.col("id").isNotNull() & ~bad & F.exists(v, lambda x: x != 0))
-        .groupBy("id")
-        .agg(F.min("v").alias("v"))
+        .select(F.monotonically_increasing_id().alias("row"), "id", "v")
     )
 
 
@@ -62,8 +60,11 @@ def exact_scores(q: np.ndarray, c: np.ndarray) -> np.ndarray:
     return total
 
 
-def tile_best(q_id: np.ndarray, q: np.ndarray, c_id: np.ndarray, c: np.ndarray, k: int) -> Iterator[tuple]:
-    """Each query's k best candidates of a tile, itself left out: (query, candidates, scores)."""
+def tile_best(
+    q_row: np.ndarray, q: np.ndarray, c_row: np.ndarray, c_id: np.ndarray, c: np.ndarray, k: int
+) -> Iterator[tuple]:
+    """Each query's k best candidates of a tile, its own row left out: (query, candidates,
+    scores)."""
     q_code, q_scale, q_norm, q_err = quantise(q)
     c_code, c_scale, c_norm, c_err = quantise(c)
     # Products of int8 codes add up exactly in single precision below 2^24.
@@ -76,7 +77,7 @@ def tile_best(q_id: np.ndarray, q: np.ndarray, c_id: np.ndarray, c: np.ndarray,
         # |q.c - q'.c'| <= |q'| |c - c'| + |q - q'| |c|, plus what rounding can add.
         error = q_norm[at, None] * c_err[None] + q_err[at, None] * c_all[None]
         error += 1e-9 * (q_norm[at, None] + q_err[at, None]) * c_all[None]
-        own = q_id[at, None] == c_id[None]
+        own = q_row[at, None] == c_row[None]
         lower = np.where(own, -np.inf, near - error)
         upper = near + error
         if lower.shape[1] > k:
@@ -101,34 +102,38 @@ def merged(best: list[tuple[float, int]], more: Iterator[tuple[float, int]], k:
     return out
 
 
-def _matrix(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    ids = np.asarray(table.column("id").combine_chunks())
+def _matrix(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row numbers, ids and vectors of a part of a tile that has rows."""
+    rows, ids = (np.asarray(table.column(c).combine_chunks()) for c in ("row", "id"))
     lists = table.column("v").combine_chunks()
     flat = np.asarray(lists.flatten()).astype(np.float64)
-    return ids, flat.reshape(len(ids), -1)
+    return rows, ids, flat.reshape(len(ids), -1)
 
 
 def _tile(k: int):
     def run(table: pa.Table) -> pa.Table:
         side = np.asarray(table.column("is_query"))
-        q_id, q = _matrix(table.filter(pa.array(side)))
+        queries, rest = table.filter(pa.array(side)), table.filter(pa.array(~side))
+        if not queries.num_rows or not rest.num_rows:
+            return _rows([], [], [])
+        q_row, q_id, q = _matrix(queries)
         out: list[list] = [[] for _ in q_id]
-        if len(q_id):
-            # A fixed order makes reruns agree; candidate blocks are taken one by one.
-            rest = table.filter(pa.array(~side)).sort_by("id")
-            for at in range(0, rest.num_rows, CANDIDATE_BLOCK):
-                c_id, c = _matrix(rest.slice(at, CANDIDATE_BLOCK))
-                for i, ids, scores in tile_best(q_id, q, c_id, c, k):
-                    out[i] = merged(out[i], zip((-scores).tolist(), ids.tolist(), strict=True), k)
-        return _rows(q_id.tolist(), out)
+        # A fixed order makes reruns agree; candidate blocks are taken one by one.
+        rest = rest.sort_by([("id", "ascending"), ("row", "ascending")])
+        for at in range(0, rest.num_rows, CANDIDATE_BLOCK):
+            c_row, c_id, c = _matrix(rest.slice(at, CANDIDATE_BLOCK))
+            for i, ids, scores in tile_best(q_row, q, c_row, c_id, c, k):
+                out[i] = merged(out[i], zip((-scores).tolist(), ids.tolist(), strict=True), k)
+        return _rows(q_row.tolist(), q_id.tolist(), out)
 
     return run
 
 
-def _rows(q_id: list[int], best: list[list]) -> pa.Table:
-    flat = [(q, c, -s) for q, pairs in zip(q_id, best, strict=True) for s, c in pairs]
-    query, cand, score = zip(*flat, strict=True) if flat else ((), (), ())
+def _rows(q_row: list[int], q_id: list[int], best: list[list]) -> pa.Table:
+    flat = [(r, q, c, -s) for r, q, pairs in zip(q_row, q_id, best, strict=True) for s, c in pairs]
+    row, query, cand, score = zip(*flat, strict=True) if flat else ((), (), (), ())
     return pa.table({
+        "row": pa.array(row, pa.int64()),
         "query_id": pa.array(query, pa.int64()),
         "vec_id": pa.array(cand, pa.int64()),
         "score": pa.array(score, pa.float64()),
@@ -137,17 +142,17 @@ def _rows(q_id: list[int], best: list[list]) -> pa.Table:
 
 def _merge(k: int):
     def run(table: pa.Table) -> pa.Table:
-        heaps: dict[int, list] = {}
-        for q, c, s in zip(*(table.column(n).to_pylist() for n in ("query_id", "vec_id", "score")),
-                           strict=True):
+        heaps: dict[tuple[int, int], list] = {}
+        for r, q, c, s in zip(*(table.column(n.split()[0]).to_pylist() for n in NEIGHBOUR.split(", ")),
+                              strict=True):
             # The heap's root is the worst pair that is kept.
-            heap, pair = heaps.setdefault(q, []), (s, -c)
+            heap, pair = heaps.setdefault((r, q), []), (s, -c)
             if len(heap) < k:
                 heapq.heappush(heap, pair)
             elif pair > heap[0]:
                 heapq.heapreplace(heap, pair)
         queries, vecs, scores, ranks = [], [], [], []
-        for q, heap in heaps.items():
+        for (_, q), heap in heaps.items():
             for rank, (s, c) in enumerate(sorted(heap, reverse=True), 1):
                 queries.append(q), vecs.append(-c), scores.append(s), ranks.append(rank)
         return pa.table({
@@ -172,8 +177,9 @@ def nearest(
     nearest first and ties to the smaller id; all of them if there are fewer.
 
     Vectors are compared with those of equal length. Vectors that are NULL, empty, zero or
-    not finite, and rows without an id, take no part; see ``usable_vectors`` for repeated ids.
-    ``group_blocks`` candidate blocks of ``CANDIDATE_BLOCK`` rows form the candidate side of a
+    not finite, and rows without an id, take no part. Rows that share an id are rows of their
+    own, as queries and as candidates; only a query's own row is none of its candidates. Other
+    columns are not read. ``group_blocks`` candidate blocks of ``CANDIDATE_BLOCK`` rows form the candidate side of a
     tile."""
     usable = usable_vectors(vectors, id_col, vector_col).withColumn(
         "is_query", F.coalesce(is_query, F.lit(False))
@@ -184,21 +190,21 @@ def nearest(
     c_groups = max(1, -(-counts["n"] // (CANDIDATE_BLOCK * group_blocks)))
 
     def dealt(n: int) -> Column:
-        return F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")
+        return F.pmod(F.xxhash64("row"), F.lit(n)).cast("int")
 
     def every(n: int) -> Column:
         return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
 
     queries = usable.where("is_query").select(
-        "dim", dealt(q_blocks).alias("qb"), every(c_groups).alias("cb"), "is_query", "id", "v"
+        "dim", dealt(q_blocks).alias("qb"), every(c_groups).alias("cb"), "is_query", "row", "id", "v"
     )
     candidates = usable.select(
         "dim", every(q_blocks).alias("qb"), dealt(c_groups).alias("cb"),
-        F.lit(False).alias("is_query"), "id", "v",
+        F.lit(False).alias("is_query"), "row", "id", "v",
     )
     tiles = queries.unionByName(candidates).groupBy("dim", "qb", "cb")
     found = tiles.applyInArrow(_tile(k), NEIGHBOUR)
     # Few queries per group, so that a group stays small however many tiles there are.
     groups = max(1, counts["q"] // 64)
-    merged_rows = found.groupBy(F.pmod(F.xxhash64("query_id"), F.lit(groups)))
+    merged_rows = found.groupBy(F.pmod(F.xxhash64("row"), F.lit(groups)))
     return merged_rows.applyInArrow(_merge(k), "query_id long, rank int, vec_id long, score double")
