@@ -228,7 +228,8 @@ WITH RECURSIVE marked AS (
          || CASE WHEN source IS NULL THEN '-' ELSE strlen(source) || ':' || source END
          || CASE WHEN lang IS NULL THEN '-' ELSE strlen(lang) || ':' || lang END
          || CASE WHEN n_chars IS NULL THEN '-' ELSE strlen(n_chars::VARCHAR) || ':' || n_chars END
-         AS head, text, CASE WHEN last_bit = 1 THEN replace(text, chr(10), '') ELSE text END AS kept
+         AS head, text,
+         CASE WHEN doc_id IS NOT NULL AND last_bit = 1 THEN replace(text, chr(10), '') ELSE text END AS kept
   FROM marked
 ), leaves AS (
   SELECT doc_id, source,

@@ -14,7 +14,7 @@ def test_query_equals_sql(spark, sf_dir, name):
 
 def test_all_are_registered():
     numbers = sorted(int(n[2:].split("_")[0]) for n in entry_point.queries() if n.startswith("op"))
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert "pipeline" in entry_point.queries() and "pipeline" not in entry_point.oracle_sql()
 
 

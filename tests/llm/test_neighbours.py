@@ -1,18 +1,29 @@
+import compare
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from runledger.llm import neighbours
 from runledger.llm.neighbours import nearest
+from runledger.llm.queries import ORACLE, QUERIES
 
 INF, NAN = float("inf"), float("nan")
 
 
+def product(a, b):
+    """Added from the first component on; sum() of later Pythons compensates rounding."""
+    total = 0.0
+    for x, y in zip(a, b, strict=True):
+        total += float(x) * float(y)
+    return total
+
+
 def expected(vectors, k):
     found = []
     for q, a in vectors.items():
         if q % 20 == 0:
-            near = sorted((-sum(float(x) * float(y) for x, y in zip(a, b, strict=True)), i)
+            near = sorted((-product(a, b), i)
                           for i, b in vectors.items() if i != q and len(b) == len(a))
             found += [(q, rank, i, -s) for rank, (s, i) in enumerate(near[:k], start=1)]
     return sorted(found)
@@ -50,7 +61,26 @@ def test_fewer_candidates_than_asked_for(spark):
 def test_repeated_ids_and_other_lengths(spark):
     rows = [(0, [1.0, 1.0], 0), (0, [1.0, 1.0], 1), (1, [2.0, 0.0], 0), (1, [1.0, 0.0], 0),
             (2, [1.0, 1.0, 1.0], 0)]
-    assert run(spark, rows, 5) == [(0, 1, 1, 1.0)]
+    # Two rows of id 0 are two queries, each among the other's candidates.
+    one = [(0, 1, 0, 2.0), (0, 2, 1, 2.0), (0, 3, 1, 1.0)]
+    assert run(spark, rows, 5) == sorted(one + one)
+    assert run(spark, [(0, [1.0, 1.0], 0), (1, [1.0, 1.0, 1.0], 0)], 5) == []
+
+
+def test_no_queries(spark):
+    assert run(spark, [(i, [1.0, float(i)], 0) for i in range(1, 9)], 5) == []
+
+
+def test_repeated_ids_equal_sql(spark, tmp_path):
+    rng = np.random.default_rng(11)
+    rows = [(int(i) % 37 if i % 5 else None, [float(x) for x in rng.integers(-3, 4, 3 + i % 2)], 0)
+            for i in range(160)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, label int")
+    df.write.parquet(f"{tmp_path}/embeddings.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{tmp_path}/embeddings.parquet/*.parquet'")
+    found = QUERIES["op2_neighbours"](spark, str(tmp_path))
+    assert compare.differences(found, con, ORACLE["op2_neighbours"]) == []
 
 
 def test_bounds_hold():
