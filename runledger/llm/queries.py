@@ -17,6 +17,7 @@ from runledger.llm.line_dedup import dedup_lines
 from runledger.llm.merkle import folded, leaf_digest, manifest, path_digest
 from runledger.llm.mixing import mix
 from runledger.llm.neighbours import nearest
+from runledger.llm.quality_rules import quality_rules
 from runledger.llm.token_counts import token_counts
 from runledger.llm.url_filters import judge_urls, rule_table
 
@@ -112,6 +113,15 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives(read_table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, label)
 
 
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of all documents and whether the rules and their perplexity keep them."""
+    judged = quality_rules(read_table(spark, sf_dir, "documents"))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept", "perplexity",
+    )
+
+
 LEAF_FIELDS = ["doc_id", "source", "lang", "n_chars", "text"]
 
 
@@ -142,6 +152,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_decontamination": op9_decontamination,
     "op10_token_counts": op10_token_counts,
     "op11_hard_negatives": op11_hard_negatives,
+    "op12_quality_rules": op12_quality_rules,
     "op13_merkle": op13_merkle,
 }
 
