@@ -49,6 +49,21 @@ def field(
     return value if default is None else F.coalesce(value, F.lit(default).cast(to))
 
 
+def variant_field(
+    record: Column | str, path: str, default: str | int | float | bool | None = None,
+    to: str | None = None,
+) -> Column:
+    """Field at a dotted path of a VARIANT, whatever its shape; array elements by number, as in
+    ``tasks[0].task_key``. As in :func:`field`, a default replaces a missing value, sets the
+    type, and replaces a value that cannot be cast to it. Without type or default it is text,
+    nested values as JSON."""
+    if to is None:
+        to = "string" if default is None else _TYPE_OF_DEFAULT[type(default)]
+    record = F.col(record) if isinstance(record, str) else record
+    value = F.try_variant_get(record, f"$.{path}", to)
+    return value if default is None else F.coalesce(value, F.lit(default).cast(to))
+
+
 def _conformed(value: Column, have: DataType, want: DataType) -> Column:
     if isinstance(want, StructType) and isinstance(have, StructType):
         fields = F.struct(

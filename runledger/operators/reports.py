@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from runledger.functions.expr import epoch_day, in_window, task_type
+from runledger.operators.counts import window_counts
 from runledger.operators.skew import BROADCAST_ROWS, SPLIT_ROWS, fits_broadcast, lookup
 from runledger.operators.usage import join_clusters, match_keys, split_by_job
 from runledger.schemas import NONE
@@ -70,6 +71,13 @@ def _task_and_run_counts() -> tuple[Column, Column]:
     )
 
 
+# The same values as texts, in SQL, as the daily sets count them.
+TASK_AND_RUN = {
+    "job_task_count": "concat(run_name, task_key)", "run_count": "CAST(run_id AS STRING)"
+}
+JOBS_AND_RUNS = {"jobs": "run_name", "runs": "CAST(run_id AS STRING)"}
+
+
 def pool_usage(
     runs: DataFrame,
     clusters: DataFrame,
@@ -155,30 +163,57 @@ def usage_estimate(
 ) -> DataFrame:
     """One row: what ran in ``[start, end)`` and what a year at that pace takes and costs.
     ``jobs`` counts run names. An empty window gives zero counts and NULL sums."""
+    annual_factor(days_back)
+    totals = usage.where(in_window("run_starttime", start, end)).agg(
+        F.countDistinct("run_name").alias("jobs"),
+        F.countDistinct("run_id").alias("runs"),
+        _core_hours().cast("double").alias("total"),
+    )
+    return _estimate(totals, start, end, days_back, rate)
+
+
+def _core_hours() -> Column:
+    """Core-hours have two decimals; as decimals their sum is exact in whatever order the
+    partial sums arrive."""
+    return F.sum(F.col("core_hrs").cast("decimal(18,2)"))
+
+
+def _estimate(
+    totals: DataFrame, start: dt.date, end: dt.date, days_back: int, rate: float
+) -> DataFrame:
     factor = annual_factor(days_back)
-    # Core-hours have two decimals; as decimals their sum is exact in whatever order
-    # the partial sums arrive.
-    core_hrs = F.sum(F.col("core_hrs").cast("decimal(18,2)")).cast("double")
-    return (
-        usage.where(in_window("run_starttime", start, end))
-        .agg(
-            F.countDistinct("run_name").alias("jobs"),
-            F.countDistinct("run_id").alias("runs"),
-            core_hrs.alias("total"),
-        )
-        .select(
-            F.lit(f"{start} - {end}").alias("period"),
-            "jobs",
-            "runs",
-            F.round("total", 2).alias("core_hrs"),
-            F.round(F.col("total") * factor, 2).alias("est_annual_core_hrs"),
-            F.round(F.col("total") * factor * F.lit(float(rate)), 2).alias(
-                "est_annual_core_hr_cost"
-            ),
-        )
+    return totals.select(
+        F.lit(f"{start} - {end}").alias("period"),
+        "jobs",
+        "runs",
+        F.round("total", 2).alias("core_hrs"),
+        F.round(F.col("total") * factor, 2).alias("est_annual_core_hrs"),
+        F.round(F.col("total") * factor * F.lit(float(rate)), 2).alias("est_annual_core_hr_cost"),
     )
 
 
+def daily_core_hours(usage: DataFrame) -> DataFrame:
+    """Core-hours of each ``day`` of usage rows, which belong to one day each."""
+    return usage.groupBy("day").agg(_core_hours().alias("total"))
+
+
+def estimate_from_days(
+    partials: DataFrame,
+    sums: DataFrame,
+    start: dt.date,
+    end: dt.date,
+    days_back: int,
+    rate: float = CORE_HOUR_RATE,
+) -> DataFrame:
+    """:func:`usage_estimate` of any window from the daily sets of ``JOBS_AND_RUNS`` and the
+    daily core-hours; the runs are not read again."""
+    inside = sums.where((F.col("day") >= F.lit(start)) & (F.col("day") < F.lit(end)))
+    total = inside.agg(F.sum("total").cast("double").alias("total"))
+    counted = window_counts(partials, [], list(JOBS_AND_RUNS), start, end)
+    # One row each.
+    return _estimate(counted.join(F.broadcast(total)), start, end, days_back, rate)
+
+
 def instance_coverage(usage: DataFrame, instances: DataFrame) -> DataFrame:
     """Usage rows that :func:`dbu_usage` leaves out, per role and instance type that the
     catalogue does not list; NULL types are among them."""

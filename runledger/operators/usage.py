@@ -140,7 +140,7 @@ def run_usage(
     sizes: DataFrame,
     match: str = "task",
     normalize_size: bool = False,
-    split_rows: int = SPLIT_ROWS,
+    split_rows: int | None = SPLIT_ROWS,
 ) -> DataFrame:
     """Distinct (run, cluster shape) rows with duration and core-hours.
 
@@ -148,9 +148,12 @@ def run_usage(
     and each shape is charged for the whole run. Shapes are made distinct and sized before
     they meet the runs; the join then forms only pairs that differ, but for tasks of the
     same run, and those the final DISTINCT removes.
+
+    Jobs of more than ``split_rows`` rows are split; None says that there are none, so that
+    tables stored in buckets can be joined as they lie.
     """
     keys = match_keys(match)
-    shapes = sized_shapes(clusters, sizes, match, normalize_size, split_rows)
+    shapes = sized_shapes(clusters, sizes, match, normalize_size, split_rows or SPLIT_ROWS)
     # What depends on the run alone is computed here, not for every pair.
     minutes = (F.col("run_endtime") - F.col("run_starttime")) / 1000 / 60
     run_rows = runs.select(
@@ -161,7 +164,7 @@ def run_usage(
         F.round(minutes, 2).alias("duration_min"),
         (minutes / 60).alias("_hours"),
     )
-    if match == "run":
+    if match == "run" or split_rows is None:
         pairs = run_rows.dropna(subset=keys).join(shapes, keys)
     else:
         pairs = split_by_job(run_rows, shapes, split_rows)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from decimal import Decimal
 from math import fsum
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 EXPAND_BATCH = 4096
@@ -14,10 +14,60 @@ EXPAND_BATCH = 4096
 LARGEST_CUT = 10
 
 
-def random_columns(df: DataFrame, cols: int, seed: int, prefix: str = "rand_col_") -> DataFrame:
-    """``df`` with ``cols`` columns of uniform random numbers, the same for the same seed over
-    the same rows in the same partitions."""
-    return df.select("*", *(F.rand(seed + i).alias(f"{prefix}{i}") for i in range(cols)))
+# Multipliers of the hash below: odd, and so small that products of 32-bit numbers with them
+# stay below 2 ** 63, in every engine and with or without checks for overflow.
+HASH_FACTORS = (0x45D9F3B, 0x119DE1F3)
+LOW_32 = 0xFFFFFFFF
+
+
+def _mixed(x: Column, factor: int) -> Column:
+    """One round on a 32-bit number held as a long: fold the upper half in, multiply."""
+    x = x.bitwiseXOR(F.shiftright(x, 16))
+    return (x * F.lit(factor)).bitwiseAND(F.lit(LOW_32))
+
+
+def _hashed(x: Column) -> Column:
+    for factor in (*HASH_FACTORS, HASH_FACTORS[0]):
+        x = _mixed(x, factor)
+    return x.bitwiseXOR(F.shiftright(x, 16))
+
+
+def column_key(column: int, seed: int) -> int:
+    """32-bit number of a column: the same rounds over the seed, then over the column."""
+    x = seed & LOW_32
+    for part in (seed >> 32 & LOW_32, column & LOW_32):
+        for factor in (*HASH_FACTORS, HASH_FACTORS[0]):
+            x = (x ^ x >> 16) * factor & LOW_32
+        x = (x ^ x >> 16) ^ part
+    for factor in (*HASH_FACTORS, HASH_FACTORS[0]):
+        x = (x ^ x >> 16) * factor & LOW_32
+    return x ^ x >> 16
+
+
+def row_key(row_id: Column | str) -> Column:
+    """32-bit number of a row id, from both halves of it."""
+    row_id = F.col(row_id) if isinstance(row_id, str) else row_id
+    low = row_id.bitwiseAND(F.lit(LOW_32))
+    high = F.shiftright(row_id, 32).bitwiseAND(F.lit(LOW_32))
+    return _hashed(_hashed(low).bitwiseXOR(high))
+
+
+def random_value(key: Column | str, column: int, seed: int) -> Column:
+    """Uniform number in [0, 1) of a row (by :func:`row_key`) and a column: nothing else, so it
+    is the same wherever and however often it is computed."""
+    key = F.col(key) if isinstance(key, str) else key
+    return _hashed(key.bitwiseXOR(F.lit(column_key(column, seed)))) / F.lit(float(1 << 32))
+
+
+def random_columns(
+    df: DataFrame, cols: int, seed: int, prefix: str = "rand_col_", row_id: str = "id"
+) -> DataFrame:
+    """``df`` with ``cols`` columns of uniform random numbers, made of the row id, the column's
+    number and the seed only: the same under any partitioning and on every retry. Numbers have
+    32 bits. A NULL id gives NULLs. The rows' keys are computed once, not for each column."""
+    keyed = df.withColumn("_row_key", row_key(row_id))
+    numbers = (random_value("_row_key", i, seed).alias(f"{prefix}{i}") for i in range(cols))
+    return keyed.select(*df.columns, *numbers)
 
 
 def wide_random(spark: SparkSession, n: int, cols: int, seed: int = 0) -> DataFrame:
@@ -127,5 +177,20 @@ def xor_series(
     return df.withColumn(name, value.cast("string") if as_text else value)
 
 
+def register_xor_series(
+    spark: SparkSession, name: str, i_max: int, j_max: int = 500, as_text: bool = False
+) -> None:
+    """The expensive function of a whole number by ``name`` in the session's SQL text. Its body
+    is the closed form, which Spark puts in place of each call: no Python runs."""
+    slope, offsets = xor_series_terms(i_max, j_max)
+    table = ", ".join(f"{value!r}D" for value in offsets)
+    value = f"x * {slope!r}D + get(array({table}), CAST(pmod(x, 8) AS INT))"
+    kind = "STRING" if as_text else "DOUBLE"
+    spark.sql(
+        f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(x BIGINT) RETURNS {kind}"
+        f" RETURN CAST({value} AS {kind})"
+    )
+
+
 def sales_amount(df: DataFrame, quantity: str = "Quantity", price: str = "UnitPrice") -> DataFrame:
     return df.withColumn("SalesAmount", F.col(quantity) * F.col(price))

@@ -39,9 +39,12 @@ def window_clusters(
     split_rows: int = SPLIT_ROWS,
 ) -> DataFrame:
     """Cluster rows of the runs of ``[start, end)``: by partition if the table is stored by day,
-    else by run id. A run borrows shapes only of runs of its own period."""
+    by the start of the run if it has that, else by run id. A run borrows shapes only of runs of
+    its own period."""
     if RUN_DAY in clusters.columns:
         return clusters.where(_stored_days(start, end))
+    if "run_starttime" in clusters.columns:
+        return clusters.where(in_window("run_starttime", start, end))
     ids = window_runs(runs, start, end).select("run_id").distinct()
     return lookup(
         clusters, ids, "run_id", ["job_id", "task_key"], "left_semi", split_rows=split_rows

@@ -13,6 +13,7 @@ from runledger.operators.jobdefs import (
     NO_PROJECT,
     NOT_ONE_CLUSTER,
 )
+from runledger.operators.workload import HASH_FACTORS, column_key
 from runledger.operators.resolve import (
     NO_SHARED_KEY,
     NOT_DEFINED,
@@ -35,6 +36,7 @@ from runledger.samples.queries import (
     XOR_I,
     XOR_J,
 )
+from runledger.samples.stored import FETCHED_FROM, FETCHED_UNTIL, RANDOM_SEED
 from runledger.schemas import DEFINITION_COLUMNS, JOB_RUN_INFO
 
 
@@ -632,6 +634,37 @@ SELECT l_orderkey, l_linenumber, bucket, {value} AS factorial_value
 FROM bucketed JOIN summed USING (bucket)"""
 
 
+_DAY = "CAST(make_timestamp(r.run_starttime * 1000) AS DATE)"
+_IN_WINDOW = f"r.run_starttime >= {epoch_ms(START)} AND r.run_starttime < {epoch_ms(END)}"
+
+
+def _random_lines() -> str:
+    """The hash rounds of the random columns, one step per CTE."""
+    fold, last = "xor(x, x >> 16)", ""
+    steps = ["h0 AS (SELECT l_orderkey, l_linenumber, c, key, l_orderkey & 4294967295 AS x,"
+             " (l_orderkey >> 32) & 4294967295 AS high FROM lineitem, keys)"]
+
+    def step(x: str) -> None:
+        n = len(steps)
+        steps.append(f"h{n} AS (SELECT l_orderkey, l_linenumber, c, key, high, {x} AS x FROM h{n - 1})")
+
+    for then in (", high", ", key", None):
+        for factor in (*HASH_FACTORS, HASH_FACTORS[0]):
+            step(f"({fold} * {factor}) & 4294967295")
+        step(f"xor({fold}{then})" if then else fold)
+        last = f"h{len(steps) - 1}"
+    keys = ", ".join(f"({i}, {column_key(i, RANDOM_SEED)})" for i in range(3))
+    columns = ", ".join(
+        f"max(x) FILTER (WHERE c = {i}) / 4294967296.0::DOUBLE AS rand_col_{i}" for i in range(3)
+    )
+    lines = "SELECT l_orderkey, l_linenumber, r, " + columns
+    numbered = "lines AS (SELECT *, row_number() OVER () AS r FROM lineitem)"
+    body = ", ".join(steps).replace("FROM lineitem, keys", "FROM lines, keys").replace(
+        "l_linenumber, c", "l_linenumber, r, c")
+    return (f"WITH keys(c, key) AS (VALUES {keys}), {numbered}, {body}"
+            f" SELECT * EXCLUDE (r) FROM ({lines} FROM {last} GROUP BY ALL)")
+
+
 ORACLE: dict[str, str] = {
     "usage_estimate": _estimate("task"),
     "usage_estimate_by_run": _estimate("run"),
@@ -772,4 +805,33 @@ WITH {_NEWEST} SELECT project_id, prediction_id, 1 + e % 12 AS num_workers FROM
     "apply_recommendation": _APPLY,
     "strip_webhooks": _WEBHOOKS,
     "onboard_plan": _ONBOARD,
+    "stored_run_usage": f"WITH {RUNS}, {_usage('task')} SELECT * FROM usage",
+    "refreshed_states": f"""
+WITH {RUNS}
+SELECT {_DAY} AS run_day, run_result_state, count(*) AS counts FROM job_runs r
+WHERE run_starttime >= {epoch_ms(FETCHED_FROM)} AND run_starttime < {epoch_ms(FETCHED_UNTIL)}
+GROUP BY 1, 2""",
+    "window_usage": f"""
+WITH {RUNS}
+SELECT run_type, compute_definition, {_COUNTS} {_PAIR} WHERE {_IN_WINDOW}
+GROUP BY run_type, compute_definition""",
+    "window_pool_usage": f"""
+WITH {RUNS}
+SELECT instance_pool_id, {_COUNTS} {_PAIR} WHERE {_IN_WINDOW} AND instance_pool_id <> 'None'
+GROUP BY instance_pool_id""",
+    "window_submits": f"""
+WITH {RUNS}
+SELECT {_TASK_KIND} AS task_type, count(DISTINCT r.run_id) AS distinct_run_ids,
+  count(DISTINCT job_id) AS distinct_job_ids {_PAIR} WHERE {_IN_WINDOW} GROUP BY 1""",
+    "estimate_by_days": _estimate("run"),
+    "random_lines": _random_lines(),
+    "xor_series_sql": _xor_series("factorial_value"),
+    "unknown_fields": """
+SELECT o_orderkey AS run_id,
+  CASE WHEN o_orderkey % 3 = 0 THEN 'None' ELSE 'u' || o_custkey END AS owner,
+  CAST(CASE WHEN o_orderkey % 4 = 0 THEN 0 ELSE o_orderkey % 9 END AS BIGINT) AS level,
+  CASE WHEN o_orderkey % 2 = 0 THEN 'a' END AS tag,
+  '{"level":' || CASE WHEN o_orderkey % 4 = 0 THEN '"high"' ELSE CAST(o_orderkey % 9 AS VARCHAR) END
+  || CASE WHEN o_orderkey % 3 = 0 THEN '' ELSE ',"owner":"u' || o_custkey || '"' END || '}' AS extra
+FROM orders""",
 }

@@ -8,9 +8,11 @@ key is a line. Columns are given as SQL text: there are many, and all are plain.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from runledger.schemas import (
     AUTOSCALE,
@@ -57,6 +59,9 @@ TASK_COLUMNS = (
     "spark_python_task_python_file", "sql_task_query", "dbt_task_as_dict",
 )
 PROJECT_TAG = "project-id"
+# The window of the estimates.
+WINDOW = (dt.date(1997, 3, 1), dt.date(1997, 3, 31))
+
 LIFE_CYCLE = (
     "CASE WHEN o_orderkey % 5 = 0 THEN 'INTERNAL_ERROR' WHEN o_orderkey % 7 = 0 THEN 'RUNNING'"
     " ELSE 'TERMINATED' END"
@@ -127,8 +132,7 @@ def _items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per order key and line number: its smallest part key."""
     items = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
     return (
-        items.repartition("l_orderkey")
-        .groupBy("l_orderkey", "l_linenumber")
+        items.groupBy("l_orderkey", "l_linenumber")
         .agg(F.min("l_partkey").alias("mp"))
         .withColumnRenamed("l_linenumber", "n")
     )
@@ -175,10 +179,15 @@ def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def with_cluster(spark: SparkSession, sf_dir: str) -> DataFrame:
+def with_cluster(spark: SparkSession, sf_dir: str, started: bool = False) -> DataFrame:
+    """The cluster table; ``started`` adds when the run started, as resolved tasks have it."""
+    schema = JOB_RUN_CLUSTER_INFO
+    if started:
+        schema = StructType([*schema.fields, StructField("run_starttime", LongType())])
     return _table(
         run_lines(spark, sf_dir).where("mp % 11 <> 0"),
-        JOB_RUN_CLUSTER_INFO,
+        schema,
+        run_starttime="run_starttime",
         job_id="job_id",
         run_id="run_id",
         task_key="'t' || n",

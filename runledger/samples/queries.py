@@ -12,8 +12,9 @@ from runledger.functions.expr import epoch_ms, is_terminal
 from runledger.operators import jobdefs, normalize, reports, resolve, usage, workload
 from runledger.plans.estimate import annual_estimate, usage_tables
 from runledger.samples import orders
+from runledger.samples.stored import STORED_QUERIES
 
-START, END = dt.date(1997, 3, 1), dt.date(1997, 3, 31)
+START, END = orders.WINDOW
 SINCE, EXPORT_END = dt.date(1998, 1, 1), dt.date(1998, 7, 1)
 XOR_I, XOR_J = 1000, 500
 
@@ -28,8 +29,8 @@ ONBOARD = jobdefs.OnboardParams(
 
 def usage_estimate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return annual_estimate(
-        orders.runs(spark, sf_dir), orders.with_cluster(spark, sf_dir), orders.sizes(spark),
-        START, END,
+        orders.runs(spark, sf_dir), orders.with_cluster(spark, sf_dir, started=True),
+        orders.sizes(spark), START, END,
     )
 
 
@@ -300,7 +301,7 @@ def sales_amount(spark: SparkSession, sf_dir: str) -> DataFrame:
 def wide_random(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Five random columns beside every line: all rows are there, all values in [0, 1)."""
     names = [f"rand_col_{i}" for i in range(5)]
-    drawn = workload.random_columns(_items(spark, sf_dir).select("l_orderkey"), 5, seed=7)
+    drawn = workload.random_columns(_items(spark, sf_dir).select("l_orderkey"), 5, seed=7, row_id="l_orderkey")
     return drawn.agg(
         F.count(F.lit(1)).alias("n_rows"),
         *(F.count_if((F.col(c) >= 0) & (F.col(c) < 1)).alias(c) for c in names),
@@ -416,4 +417,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         job_cluster, eligibility, on_demand_plan, set_on_demand, apply_recommendation,
         strip_webhooks, onboard_plan,
     )
-}
+} | STORED_QUERIES

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from runledger.schemas import (
     FLEET_SIZE,
@@ -57,3 +58,59 @@ def read_export(spark: SparkSession, kind: str, path: str, fmt: str = "json") ->
     if kind not in EXPORTS:
         raise ValueError(f"unknown export {kind!r}; one of {sorted(EXPORTS)}")
     return spark.read.schema(EXPORTS[kind]).option("mode", "FAILFAST").format(fmt).load(path)
+
+
+def read_records(spark: SparkSession, path: str, column: str = "record") -> DataFrame:
+    """JSON lines of any shape, each as a VARIANT: no field is lost for lack of a schema. Fields
+    are read with :func:`runledger.functions.fields.variant_field`. A line that is no JSON fails
+    the read."""
+    return (
+        spark.read.format("json").option("singleVariantColumn", column)
+        .option("mode", "FAILFAST").load(path)
+    )
+
+
+DAMAGED = "_damaged"
+# Reasons for which a row is rejected.
+WRONG_COLUMNS = "wrong number of columns"
+NOT_A = "{name} is not a {kind}: {value}"
+
+
+def read_checked(
+    spark: SparkSession, path: str, schema: StructType, timestamp_format: str | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Good rows of a CSV file with header, and the rejected ones as ``reason`` and ``row``.
+
+    Columns are read as text and cast one by one, so a value that does not fit its type is told
+    from one that is missing. A row is rejected for its first such value or for a wrong number
+    of columns. Every row of the file is in one of the two tables; both read the file when they
+    are used."""
+    texts = StructType([StructField(f.name, StringType()) for f in schema.fields])
+    raw = (
+        spark.read.schema(StructType([*texts.fields, StructField(DAMAGED, StringType())]))
+        .option("header", True).option("enforceSchema", True).option("escape", '"')
+        .option("columnNameOfCorruptRecord", DAMAGED).csv(path)
+    )
+
+    def value(field: StructField) -> Column:
+        text = F.col(field.name)
+        kind = field.dataType.simpleString()
+        if kind == "timestamp" and timestamp_format:
+            return F.try_to_timestamp(text, F.lit(timestamp_format))
+        return text.try_cast(kind)
+
+    misfits = [
+        F.when(
+            F.col(f.name).isNotNull() & value(f).isNull(),
+            F.concat(F.lit(NOT_A.split("{value}")[0].format(name=f.name, kind=f.dataType.simpleString())), F.col(f.name)),
+        )
+        for f in schema.fields
+    ]
+    reason = F.coalesce(F.when(F.col(DAMAGED).isNotNull(), WRONG_COLUMNS), *misfits)
+    judged = raw.withColumn("_reason", reason)
+    good = judged.where(F.col("_reason").isNull()).select(*(value(f).alias(f.name) for f in schema.fields))
+    row = F.coalesce(F.col(DAMAGED), F.to_json(F.struct(*schema.names)))
+    rejects = judged.where(F.col("_reason").isNotNull()).select(
+        F.col("_reason").alias("reason"), row.alias("row")
+    )
+    return good, rejects
