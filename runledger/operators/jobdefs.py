@@ -12,13 +12,15 @@ from pyspark.sql.types import ArrayType, StructType
 
 from runledger.operators.skew import (
     BROADCAST_ROWS,
-    MIN_SPLIT_ROWS,
+    NUMBERED,
     SPLIT_ROWS,
     fits_broadcast,
-    hot_keys,
     lookup,
+    numbered,
+    split_join,
 )
 from runledger.schemas import JOB_TASK, STRING_MAP, WEBHOOKS
+from runledger.sources.scratch import scratch_path
 
 SINGLE_TASK, MULTI_TASK = "SINGLE_TASK", "MULTI_TASK"
 SUCCESS = "SUCCESS"
@@ -313,14 +315,14 @@ def success_prefix(
     """The runs before the first that did not succeed, at most ``n`` per group.
 
     They are all among the first ``n`` runs. Up to the session's group limit Spark keeps only
-    those of each group before the shuffle. For a larger ``n`` a group of many rows is cut
-    into parts of about ``split_rows``, of which the first ``n`` each are kept, so no task ever
-    sorts a whole group.
+    those of each group before the shuffle. For a larger ``n`` the first failure of each group
+    is found by an aggregate, runs from there on are left out, and the rest are numbered range
+    by range: a group of any size, that without a key included, passes through many tasks.
     """
     if n < 1:
         raise ValueError("n must be at least 1")
     if n > int(runs.sparkSession.conf.get(GROUP_LIMIT, "1000")):
-        runs = _first_of_parts(runs, n, group, order, split_rows)
+        return _long_prefix(runs, n, group, order, state, split_rows)
     window = Window.partitionBy(*group).orderBy(*order)
     failed = F.when(F.col(state) == SUCCESS, 0).otherwise(1)
     first_n = runs.withColumn("run_number", F.row_number().over(window)).where(
@@ -336,21 +338,26 @@ def success_prefix(
     )
 
 
-def _first_of_parts(
-    runs: DataFrame, n: int, group: Sequence[str], order: Sequence[str], split_rows: int
+def _long_prefix(
+    runs: DataFrame, n: int, group: Sequence[str], order: Sequence[str], state: str,
+    split_rows: int,
 ) -> DataFrame:
-    """Rows that can be among the first ``n`` of their group: the first ``n`` of each part of
-    a large group, and whole small groups."""
-    hot = hot_keys(runs, group, split_rows)
-    hot = F.broadcast(hot) if split_rows >= MIN_SPLIT_ROWS or fits_broadcast(hot) else hot
-    cut = runs.join(hot, list(group), "left").withColumn(
-        "_part", F.pmod(F.hash(*order), F.coalesce("_parts", F.lit(1)))
-    )
-    window = Window.partitionBy(*group, "_part").orderBy(*order)
+    # The group as a text is never NULL, so rows without a key meet the failures of their group.
+    keyed = runs.withColumn("_group", F.to_json(F.struct(*group)))
+    place = F.struct(*order)
+    failed = ~F.coalesce(F.col(state) == SUCCESS, F.lit(False))
+    failures = keyed.where(failed).groupBy("_group").agg(F.min(place).alias("_failure"))
+    if fits_broadcast(failures):
+        met = keyed.join(F.broadcast(failures), "_group", "left")
+    else:
+        met = split_join(keyed, failures, ["_group"], by=order, how="left", split_rows=split_rows)
+    prefix = met.where(F.col("_failure").isNull() | (place < F.col("_failure"))).select(runs.columns)
+    path = scratch_path(runs.sparkSession, "prefix")
     return (
-        cut.withColumn("_rank", F.row_number().over(window))
-        .where(F.col("_rank") <= n)
-        .select(runs.columns)
+        numbered(prefix, group, order, path)
+        .where(F.col(NUMBERED) <= n)
+        .withColumn("run_number", F.col(NUMBERED).cast("int"))
+        .drop(NUMBERED)
     )
 
 

@@ -13,13 +13,22 @@ pool. Everything is one pass over the tasks with left joins to three lookup tabl
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from runledger.functions.fields import conformed, explode_fields
 from runledger.operators.normalize import cluster_columns
-from runledger.operators.skew import BROADCAST_ROWS, SPLIT_ROWS, fits_broadcast, lookup
+from runledger.operators.skew import (
+    BROADCAST_ROWS,
+    SPLIT_ROWS,
+    fits_broadcast,
+    lookup,
+    split_join,
+)
 from runledger.schemas import (
     ALL_PURPOSE,
     CLUSTER_DEFINITION,
@@ -32,6 +41,7 @@ from runledger.schemas import (
     RUN,
     TASK_DEFINED,
 )
+from runledger.sources.scratch import scratch_path
 
 # Status texts of tasks without a cluster: fixed values, but for the last, which the table
 # of causes had no row for.
@@ -121,6 +131,48 @@ def _known_clusters(
     return listed.join(single, "cluster_id", "full")
 
 
+_LOOKUP_KEYS = ["cluster_id", "_pool_id", "_driver_pool_id"]
+_FOUND = ["_listed", "_fetched", "_pool", "_driver_pool"]
+
+
+def _with_definitions(
+    df: DataFrame, known: DataFrame, one_pool: DataFrame,
+    attach: Callable[[DataFrame, DataFrame, str], DataFrame],
+) -> DataFrame:
+    """``df`` with the definitions (``_FOUND``) of its three lookup keys."""
+    df = attach(df, known, "cluster_id")
+    for key, row in (("_pool_id", "_pool"), ("_driver_pool_id", "_driver_pool")):
+        side = one_pool.select(F.col("instance_pool_id").alias(key), F.col("_row").alias(row))
+        df = attach(df, side, key)
+    return df
+
+
+def _by_combination(
+    tasks: DataFrame, known: DataFrame, one_pool: DataFrame, spread: list[str], split_rows: int
+) -> DataFrame:
+    """The same where the lookup tables are large. Tasks name few combinations of cluster and
+    pools, so these are counted, once for all keys, and looked up; then the tasks are joined,
+    and so shuffled, once. Combinations of many tasks are split."""
+    keyed = tasks.withColumn("_lookup", F.to_json(F.struct(*_LOOKUP_KEYS)))
+    # A task without any key needs no lookup; left joins spread rows whose key is NULL.
+    none = reduce(lambda a, b: a & b, (F.col(key).isNull() for key in _LOOKUP_KEYS))
+    keyed = keyed.withColumn("_lookup", F.when(~none, F.col("_lookup")))
+    counted = keyed.where(F.col("_lookup").isNotNull()).groupBy("_lookup", *_LOOKUP_KEYS).agg(
+        F.count(F.lit(1)).alias("_tasks")
+    )
+    path = scratch_path(tasks.sparkSession, "combinations")
+    counted.write.parquet(path)
+    counted = tasks.sparkSession.read.schema(counted.schema).parquet(path)
+    hot = counted.where(F.col("_tasks") > split_rows).select(
+        "_lookup", F.ceil(F.col("_tasks") / split_rows).cast("int").alias("_parts")
+    )
+    found = _with_definitions(counted, known, one_pool, lambda df, side, key: lookup(
+        df, side, key, ["_lookup"], split_rows=split_rows)).select("_lookup", *_FOUND)
+    return split_join(
+        keyed, found, ["_lookup"], spread, "left", split_rows, hot=hot
+    ).drop("_lookup")
+
+
 def resolve_tasks(
     runs: DataFrame,
     clusters: DataFrame,
@@ -150,21 +202,18 @@ def resolve_tasks(
     )
 
     spread = ["run_id", "task_key"]
-    # Keys are counted in the tasks as they are before the joins. The tables as given are
-    # measured, each once: they bound what is made of them.
-    sizes = {"split_rows": split_rows, "counted": tasks}
+    # The tables as given are measured, each once: they bound what is made of them.
     few_clusters = fits_broadcast(clusters, broadcast_rows) and (
         fetched is None or fits_broadcast(fetched, broadcast_rows)
     )
     few_pools = fits_broadcast(pools, broadcast_rows)
     known = _known_clusters(clusters, fetched, missing_workers)
-    tasks = lookup(tasks, known, "cluster_id", spread, small=few_clusters, **sizes)
     one_pool = _one_per_key(pools, "instance_pool_id", F.struct(*_POOL_COLUMNS.values()))
-    for key, row in (("_pool_id", "_pool"), ("_driver_pool_id", "_driver_pool")):
-        side = one_pool.select(
-            F.col("instance_pool_id").alias(key), F.col("_row").alias(row)
-        )
-        tasks = lookup(tasks, side, key, spread, small=few_pools, **sizes)
+    if few_clusters and few_pools:
+        tasks = _with_definitions(tasks, known, one_pool, lambda df, side, key: df.join(
+            F.broadcast(side), key, "left"))
+    else:
+        tasks = _by_combination(tasks, known, one_pool, spread, split_rows)
 
     defined = F.col("definition").isNotNull()
     pooled = defined & F.col("_pool_id").isNotNull()

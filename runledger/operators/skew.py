@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType
 
@@ -72,6 +72,7 @@ def split_join(
     key: Sequence[str] | None = None,
     counted: DataFrame | None = None,
     right_by: Sequence[str] | None = None,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Equi-join of ``left`` with ``right`` in which hot keys are split.
 
@@ -84,11 +85,13 @@ def split_join(
 
     ``key`` names the columns of ``on`` whose rows are counted (default: all); fewer columns
     make the count cheaper and split a little more. ``counted`` is the table in which they
-    are counted (default: ``left``); give it where a cheaper one has the same keys.
+    are counted (default: ``left``); give it where a cheaper one has the same keys. ``hot`` has
+    the keys and their ``_parts`` where they were counted before.
     """
     on = list(on)
     key = list(key or on)
-    hot = hot_keys(left if counted is None else counted, key, split_rows)
+    if hot is None:
+        hot = hot_keys(left if counted is None else counted, key, split_rows)
     # Few keys have so many rows, unless the caller lowers the bound: then they are measured.
     bounded = split_rows >= MIN_SPLIT_ROWS
     hot = F.broadcast(hot) if bounded or fits_broadcast(hot) else hot
@@ -145,3 +148,35 @@ def lookup(
     if fits_broadcast(dim, max_rows) if small is None else small:
         return df.join(F.broadcast(dim), on, how)
     return split_join(df, dim, [on], by, how, split_rows, counted=counted)
+
+
+NUMBERED = "_number_in_group"
+
+
+def numbered(df: DataFrame, group: Sequence[str], order: Sequence[str], path: str) -> DataFrame:
+    """``df`` with the number of each row in its group (``NUMBERED``, from 1) by ``order``, NULLs
+    first; NULL groups are groups. No task sees a whole group: rows are dealt to ranges of
+    (group, order) and stored under ``path``; a range numbers its own rows and adds those that
+    the group has in earlier ranges. A group has at most one count per range."""
+    ranged = df.repartitionByRange(*group, *order).withColumn(PART, F.spark_partition_id())
+    ranged.write.mode("overwrite").parquet(path)
+    stored = df.sparkSession.read.schema(ranged.schema).parquet(path)
+    counts = stored.groupBy(PART, *group).agg(F.count(F.lit(1)).alias("_rows"))
+    earlier = Window.partitionBy(*group).orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.withColumn("_before", F.sum("_rows").over(earlier))
+    # Only groups that go on in a later range need to be told of earlier rows.
+    before = before.where(F.col("_before").isNotNull()).select(
+        F.col(PART).alias("_range"), "_before",
+        *(F.col(name).alias(f"_of_{i}") for i, name in enumerate(group)),
+    )
+    # Ranges are in order, so a range begins in at most one such group: a row for each range.
+    same = F.col(PART) == F.col("_range")
+    for i, name in enumerate(group):
+        same &= F.col(name).eqNullSafe(F.col(f"_of_{i}"))
+    own = F.row_number().over(Window.partitionBy(PART, *group).orderBy(*order))
+    return (
+        stored.withColumn("_own", own)
+        .join(F.broadcast(before), same, "left")
+        .withColumn(NUMBERED, F.col("_own") + F.coalesce("_before", F.lit(0).cast("long")))
+        .select(*df.columns, NUMBERED)
+    )
