@@ -25,6 +25,8 @@ SAMPLE_PARTS = 256  # parts of a group of labelled rows that are ranked apart
 def shared_folder(spark: SparkSession) -> str:
     """Folder that the driver and all executors share: ``spark.checkpoint.dir``."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
     return f"{(folder or LOCAL_CHECKPOINTS).rstrip('/')}/runledger-{spark.sparkContext.applicationId}"
 
 
@@ -95,43 +97,57 @@ def without_repeats(docs: DataFrame, repeated: DataFrame) -> DataFrame:
 
 def sampled_texts(
     rows: DataFrame, id_col: str, text_col: str, keep: list[str],
-    max_docs: int, max_bytes: int, per: str | None = None,
+    max_docs: int, max_bytes: int, per: str | None = None, marks: DataFrame | None = None,
 ) -> list[tuple]:
     """A bounded sample of labelled rows for a classifier: (text, *keep) of the first rows by
     the hash of their id, at most ``max_docs`` rows and ``max_bytes`` of text, for each value
     of ``per`` if given. Texts are whole; one that would exceed the bound is passed over. The
-    same on every run. Rows without a text are left out, repeated rows count repeatedly."""
-    group = F.col(per) if per else F.lit(0)
-    order = F.xxhash64(F.col(id_col).cast("string"), F.lit(17))
-    sized = rows.where(F.col(text_col).isNotNull() & F.col(id_col).isNotNull()).select(
-        group.alias("_g"), order.alias("_h"), F.col(id_col).alias("_id"), F.col(text_col).alias("_t"),
-        F.octet_length(text_col).alias("_n"), *(F.col(c).alias(f"_k{i}") for i, c in enumerate(keep)),
-    )
+    same on every run. Rows without a text are left out, repeated rows count repeatedly.
+
+    ``marks`` has the labels, by ``id_col``, where ``rows`` has not; ``keep`` and ``per`` are
+    then columns of it. Rows are chosen by id, length and hash of the text; only the texts of
+    the chosen ones are read out, each once however often it is there."""
+    shape = {
+        "_id": F.col(id_col), "_n": F.octet_length(text_col), "_x": F.xxhash64(text_col),
+        "_h": F.xxhash64(F.col(id_col).cast("string"), F.lit(17)),
+    }
+    worded = rows.where(F.col(text_col).isNotNull() & F.col(id_col).isNotNull())
+    labels = {"_g": F.col(per) if per else F.lit(0), **{f"_k{i}": F.col(c) for i, c in enumerate(keep)}}
+    named = [c.alias(n) for n, c in labels.items()]
+    if marks is None:
+        sized = worded.select(*named, *(c.alias(n) for n, c in shape.items()))
+    else:
+        sized = attach(
+            worded.select(*(c.alias(n) for n, c in shape.items())),
+            marks.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("_id"), *named),
+            ["_id"], ["_x", "_n"], "inner",
+        )
     # The first rows of each part of a group, then those of the group: no task gets a whole group.
-    order_of = ["_h", "_id", "_n"]
-    ranked = sized.select("_g", *order_of)
+    order_of = ["_h", "_id", "_n", "_x"]
+    ranked = sized
     for part in ([F.pmod("_h", F.lit(SAMPLE_PARTS))], []):
         first = Window.partitionBy("_g", *part).orderBy(*order_of)
         ranked = ranked.withColumn("_r", F.row_number().over(first)).where(F.col("_r") <= max_docs)
-    chosen, total = {}, Counter()
+    chosen, total = [], Counter()
     for row in sorted(ranked.collect(), key=lambda r: r["_r"]):
         if total[row["_g"]] + row["_n"] <= max_bytes:
-            chosen[row["_id"]] = chosen.get(row["_id"], 0) + 1
+            chosen.append(row)
             total[row["_g"]] += row["_n"]
     if not chosen:
         return []
-    wanted = rows.sparkSession.createDataFrame([(i,) for i in chosen], ["_id"]).distinct()
-    wanted = wanted.withColumn("_id", F.col("_id").cast(sized.schema["_id"].dataType))
-    # At most max_docs ids for each group.
-    found = sized.join(F.broadcast(wanted), "_id", "left_semi").collect()
-    found.sort(key=lambda r: (r["_h"], str(r["_id"]), r["_n"], r["_t"]))
-    out, total = [], Counter()
-    for row in found:
-        if total[row["_g"]] + row["_n"] <= max_bytes and chosen.get(row["_id"], 0) > 0:
-            chosen[row["_id"]] -= 1
-            total[row["_g"]] += row["_n"]
-            out.append((row["_t"], *(row[f"_k{i}"] for i in range(len(keep)))))
-    return out
+    spark = rows.sparkSession
+    # At most max_docs for each group.
+    wanted = spark.createDataFrame(
+        [(r["_id"], r["_n"], r["_x"]) for r in chosen], sized.select("_id", "_n", "_x").schema
+    ).distinct()
+    keys = ["_id", "_n", "_x"]
+    found = worded.select(*(shape[k].alias(k) for k in keys), F.col(text_col).alias("_t"))
+    found = found.join(F.broadcast(wanted), keys, "left_semi").dropDuplicates(keys).collect()
+    texts = {(r["_id"], r["_n"], r["_x"]): r["_t"] for r in found}
+    chosen.sort(key=lambda r: (r["_h"], str(r["_id"]), r["_n"], r["_x"]))
+    return [
+        (texts[r["_id"], r["_n"], r["_x"]], *(r[f"_k{i}"] for i in range(len(keep)))) for r in chosen
+    ]
 
 
 def slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[pa.Array]:

@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from runledger.llm.common import sampled_texts, text_column
+from runledger.llm.common import sampled_texts, set_apart, text_column
 
 START = "▁"  # word start in the vocabulary: a fixed value
 UNDETERMINED = "und"
@@ -157,6 +157,22 @@ class Pieces:
         return out
 
 
+    def starting(self, points: np.ndarray, start: int, end: int, longest: int) -> np.ndarray:
+        """For equally long words: the piece of n + 1 letters from position ``start`` + i, as
+        ``[n, word, i]``."""
+        w, n = points.shape
+        h = np.zeros((w, end - start), np.uint64)
+        out = np.full((longest, w, end - start), -1, np.int32)
+        for k in range(longest):
+            upto = min(end, n - k) - start
+            if upto <= 0:
+                break
+            h = _next(h[:, :upto], points[:, start + k : start + k + upto])
+            found = self.find(h.reshape(-1)).reshape(w, upto)
+            out[k, :, :upto] = np.where(found < 0, self.unknown, found) if k == 0 else found
+        return out
+
+
 @dataclass
 class LanguageModel:
     """Piece probabilities: ``p[piece, language]``, with a row for unknown letters and a last
@@ -183,6 +199,23 @@ class LanguageModel:
             window = window[-self.pieces.longest:]
         return log, scales
 
+    def scores(self, points: np.ndarray) -> np.ndarray:
+        """The log probabilities alone: sums are pushed ahead by the pieces that start at a
+        letter, so a word of any length needs those of its last letters only."""
+        w, n = points.shape
+        ahead = np.zeros((min(self.pieces.longest, n) + 1, w, len(self.languages)))
+        ahead[0] = 1
+        log = np.zeros(ahead.shape[1:])
+        step = max(1, AT_ONCE // max(1, w * len(ahead)))
+        for at in range(0, n, step):
+            found = self.pieces.starting(points, at, min(at + step, n), len(ahead) - 1)
+            for i in range(found.shape[2]):
+                log += np.log(ahead[0])
+                ahead /= ahead[0].copy()
+                ahead[:-1] = ahead[1:] + self.p[found[:, :, i]]
+                ahead[-1] = 0
+        return log + np.log(ahead[0])
+
     def expected(self, edges: list[list[np.ndarray]], counts: np.ndarray) -> np.ndarray:
         """Expected uses of each piece by language in words that occur ``counts`` times."""
         n, w = len(edges), len(edges[0][0])
@@ -205,7 +238,7 @@ class LanguageModel:
         """Log probability of each word by language."""
         out = np.zeros((len(words), len(self.languages)))
         for group, points in code_points(words):
-            out[group], _ = self.forward(self.pieces.edges(_started(points)))
+            out[group] = self.scores(_started(points))
         return out
 
     def text_scores(self, texts: pa.Array) -> list[np.ndarray]:
@@ -265,7 +298,9 @@ def identify(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataF
     """``docs`` with ``lang_pred`` and ``score`` (posterior of that language among the learned
     ones, 0 to 1), which replace columns of these names. NULL texts and texts without a letter
     are ``und`` with score 0, as is every text if nothing was learned. Only the text is read;
-    rows are independent, so repeated rows agree and an empty table stays empty."""
+    rows are independent, so repeated rows agree and an empty table stays empty. Other columns
+    are kept, whatever their names."""
+    docs, back = set_apart(docs, text)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kind = "struct<best:int,score:double>"
 
@@ -287,4 +322,4 @@ def identify(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataF
     name = F.when(best >= 0, F.get(names, best)) if names is not None else F.lit(None).cast("string")
     return out.withColumns({
         "lang_pred": F.coalesce(name, F.lit(UNDETERMINED)), "score": F.col("_scored.score"),
-    }).drop("_scored")
+    }).drop("_scored").withColumnsRenamed(back)

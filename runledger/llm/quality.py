@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from runledger.llm.common import mix64, sampled_texts, slices
+from runledger.llm.common import mix64, sampled_texts, set_apart, slices
 
 ORDERS = (1, 2, 3)
 SLOTS = 1 << 14
@@ -154,8 +154,10 @@ def learn(
     )
     counts = {r["_grade"]: r["count"] for r in marks.groupBy("_grade").count().collect()}
     shares = {g: n / sum(counts.values()) for g, n in counts.items()}
-    rows = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text")).join(marks, "_id")
-    samples = sampled_texts(rows, "_id", "_text", ["_grade"], max_docs, max_bytes, per="_grade")
+    rows = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text"))
+    samples = sampled_texts(
+        rows, "_id", "_text", ["_grade"], max_docs, max_bytes, per="_grade", marks=marks
+    )
     return train(samples, shares)
 
 
@@ -167,7 +169,8 @@ def quality(docs: DataFrame, model: OrdinalModel, least: int, cut: float = 0.5,
     NULL and empty texts have no n-grams and are placed at 0 on the line, like a text of
     unknown n-grams. A model of one grade gives that grade and is sure of it; one without
     grades gives NULL and selects nothing. Repeated rows agree; an empty table stays empty. Only
-    the text is read, and nothing is shuffled."""
+    the text is read, and nothing is shuffled; other columns are kept, whatever their names."""
+    docs, back = set_apart(docs, text)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     # The threshold below the first grade that is at least ``least``.
     above = sum(g < least for g in model.grades)
@@ -195,4 +198,4 @@ def quality(docs: DataFrame, model: OrdinalModel, least: int, cut: float = 0.5,
         "expected_grade": F.col("_scored.grade"),
         "tail_probability": F.col("_scored.tail"),
         "selected": F.coalesce(F.col("_scored.tail") >= cut, F.lit(False)),
-    }).drop("_scored")
+    }).drop("_scored").withColumnsRenamed(back)

@@ -38,6 +38,7 @@ from runledger.llm.common import (
     text_column,
     written,
 )
+from runledger.operators.skew import fits_broadcast
 
 WIDTHS = (1, 2, 3)
 FILTERS = 8
@@ -55,6 +56,7 @@ EPOCHS = 6
 BATCH = 64
 RATE = 0.01
 CALIBRATION_SHARE = 5  # one text in so many
+SUPPORT = 8  # texts of each label that those fitted on count as when thresholds are set
 PRIOR = 40  # texts of each label, spread like all, that a group's scores are joined by
 GROUPS = 8  # groups of texts, at most
 GROUP_WORDS = 256  # frequent words that groups are told by
@@ -113,6 +115,7 @@ class Network:
     threshold: np.ndarray = field(default_factory=lambda: np.zeros(GROUPS + 1))
     column: np.ndarray | None = None  # of each slot of a word among the frequent ones, or -1
     centers: np.ndarray | None = None
+    fitted_counts: np.ndarray | None = None
 
     def __post_init__(self):
         rng = np.random.default_rng(self.seed)
@@ -303,13 +306,19 @@ class Network:
     def counted(self, words: Words, labels: np.ndarray) -> np.ndarray:
         """Number of texts by group, label and step of the log odds."""
         found = np.zeros((GROUPS + 1, 2, BINS), np.int64)
-        for i in range(0, len(labels), TEXTS):
-            part = words.take(np.arange(i, min(i + TEXTS, len(labels))))
-            z = np.clip(self.log_odds(part).astype(np.float64), -LIMIT, LIMIT)
-            step = np.rint((z + LIMIT) * FINE).astype(np.int64)
-            np.add.at(found, (self.groups(part), labels[i : i + TEXTS].astype(np.int64), step), 1)
+        group, step = np.divmod(self.places(words), BINS)
+        np.add.at(found, (group, labels.astype(np.int64), step), 1)
         return found
 
+    def places(self, words: Words) -> np.ndarray:
+        """Group and step of the log odds of each text, as one number."""
+        out, texts = [np.zeros(0, np.int64)], len(words.bounds) - 1
+        for i in range(0, texts, TEXTS):
+            part = words.take(np.arange(i, min(i + TEXTS, texts)))
+            z = np.clip(self.log_odds(part).astype(np.float64), -LIMIT, LIMIT)
+            out.append(self.groups(part) * BINS + np.rint((z + LIMIT) * FINE).astype(np.int64))
+        return np.concatenate(out)
+
     def calibrate(self, counts: np.ndarray, rate: float) -> None:
         """Log odds from which a text counts as toxic, by group: where errors, weighted to a
         share ``rate`` of toxic texts, are fewest; the middle of the best range."""
@@ -341,16 +350,19 @@ class Network:
 
 
 def fitted(labels: np.ndarray) -> np.ndarray:
-    """Which texts of a sample the weights are fitted on."""
-    held = np.arange(len(labels)) % CALIBRATION_SHARE == 0
-    if not len(labels) or not 0 < labels[~held].mean() < 1:
-        held[:] = False
+    """Which texts of a sample the weights are fitted on: all but every fifth of each label."""
+    held = np.zeros(len(labels), bool)
+    for label in np.unique(labels):
+        held[np.flatnonzero(labels == label)[CALIBRATION_SHARE - 1 :: CALIBRATION_SHARE]] = True
     return ~held
 
 
-def enough(counts: np.ndarray) -> bool:
-    """Whether there are texts of both labels to judge a threshold by."""
-    return counts.sum((0, 2)).min() >= 8
+def supported(counts: np.ndarray, fitted_counts: np.ndarray) -> np.ndarray:
+    """``counts`` of texts that were not fitted on, with the scores of those that were as
+    ``SUPPORT`` texts of each label: they tell something where there are few others and
+    nothing where there are many."""
+    total = fitted_counts.sum((0, 2), keepdims=True)
+    return counts + SUPPORT * fitted_counts / np.maximum(total, 1)
 
 
 def train(samples: list[tuple[str, int]], rate: float, epochs: int = EPOCHS) -> Network:
@@ -368,35 +380,40 @@ def train(samples: list[tuple[str, int]], rate: float, epochs: int = EPOCHS) ->
     network.warm_start(words, labels, rows)
     network.fit(words, labels, rows, epochs)
     network.learn_groups(words)
-    rows = np.flatnonzero(~fitted(labels))
-    counts = network.counted(words.take(rows), labels[rows])
-    # Too few texts were held back to judge by: all are used.
-    network.calibrate(counts if enough(counts) else network.counted(words, labels), rate)
+    others = np.flatnonzero(~fitted(labels))
+    network.fitted_counts = network.counted(words.take(rows), labels[rows])
+    counts = network.counted(words.take(others), labels[others])
+    network.calibrate(supported(counts, network.fitted_counts), rate)
     return network
 
 
-def count_scores(rows: DataFrame, network: Network) -> np.ndarray:
+def count_scores(rows: DataFrame, network: Network, marks: DataFrame) -> np.ndarray:
     """Number of texts by group, label and step of the log odds, over all ``rows`` (columns
-    ``_text`` and ``_label``). Texts are scored on the executors."""
+    ``_id`` and ``_text``) that have a label in ``marks``. Texts are scored where they are, on
+    the executors. If the marks are small, those without one are left out before; else all are
+    scored, and their places, not their texts, meet the marks."""
     shared = rows.sparkSession.sparkContext.broadcast(network)
+    small = fits_broadcast(marks)
+    if small:
+        rows = rows.join(F.broadcast(marks.select("_id")), "_id", "left_semi")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = np.zeros((GROUPS + 1, 2, BINS), np.int64)
         for batch in batches:
-            at = 0
-            for piece in slices(batch.column(0)):
-                labels = np.asarray(batch.column(1).slice(at, len(piece)))
-                at += len(piece)
-                found += shared.value.counted(Words.of(piece), labels)
-        used = np.flatnonzero(found)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(used), pa.array(found.reshape(-1)[used])], names=["at", "n"]
-        )
-
-    counted = rows.select("_text", "_label").mapInArrow(run, "at long, n long")
+            found = [shared.value.places(Words.of(piece)) for piece in slices(batch.column(1))]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(np.concatenate(found) if found else np.zeros(0, np.int64))],
+                names=["_id", "_place"],
+            )
+
+    kind = rows.schema["_id"].dataType.simpleString()
+    placed = rows.select("_id", "_text").mapInArrow(run, f"_id {kind}, _place long")
+    if not small:
+        placed = written(placed, "places")
+    met = attach(placed, marks, ["_id"], ["_place"], "inner")
     out = np.zeros((GROUPS + 1, 2, BINS), np.int64)
-    for row in counted.groupBy("at").agg(F.sum("n").alias("n")).collect():
-        out.reshape(-1)[row["at"]] = row["n"]
+    for row in met.groupBy("_place", "_label").count().collect():
+        group, step = divmod(row["_place"], BINS)
+        out[group, row["_label"], step] = row["count"]
     return out
 
 
@@ -418,10 +435,9 @@ def learn(
     share = marks.agg(F.avg("_label").alias("p")).first()["p"] or 0.0
     marks = written(marks, "marks")
     rows = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text"))
-    # Marks that are small are broadcast, so that the texts are not shuffled.
-    rows = attach(rows.where(F.col("_id").isNotNull()), marks, ["_id"], ["_text"], "inner")
+    rows = rows.where(F.col("_id").isNotNull())
     samples = sampled_texts(
-        rows, "_id", "_text", ["_label", "_id"], max_docs, max_bytes, per="_label"
+        rows, "_id", "_text", ["_label", "_id"], max_docs, max_bytes, per="_label", marks=marks
     )
     network = train([(t, y) for t, y, _ in samples], share, epochs)
     if network.centers is not None:
@@ -430,9 +446,8 @@ def learn(
         kind = marks.schema["_id"].dataType.simpleString()
         seen = docs.sparkSession.createDataFrame([(i,) for i in ids], f"_id {kind}")
         others = rows.where(F.col("_text").isNotNull()).join(F.broadcast(seen), "_id", "left_anti")
-        counts = count_scores(others, network)
-        if enough(counts):
-            network.calibrate(counts, share)
+        counts = count_scores(others, network, marks)
+        network.calibrate(supported(counts, network.fitted_counts), share)
     return network
 
 

@@ -19,6 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from runledger.llm.common import set_apart
 from runledger.operators.skew import fits_broadcast, split_join
 
 PREFIX = 8  # hexadecimal digits of the digest that are joined on
@@ -97,6 +98,7 @@ def judge_urls(
     of equal rules the one whose verdict sorts last (block after allow). NULL urls and urls
     without ``://`` have an empty host and path and get ``default``. Repeated rows get equal
     verdicts, and without rules every page gets ``default``."""
+    pages, back = set_apart(pages, url)
     pages = pages.drop("host", "path", "rule", "verdict").withColumns(
         {"_host": url_host(F.col(url)), "_path": url_path(F.col(url))}
     )
@@ -128,4 +130,4 @@ def judge_urls(
         "path": F.col("_path"),
         "rule": F.col("_best.rule"),
         "verdict": F.coalesce("_best._verdict", F.lit(default)),
-    }).drop("_host", "_path", "_best")
+    }).drop("_host", "_path", "_best").withColumnsRenamed(back)

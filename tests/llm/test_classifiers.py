@@ -1,6 +1,7 @@
 import itertools
 import math
 import random
+import tracemalloc
 
 import numpy as np
 import public_tokenizers
@@ -8,7 +9,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from runledger.llm import language_id, quality, queries, toxicity
+from runledger.llm import language_id, quality, queries, toxicity, url_filters
 from runledger.llm.common import fold, sampled_texts
 
 
@@ -288,3 +289,70 @@ def test_samples_are_bounded_and_whole(spark):
             assert len(own) <= docs and sum(map(len, own)) <= size and own
     everything = sampled_texts(df, "i", "t", ["g"], 500, 1 << 20)
     assert len(everything) == 202
+
+
+def test_samples_of_marks_move_no_text(spark, conf, monkeypatch):
+    """Only ids, lengths and hashes meet the labels, and a repeated row is read out once."""
+    from runledger.llm import common
+
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    monkeypatch.setattr(common, "fits_broadcast", lambda df: False)
+    rows = [(i, f"text {i}") for i in range(300)] + [(7, "again")] * 5000
+    docs = spark.createDataFrame(rows, "i bigint, t string").withColumn("t", F.concat("t", F.lit("!")))
+    marks = spark.createDataFrame([(i, i % 2) for i in range(0, 300, 3)] + [(7, 1)], "i bigint, g int")
+    marks = marks.dropDuplicates(["i"])
+    plans, whole = [], common.split_join
+
+    def join(left, right, *a, **k):
+        plans.append(left)
+        return whole(left, right, *a, **k)
+
+    monkeypatch.setattr(common, "split_join", join)
+    found = sampled_texts(docs, "i", "t", ["g", "i"], 40, 10_000, per="g", marks=marks)
+    assert plans and all("string" not in dict(p.dtypes).values() for p in plans)
+    wanted = {r["i"]: r["g"] for r in marks.collect()}
+    assert all(wanted[i] == g for _, g, i in found) and len(found) == 80
+    assert {t for t, _, i in found} <= {f"{t}!" for _, t in rows}
+    many = sampled_texts(docs, "i", "t", ["i"], 6000, 1 << 20, marks=marks)
+    assert sum(t == "again!" for t, _ in many) == 5000
+
+
+def test_scores_beyond_the_broadcast_limit(spark, make_docs, monkeypatch):
+    """Places instead of texts meet the labels where these are too many to broadcast."""
+    rows = list(enumerate(toxic_samples()))
+    docs = make_docs([(i, t) for i, (t, _) in rows] + [(10_000, "no label")])
+    labels = spark.createDataFrame([(i, y) for i, (_, y) in rows], "doc_id bigint, toxic int")
+    one = toxicity.learn(docs, labels, F.lit(True), max_docs=20, epochs=1)
+    monkeypatch.setattr(toxicity, "fits_broadcast", lambda df: False)
+    two = toxicity.learn(docs, labels, F.lit(True), max_docs=20, epochs=1)
+    assert (one.threshold == two.threshold).all()
+
+
+def test_columns_with_clashing_names_stay(spark, make_docs):
+    docs = make_docs([(1, "some text"), (2, None)]).withColumns({"_scored": F.lit("mine"), "_host": F.lit("own")})
+    named = [
+        quality.quality(docs, quality.train([("x", 1), ("y", 0)]), least=1),
+        language_id.identify(docs, language_id.train([], ["a", "b"])),
+        url_filters.judge_urls(docs.withColumn("url", F.lit("http://a.net/x")), url_filters.rule_table(
+            spark, [("net", "/", "block")])),
+    ]
+    for found in named:
+        assert {(r["_scored"], r["_host"]) for r in found.collect()} == {("mine", "own")}
+        assert found.columns[: len(docs.columns)] == docs.columns
+
+
+def test_long_words_are_scored_as_by_the_forward_sums():
+    rng = random.Random(2)
+    samples = [("abba baab", "x"), ("cddc dccd", "y")] * 3
+    model = language_id.train(samples, ["a", "ab", "bba", "c", "cd", "dcc", language_id.START + "a"])
+    for n in (1, 2, 7, 50):
+        words = ["".join(rng.choice("abcdz") for _ in range(n)) for _ in range(5)]
+        points = language_id._started(language_id._points(words))
+        want, _ = model.forward(model.pieces.edges(points))
+        assert model.scores(points) == pytest.approx(want, rel=1e-12)
+    long = "".join(rng.choice("abcd") for _ in range(200_000))
+    tracemalloc.start()
+    (best, score) = model.text_scores(pa.array([long]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert best[0] in (0, 1) and 0 <= score[0] <= 1 and peak < 200 << 20
