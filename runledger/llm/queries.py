@@ -32,16 +32,19 @@ RULES = [
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mix of all documents: sizes, targets by source and what is taken."""
     mixed = mix(read_table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source", "source_size", "target", "copies", "taken")
 
 
 def op2_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of all other rows for every row whose id 20 divides."""
     vectors = read_table(spark, sf_dir, "embeddings")
     return nearest(vectors, F.col("id") % 20 == 0, NEIGHBOURS)
 
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents, learned from labels of four fifths of the ids."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = read_table(spark, sf_dir, "labels")
     network = toxicity.learn(docs, labels, fold("_id", 5) != 0)
@@ -51,12 +54,14 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, deciding rule and verdict of all pages."""
     pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
     judged = judge_urls(pages, rule_table(spark, RULES))
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of all documents, learned from two thirds of the ids."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = language_id.learn(
         docs, fold("doc_id", 3) != 1, public_tokenizers.path("piece_bpe_32k.model")
@@ -67,11 +72,13 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shingle count and component of near copies of all documents."""
     found = near_duplicates(read_table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_shingles", "component_id")
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without lines that are near copies of earlier ones."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return dedup_lines(docs).select("doc_id", "text", "n_lines", "n_removed")
 
@@ -84,6 +91,7 @@ def grades(labels: DataFrame) -> DataFrame:
 
 
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected grade and tail probability of all documents, learned from four fifths of the ids."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     ratings = grades(read_table(spark, sf_dir, "labels"))
     model = quality.learn(docs, ratings, fold("_id", 5) != 0)
@@ -94,6 +102,7 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents that stand in benchmark windows, and the items hit."""
     docs = read_table(spark, sf_dir, "documents")
     found = contamination(docs, read_table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -102,6 +111,7 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of all documents."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     counted = token_counts(docs, public_tokenizers.path("byte_bpe_50k.json"), TOKEN_LIMIT)
     return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
