@@ -825,6 +825,10 @@ SELECT {_TASK_KIND} AS task_type, count(DISTINCT r.run_id) AS distinct_run_ids,
   count(DISTINCT job_id) AS distinct_job_ids {_PAIR} WHERE {_IN_WINDOW} GROUP BY 1""",
     "estimate_by_days": _estimate("run"),
     "random_lines": _random_lines(),
+    "wide_random_rows": f"""
+SELECT rand_col_0, rand_col_1, rand_col_2 FROM ({_random_lines().replace(
+        "FROM lineitem)", "FROM (SELECT range AS l_orderkey, 0 AS l_linenumber"
+        " FROM range((SELECT count(*) FROM orders))))")})""",
     "xor_series_sql": _xor_series("factorial_value"),
     "unknown_fields": """
 SELECT o_orderkey AS run_id,

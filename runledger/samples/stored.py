@@ -119,6 +119,12 @@ def random_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return workload.random_columns(lines, 3, RANDOM_SEED, row_id="l_orderkey")
 
 
+def wide_random_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As many rows of random columns as there are orders."""
+    n = orders.read(spark, sf_dir, "orders").count()
+    return workload.wide_random(spark, n, 3, RANDOM_SEED)
+
+
 def xor_series_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The expensive function called by name in SQL text."""
     workload.register_xor_series(spark, "complex_operation", 1000)
@@ -153,6 +159,6 @@ STORED_QUERIES = {
     f.__name__: f
     for f in (
         stored_run_usage, refreshed_states, window_usage, window_pool_usage, window_submits,
-        estimate_by_days, random_lines, xor_series_sql, unknown_fields,
+        estimate_by_days, random_lines, wide_random_rows, xor_series_sql, unknown_fields,
     )
 }

@@ -9,10 +9,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from runledger.operators import counts, reports
-from runledger.operators.usage import run_usage
-from runledger.samples import orders
+from runledger.operators.usage import all_job_clusters, run_usage
+from runledger.samples import orders, queries
 from runledger.sources import buckets, tables, versions
 from runledger.sources.scratch import scratch_path
+from runledger.sources.views import create_views
 
 # --- versions --------------------------------------------------------------------
 
@@ -151,6 +152,36 @@ def test_merge_reads_its_days_only(spark, tmp_path):
         tables.merge_runs(spark, path, "other", rows, dt.date(1970, 1, 1))
 
 
+# --- views -----------------------------------------------------------------------
+
+
+def test_views_by_name_in_another_session(spark, sf_dir):
+    stored = {
+        "job_run_info": orders.runs(spark, sf_dir), "fleet_size": orders.sizes(spark),
+        "job_run_cluster_info": orders.with_cluster(spark, sf_dir),
+    }
+    tables.write_tables(spark, stored, schema="viewed")
+    create_views(spark, "viewed")
+    other = spark.newSession()
+    other.conf.set("spark.sql.session.timeZone", "UTC")
+    runs, clusters = orders.runs(other, sf_dir), orders.with_cluster(other, sf_dir)
+    for name, want in (
+        ("run_usage", run_usage(runs, clusters, orders.sizes(other))),
+        ("all_job_clusters", all_job_clusters(clusters)),
+    ):
+        found = other.table(f"viewed.{name}")
+        assert found.columns == want.columns
+        assert found.exceptAll(want).isEmpty() and want.exceptAll(found).isEmpty()
+    # New versions of the tables are seen through the views.
+    tables.write_tables(spark, {"job_run_info": runs.limit(0)}, schema="viewed")
+    assert other.table("viewed.run_usage").isEmpty()
+
+
+def test_days_are_in_order(spark, sf_dir):
+    days = [r["day"] for r in queries.daily_usage(spark, sf_dir).select("day").collect()]
+    assert days == sorted(days) and len(set(days)) > 100
+
+
 # --- buckets ---------------------------------------------------------------------
 
 
