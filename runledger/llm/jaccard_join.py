@@ -8,14 +8,21 @@ A prefix shingle's list, sorted by set size, gives candidate edges: the pairs th
 and positional filters let pass or, of a long list, a chain of neighbours that connects all it
 could pair. So there are a bounded number of edges per row however long a list is. Connected
 components of the edges are the groups inside which sets must be compared; a large group is cut
-into blocks, and blocks meet in tiles. In a tile, pairs
+into blocks, and blocks meet in tiles.
+
+Most sets of a group share a passage and no more, so tiles first compare sketches, a bit or two
+for each shingle: the parity of the shingles in each of a power of two of hash classes. Two sets
+differ in at least as many shingles as their sketches in bits, so pairs that the sketches rule
+out are no links (suffix filter). Components of the others are smaller groups, and only their
+sets are sent. In a tile of sets, pairs
 are generated from shared prefix shingles, pruned by the length, positional and suffix filters,
 and verified once, at their first common shingle. What a tile returns is a spanning forest of
 its links, never all pairs. Components of the links are the result.
 
 Texts are read three times (counts, prefixes, sets of the compared documents) and only those of
 compared documents may be shuffled. Sets are 64-bit shingle hashes; a node is known by a
-128-bit hash of its set.
+128-bit hash of its set. Up to the tiles of sets half of it is enough: were two nodes to share
+that half, their groups would be compared as one.
 """
 
 from __future__ import annotations
@@ -47,11 +54,13 @@ BUCKETS = 18  # log2 of the counters of shingles
 NEAR = 32  # rows of a list that are compared with each other; longer lists become chains
 BLOCK = 1024  # nodes of a large group that are in one block, about
 BLOCK_SHINGLES = 1 << 21  # their shingles together, unless one set has more
+SKETCHED = 8  # times as many nodes and shingles are in a block whose sketches are compared
 ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
                 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 RANGES = 6  # log2 of the hash ranges of the suffix filter
 
-FACTS = "kind int, doc_id long, text_key long, node binary, n long, bucket int, uses long"
+FACTS = ("kind int, doc_id long, text_key long, node binary, short long, n long, sketch binary, "
+         "bucket int, uses long")
 
 
 def shingle_sets(texts: pa.Array, words: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
@@ -104,6 +113,23 @@ def set_hashes(bounds: np.ndarray, value: np.ndarray) -> list[bytes | None]:
     return out
 
 
+def short_names(nodes: list[bytes | None]) -> pa.Array:
+    """The first half of the hash of each set."""
+    half = np.frombuffer(b"".join(node[:8] if node else bytes(8) for node in nodes), np.int64)
+    return pa.array(half, mask=np.array([node is None for node in nodes], bool))
+
+
+def sketches(bounds: np.ndarray, value: np.ndarray) -> list[bytes | None]:
+    """For each set the parities of its shingles in as many classes of their last bits as the
+    set has shingles, rounded up to a power of two of at least 64; None for an empty one."""
+    out: list[bytes | None] = []
+    for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+        size = max(64, 1 << (b - a - 1).bit_length())
+        times = np.bincount((value[a:b] & np.uint64(size - 1)).astype(np.int64), minlength=size)
+        out.append(np.packbits(times & 1).tobytes() if b > a else None)
+    return out
+
+
 def _bucket(value: np.ndarray) -> np.ndarray:
     return (value >> np.uint64(64 - BUCKETS)).astype(np.int64)
 
@@ -132,16 +158,17 @@ def _facts(words: int):
                 at += len(piece)
                 bounds, value = shingle_sets(piece, words)
                 uses += np.bincount(_bucket(value), minlength=1 << BUCKETS)
-                yield _fact_rows(0, len(piece), rows.column(0), rows.column(1),
-                                 set_hashes(bounds, value), np.diff(bounds), None, None)
+                nodes = set_hashes(bounds, value)
+                yield _fact_rows(0, len(piece), rows.column(0), rows.column(1), nodes,
+                                 short_names(nodes), np.diff(bounds), sketches(bounds, value), None, None)
         used = np.flatnonzero(uses)
-        yield _fact_rows(1, len(used), None, None, None, None, used, uses[used])
+        yield _fact_rows(1, len(used), None, None, None, None, None, None, used, uses[used])
 
     return run
 
 
 def _fact_rows(kind: int, size: int, *columns) -> pa.RecordBatch:
-    types = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int32(), pa.int64()]
+    types = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int64()]
     names = [f.split()[0] for f in FACTS.split(", ")]
     arrays = [pa.array(np.full(size, kind, np.int32))]
     for column, kind_of in zip(columns, types, strict=True):
@@ -167,7 +194,7 @@ def _prefixes(words: int, percent: int, shared):
                 ordered = rare_first(bounds, value, uses)
                 p = prefix_length(n, percent)
                 at = np.repeat(bounds[:-1][keep] - (np.cumsum(p) - p), p) + np.arange(p.sum())
-                flat = pa.array([nodes[i] for i in keep.tolist()], pa.binary())
+                flat = short_names([nodes[i] for i in keep.tolist()])
                 of = np.repeat(np.arange(len(keep)), p)
                 place = np.arange(p.sum()) - np.repeat(np.cumsum(p) - p, p)
                 yield pa.RecordBatch.from_arrays(
@@ -326,6 +353,58 @@ def tile_links(sets: list[np.ndarray], uses: np.ndarray, side: np.ndarray, perce
     return links
 
 
+def sketch_pairs(size: np.ndarray, rows: list[bytes], side: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """A spanning forest of the pairs that sizes and sketches do not rule out: all pairs if
+    ``side`` has one value, those between its two values otherwise."""
+    pairs, group = [], np.arange(len(rows))
+    both = len(np.unique(side)) > 1
+    width = np.array([len(row) for row in rows], np.int64)
+    known = {}  # sketches of one width: their rows, by size
+    for w in np.unique(width).tolist():
+        at = np.flatnonzero(width == w)
+        at = at[np.argsort(size[at], kind="stable")]
+        known[w] = at, np.frombuffer(b"".join(rows[i] for i in at.tolist()), np.uint64).reshape(len(at), -1)
+    for w, (at, bits) in known.items():
+        for v, (others, more) in known.items():
+            # The length filter goes by the larger set, which has the wider sketch.
+            if v < w or not (100 * size[at[-1]] >= percent * size[others[0]]):
+                continue
+            # The classes of a narrower sketch are unions of those of a wider one.
+            folded = np.bitwise_xor.reduce(more.reshape(len(others), v // w, w // 8), axis=1)
+            sizes = size[others]
+            for k, i in enumerate(at.tolist()):
+                start = k + 1 if v == w else 0
+                stop = int(np.searchsorted(sizes, 100 * size[i] // percent, side="right"))
+                near = np.arange(start, stop)
+                near = near[group[others[near]] != group[i]]
+                if both:
+                    near = near[side[others[near]] != side[i]]
+                if not len(near):
+                    continue
+                total = size[i] + sizes[near]
+                most = total - 2 * -(-percent * total // (100 + percent))
+                good = others[near[np.bitwise_count(folded[near] ^ bits[k]).sum(1, dtype=np.int64) <= most]]
+                # One pair for each group that is met is enough.
+                for j in good[np.unique(group[good], return_index=True)[1]].tolist():
+                    pairs.append((i, j))
+                    group[group == group[j]] = group[i]
+    return pairs
+
+
+def _sketch_tiles(percent: int):
+    def run(table: pa.Table) -> pa.Table:
+        columns = (table.column(c).to_pylist() for c in ("short", "n", "sketch", "block"))
+        rows = sorted(zip(*columns, strict=True))  # a fixed order makes reruns agree
+        size, side = (np.array([row[c] for row in rows], np.int64) for c in (1, 3))
+        pairs = sketch_pairs(size, [row[2] for row in rows], side, percent)
+        return pa.table({
+            "a": pa.array([rows[i][0] for i, _ in pairs], pa.int64()),
+            "b": pa.array([rows[j][0] for _, j in pairs], pa.int64()),
+        })
+
+    return run
+
+
 def _tiles(percent: int, shared):
     def run(table: pa.Table) -> pa.Table:
         columns = (table.column(c).to_pylist() for c in ("node", "hashes", "block"))
@@ -358,6 +437,7 @@ def near_duplicates(
     rows = docs.select(F.col(doc_id).cast("long").alias("d"), F.xxhash64(text).alias("k"),
                        F.col(text).alias("t"))
     facts = written(rows.mapInArrow(_facts(words), FACTS), "shingle-facts")
+    sketched = facts.where("kind = 0 AND node IS NOT NULL")
     owners = facts.where("kind = 0").select("doc_id", "text_key", "node", "n")
     uses = np.zeros(1 << BUCKETS, np.int64)  # the only counts that the driver sees
     for row in facts.where("kind = 1").groupBy("bucket").agg(F.sum("uses").alias("n")).collect():
@@ -365,22 +445,32 @@ def near_duplicates(
     shared = spark.sparkContext.broadcast(uses)
 
     prefixes = rows.select("t").mapInArrow(
-        _prefixes(words, percent, shared), "token long, node binary, n int, at int"
+        _prefixes(words, percent, shared), "token long, node long, n int, at int"
     )
     lists = prefixes.repartition("token").sortWithinPartitions("token", "n", "node")
-    candidates = lists.mapInArrow(_candidates(percent), "a binary, b binary")
+    candidates = lists.mapInArrow(_candidates(percent), "a long, b long")
     groups = components(candidates.where(F.col("a") != F.col("b")))
 
     # Large groups are cut into blocks, and every two blocks of a group meet in a tile. Sets of
     # a block have like sizes, so tiles of blocks that the length filter rules out are left out.
-    owned = owners.where(F.col("node").isNotNull()).groupBy("node").agg(
-        F.min("n").alias("n"), F.min(F.struct("doc_id", "text_key")).alias("one")
+    named = groups.withColumnRenamed("node", "short")
+    grouped = attach(sketched, named, ["short"], ["doc_id", "text_key"], "inner")
+    owned = grouped.groupBy("node").agg(
+        F.min("short").alias("short"), F.min("root").alias("root"), F.min("n").alias("n"),
+        F.min(F.struct("doc_id", "text_key", "sketch")).alias("one"),
+    )
+    members = written(owned.withColumn("grade", _grade(percent)), "group-members")
+    compared = _blocked(members, SKETCHED * block, SKETCHED * BLOCK_SHINGLES)
+    tiles = compared.select(
+        "root", "block", "short", "n", F.col("one.sketch").alias("sketch"), F.explode(_tiles_of()).alias("tile")
+    )
+    finer = components(
+        tiles.groupBy("root", "tile").applyInArrow(_sketch_tiles(percent), "a long, b long")
     )
-    members = written(
-        attach(owned, groups, ["node"], ["n"], "inner").withColumn("grade", _grade(percent)),
-        "group-members",
+    members = attach(
+        members.drop("root"), finer.withColumnRenamed("node", "short"), ["short"], ["node"], "inner"
     )
-    members = written(_blocked(members, block), "blocks")
+    members = written(_blocked(written(members, "like-members"), block, BLOCK_SHINGLES), "blocks")
     wanted = members.select(*document_key("one.doc_id", "one.text_key")).distinct()
     keyed = rows.select("t", *document_key("d", "k"))
     compared = attach(keyed, wanted, KEY, ["t"], "left_semi")
@@ -410,18 +500,18 @@ def _grade(percent: int):
     return F.floor(F.log(F.col("n").cast("double")) / F.lit(float(step * (1 + 1e-6)))).cast("int")
 
 
-def _blocked(members: DataFrame, block: int) -> DataFrame:
+def _blocked(members: DataFrame, block: int, shingles: int) -> DataFrame:
     """Adds the ``blocks`` of the group by grade of size, and which is ``here``: the nodes of a
     grade are dealt to its blocks by hash. A group that fits one block has no ``blocks``."""
     sizes = members.groupBy("root", "grade").agg(
         F.count("*").alias("size"), F.sum("n").alias("shingles")
     )
-    blocks = F.greatest(F.ceil(F.col("size") / block), F.ceil(F.col("shingles") / BLOCK_SHINGLES))
+    blocks = F.greatest(F.ceil(F.col("size") / block), F.ceil(F.col("shingles") / shingles))
     totals = sizes.withColumn("blocks", blocks.cast("int")).groupBy("root").agg(
         F.sum("size").alias("size"), F.sum("shingles").alias("shingles"),
         F.map_from_entries(F.collect_list(F.struct("grade", "blocks"))).alias("blocks"),
     )
-    large = totals.where((F.col("size") > block) | (F.col("shingles") > BLOCK_SHINGLES))
+    large = totals.where((F.col("size") > block) | (F.col("shingles") > shingles))
     rows = attach(members, written(large.select("root", "blocks"), "group-sizes"), ["root"], ["node"], "left")
     own = F.pmod(F.xxhash64("node"), F.try_element_at("blocks", F.col("grade"))).cast("int")
     rows = rows.withColumn("here", F.struct("grade", own.alias("number")))

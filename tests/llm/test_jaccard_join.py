@@ -116,6 +116,38 @@ def test_tile_pairs_at_the_threshold():
             assert bool(found) == link, (n, common)
 
 
+def test_sketches_rule_out_no_link():
+    """Sets of all sizes, at, above and below the threshold, in one tile and over two sides."""
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    sets = []
+    for n in (1, 2, 5, 9, 60, 64, 65, 120, 500, 520, 1100):
+        base = rng.integers(0, 1 << 63, n).astype(np.uint64)
+        for _ in range(6):
+            changed = int(rng.integers(0, n // 3 + 1))
+            more = rng.integers(0, 1 << 63, int(rng.integers(0, n // 5 + 2))).astype(np.uint64)
+            sets.append(np.unique(np.concatenate([base[changed:], more])))
+    sets = [s for s in sets if len(s)]
+    bounds = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
+    rows = jaccard_join.sketches(bounds, np.concatenate(sets))
+    size = np.diff(bounds)
+    for side in (np.zeros(len(sets), int), np.arange(len(sets)) % 2):
+        both = len(set(side.tolist())) > 1
+        groups = brute.Groups(range(len(sets)))
+        pairs = jaccard_join.sketch_pairs(size, rows, side, 80)
+        assert len(pairs) < len(sets)
+        for i, j in pairs:
+            groups.join(i, j)
+        for i, a in enumerate(sets):
+            for j, b in enumerate(sets[:i]):
+                common = len(np.intersect1d(a, b))
+                if 100 * common >= 80 * (len(a) + len(b) - common) and not (both and side[i] == side[j]):
+                    assert groups.find(i) == groups.find(j)
+                if common == 0 and min(len(a), len(b)) > 400:
+                    assert groups.find(i) != groups.find(j)
+
+
 def test_one_of_each(spark, make_docs, rows):
     docs = make_docs(rows)
     kept = one_of_each(docs)
