@@ -43,7 +43,9 @@ SUMMARY_SCHEMA = (
     "shard long, doc int, doc_id long, text_key long, n_words long, "
     "hits array<struct<a:int,b:int>>, items array<string>"
 )
-MATCH_SCHEMA = "doc_id long, text_key long, item_id string, kind string, word long, span int"
+MATCH_SCHEMA = (
+    "shard long, doc int, doc_id long, text_key long, item_id string, kind string, word long, span int"
+)
 
 
 @dataclass
@@ -65,20 +67,22 @@ class Windows:
         bounds, words = alnum_words(pa.array([text for _, text in items], pa.string()))
         encoded = words.dictionary_encode()
         ids = np.asarray(encoded.indices).astype(np.int32)
-        rows, owners = [], []
-        for i, (name, _) in enumerate(items):
-            own = ids[bounds[i] : bounds[i + 1]]
-            for k in range(max(1, len(own) - size + 1) if len(own) else 0):
-                row = np.full(size, -1, np.int32)
-                row[: min(size, len(own))] = own[k : k + size]
-                rows.append(row)
-                owners.append(number[name])
-        if not rows:
+        n = np.diff(bounds)
+        several = np.where(n > 0, np.maximum(1, n - size + 1), 0)
+        item = np.repeat(np.arange(len(items)), several)
+        if not len(item):
             nothing = np.zeros(0, np.int64)
             return cls(encoded.dictionary, np.zeros((0, size), np.int32), nothing,
                        np.zeros(1, np.int64), nothing, names)
-        terms, inverse = np.unique(np.stack(rows), axis=0, return_inverse=True)
-        pairs = np.unique(np.stack([inverse.ravel(), np.array(owners)], 1), axis=0)
+        within = np.arange(len(item)) - np.repeat(np.cumsum(several) - several, several)
+        start = (bounds[:-1][item] + within).astype(np.int32)
+        rows = np.full((len(item), size), -1, np.int32)
+        for k in range(size):
+            there = n[item] > k  # a short item has no further words
+            rows[there, k] = ids[start[there] + k]
+        owners = np.array([number[name] for name, _ in items])[item]
+        terms, inverse = np.unique(rows, axis=0, return_inverse=True)
+        pairs = np.unique(np.stack([inverse.ravel(), owners], 1), axis=0)
         first = np.searchsorted(pairs[:, 0], np.arange(len(terms) + 1))
         return cls(encoded.dictionary, terms, (terms >= 0).sum(1), first, pairs[:, 1], names)
 
@@ -267,6 +271,7 @@ def _matches(row: dict, windows: Windows, order: np.ndarray, span: int) -> Itera
         for w, p, d in zip(window, position, doc, strict=True):
             for owner in windows.owners[windows.first[w] : windows.first[w + 1]]:
                 yield {
+                    "shard": row["shard"], "doc": int(d),
                     "doc_id": row["doc_ids"][d], "text_key": row["text_keys"][d],
                     "item_id": windows.names[owner], "kind": kind,
                     "word": int(p - shard.base[d]), "span": int(reach[w]),
@@ -278,12 +283,13 @@ def _over_blocks(
     schema: str, per_shard, block_bytes: int, window: int,
 ) -> list[DataFrame]:
     """``per_shard`` over an index for each block of items. A block holds about
-    ``block_bytes`` of item text, is collected by itself and is all that is broadcast."""
+    ``block_bytes`` of item text, is collected by itself and is all that is broadcast. Items are
+    dealt by id and text, repeated rows once, so those that share an id are not one block."""
     spark = docs.sparkSession
     named = items.where(F.col(item_text).isNotNull()).select(
         F.coalesce(F.col(item_id).cast("string"), F.lit("null")).alias("name"),
         F.col(item_text).alias("text"),
-    )
+    ).distinct()
     size = named.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     blocks = max(1, -(-size // block_bytes))
     if blocks > 1:
@@ -291,7 +297,7 @@ def _over_blocks(
         docs = written(docs.select(doc_id, text), "documents")
     out = []
     for i in range(blocks):
-        rows = named.where(F.pmod(F.xxhash64("name"), F.lit(blocks)) == i).collect()
+        rows = named.where(F.pmod(F.xxhash64("name", "text"), F.lit(blocks)) == i).collect()
         windows = Windows.of([(row["name"], row["text"]) for row in rows], window)
         index = written(build_index(docs, windows.vocabulary, doc_id, text), "postings")
         order = windows.rarest_first(term_frequency(index, len(windows.vocabulary)))
@@ -315,7 +321,8 @@ def _arrow_schema(rows: list[dict]) -> pa.Schema:
         return pa.schema([("shard", pa.int64()), ("doc", pa.int32()), ("doc_id", pa.int64()),
                           ("text_key", pa.int64()), ("n_words", pa.int64()), ("hits", interval),
                           ("items", pa.list_(pa.string()))])
-    return pa.schema([("doc_id", pa.int64()), ("text_key", pa.int64()), ("item_id", pa.string()),
+    return pa.schema([("shard", pa.int64()), ("doc", pa.int32()), ("doc_id", pa.int64()),
+                      ("text_key", pa.int64()), ("item_id", pa.string()),
                       ("kind", pa.string()), ("word", pa.int64()), ("span", pa.int32())])
 
 
@@ -334,7 +341,8 @@ def matches(
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
-    return out
+    # Texts of one item may be in several blocks and have a window in common.
+    return (out.distinct() if len(parts) > 1 else out).drop("shard", "doc")
 
 
 def _covered(hits: Column) -> Column:

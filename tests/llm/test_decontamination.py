@@ -4,6 +4,7 @@ import random
 import brute
 import pytest
 
+from runledger.llm import decontamination
 from runledger.llm.decontamination import contamination, matches
 
 
@@ -64,6 +65,24 @@ def test_phrases_and_proximity(spark, make_docs):
     assert sorted({r.doc_id for r in found if r.kind == "proximity"}) == [1, 2, 3]
 
 
+@pytest.mark.parametrize("item_id", [7, None])
+def test_items_of_one_id_are_cut_into_blocks(spark, make_docs, tables, item_id, monkeypatch):
+    """Items that share an id, or have none, count as one item and fill several blocks."""
+    rows, items = tables
+    same = [(item_id, text) for _, text in items if text] * 3
+    benchmark = spark.createDataFrame(same, "item_id bigint, text string")
+    sizes, of = [], decontamination.Windows.of
+    monkeypatch.setattr(decontamination.Windows, "of", lambda found, size: sizes.append(
+        sum(len(text) for _, text in found)) or of(found, size))
+    found = contamination(make_docs(rows), benchmark, block_bytes=400)
+    named = [(7 if item_id else "null", text) for _, text in same]
+    assert got(found) == expected(rows, named)
+    assert len(sizes) > 2 and sum(sizes) == sum(len(text) for text in {text for _, text in same})
+    pairs = [tuple(r) for r in matches(make_docs(rows[:8]), benchmark, block_bytes=400).collect()]
+    once = [tuple(r) for r in matches(make_docs(rows[:8]), benchmark).collect()]
+    assert sorted(pairs) == sorted(once)
+
+
 def test_a_phrase_does_not_span_documents(spark, make_docs):
     words = [f"t{i}" for i in range(13)]
     rows = [(1, " ".join(words[:6])), (2, " ".join(words[6:]))]
