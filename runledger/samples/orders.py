@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
+from runledger.operators.skew import dealt
 from runledger.schemas import (
     AUTOSCALE,
     AWS_ATTRIBUTES,
@@ -129,8 +130,10 @@ RUN_SQL = (
 
 
 def _items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per order key and line number: its smallest part key."""
+    """One row per order key and line number: its smallest part key. Orders follow the
+    partitions of the lines, of which the files say how many there are."""
     items = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    items = dealt(items, items.count(), "l_orderkey")
     return (
         items.groupBy("l_orderkey", "l_linenumber")
         .agg(F.min("l_partkey").alias("mp"))

@@ -400,3 +400,24 @@ def test_pairing_by_run_never_gives_more_pairs(spark, sf_dir):
         for match in ("task", "run")
     }
     assert 0 < pairs["run"] <= pairs["task"]
+
+
+def test_pairs_of_run_and_shape_are_not_shuffled(spark, sf_dir, conf):
+    """Rows of the result are made once, behind the last shuffle."""
+    conf("spark.sql.adaptive.enabled", "false")
+    found = usage.run_usage(
+        orders.runs(spark, sf_dir), orders.with_cluster(spark, sf_dir), orders.sizes(spark)
+    )
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan[: plan.index("Join")]
+    assert found.count() == found.distinct().count()
+
+
+def test_every_duration_and_worker_count_of_a_task_is_charged(use):
+    """Rows of a run that differ too little to be told apart by their minutes."""
+    runs = [run(hours=1.0), run(hours=1.0 + 0.2 / 3600, task="u"), run(hours=4.0, task="u")]
+    clusters = [cluster(workers="2"), cluster(workers="02"), cluster(task="u", workers="300"),
+                cluster(task="u", workers="300")]
+    found = use(runs, clusters)
+    assert len(found) == len(set(found))
+    assert len({r.duration_min for r in found}) < len({r.core_hrs for r in found})
