@@ -11,13 +11,14 @@ from pyspark.sql import functions as F
 from runledger.functions.expr import epoch_day, epoch_ms, task_type
 from runledger.functions.fields import variant_field
 from runledger.operators import counts, reports, usage, workload
+from runledger.operators.skew import SPLIT_ROWS, TASK_ROWS
 from runledger.plans.estimate import window_runs
 from runledger.samples import orders
 from runledger.sources.buckets import bucketed_usage, write_bucketed
 from runledger.sources.scratch import scratch_path
 from runledger.sources.tables import merge_runs, write_tables
 
-BUCKETS = 8
+BUCKETS = 8  # at least
 # A first fetch of these days, of which the last ones' runs are still going, and a second one
 # that looks back over those.
 FETCHED_FROM, FETCHED_UNTIL, LOOK_BACK = dt.date(1998, 5, 1), dt.date(1998, 6, 1), 3
@@ -25,11 +26,13 @@ RANDOM_SEED = 11
 
 
 def stored_run_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Run usage over bucketed tables."""
+    """Run usage over bucketed tables; a bucket has about ``TASK_ROWS`` tasks."""
     schema = f"buckets_{uuid.uuid4().hex}"
     spark.sql(f"CREATE SCHEMA {schema} LOCATION '{scratch_path(spark, 'buckets')}'")
+    tasks = orders.read(spark, sf_dir, "lineitem").count()
     write_bucketed(
-        spark, orders.runs(spark, sf_dir), orders.with_cluster(spark, sf_dir), schema, BUCKETS
+        spark, orders.runs(spark, sf_dir), orders.with_cluster(spark, sf_dir), schema,
+        max(BUCKETS, -(-tasks // TASK_ROWS)),
     )
     return bucketed_usage(spark, schema, orders.sizes(spark))
 
@@ -64,17 +67,30 @@ def _partials(spark: SparkSession, rows: DataFrame, dims: list[str], measures: d
     return counts.store_partials(partials, scratch_path(spark, "partials"))
 
 
-def _daily_pairs(spark: SparkSession, sf_dir: str, columns: list[str]) -> DataFrame:
-    runs = orders.runs(spark, sf_dir).select(
+def _daily_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return orders.runs(spark, sf_dir).select(
         "job_id", "run_id", "task_key", "run_name", "run_type",
         epoch_day("run_starttime").alias(counts.DAY), task_type().alias("task_type"),
     )
-    return usage.join_clusters(runs, orders.with_cluster(spark, sf_dir), columns)
+
+
+def _stored(rows: DataFrame, name: str) -> DataFrame:
+    """``rows`` written once: each measure reads them twice."""
+    path = scratch_path(rows.sparkSession, name)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def _daily_pairs(spark: SparkSession, sf_dir: str, column: str, known: str = "true") -> DataFrame:
+    """Run tasks with the values of a cluster ``column`` that are ``known``."""
+    clusters = orders.with_cluster(spark, sf_dir).where(known)
+    pairs = usage.join_clusters(_daily_runs(spark, sf_dir), clusters, [column])
+    return _stored(pairs.select(counts.DAY, "run_type", "run_name", "task_key", "run_id", column), "pairs")
 
 
 def window_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Job tasks and runs of a window by run type and kind of compute, from daily sets."""
-    pairs = _daily_pairs(spark, sf_dir, ["compute_definition"])
+    pairs = _daily_pairs(spark, sf_dir, "compute_definition")
     dims = ["run_type", "compute_definition"]
     partials = _partials(spark, pairs, dims, reports.TASK_AND_RUN)
     return counts.window_counts(partials, dims, list(reports.TASK_AND_RUN), *orders.WINDOW)
@@ -82,15 +98,18 @@ def window_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def window_pool_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Job tasks and runs of a window by pool id, from daily sets."""
-    pairs = _daily_pairs(spark, sf_dir, ["instance_pool_id"]).where("instance_pool_id <> 'None'")
+    pairs = _daily_pairs(spark, sf_dir, "instance_pool_id", "instance_pool_id <> 'None'")
     dims = ["instance_pool_id"]
     partials = _partials(spark, pairs, dims, reports.TASK_AND_RUN)
     return counts.window_counts(partials, dims, list(reports.TASK_AND_RUN), *orders.WINDOW)
 
 
 def window_submits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Runs and jobs of a window by kind of task, from daily sets."""
-    pairs = _daily_pairs(spark, sf_dir, ["compute_definition"])
+    """Runs and jobs of a window by kind of task, from daily sets. Only that a task has a
+    cluster matters."""
+    known = orders.with_cluster(spark, sf_dir).select("job_id", "task_key").distinct()
+    found = usage.split_by_job(_daily_runs(spark, sf_dir), known, SPLIT_ROWS, "left_semi")
+    pairs = _stored(found.select(counts.DAY, "task_type", "run_id", "job_id"), "submits")
     measures = {
         "distinct_run_ids": "CAST(run_id AS STRING)", "distinct_job_ids": "CAST(job_id AS STRING)"
     }

@@ -8,9 +8,10 @@ from types import SimpleNamespace
 import pytest
 from pyspark.sql import functions as F
 
-from runledger.operators import counts, reports
+from runledger.operators import counts, reports, skew, usage
 from runledger.operators.usage import all_job_clusters, run_usage
 from runledger.samples import orders, queries
+from runledger.samples import stored as stored_queries
 from runledger.sources import buckets, tables, versions
 from runledger.sources.scratch import scratch_path
 from runledger.sources.views import create_views
@@ -325,3 +326,42 @@ def test_estimate_from_days_equals_the_estimate(spark, sf_dir, tmp_path):
         days = (end - start).days
         want = reports.usage_estimate(usage, start, end, days).first()
         assert reports.estimate_from_days(partials, sums, start, end, days).first() == want
+
+
+@pytest.mark.parametrize("name", ["window_usage", "window_pool_usage", "window_submits"])
+def test_windows_pair_runs_and_clusters_once(spark, sf_dir, monkeypatch, name):
+    """Each measure reads stored pairs; the orders are not joined again for it."""
+    read, partials = [], stored_queries._partials
+
+    def watched(spark, rows, *rest):
+        read.extend(rows.inputFiles())
+        return partials(spark, rows, *rest)
+
+    monkeypatch.setattr(stored_queries, "_partials", watched)
+    stored_queries.STORED_QUERIES[name](spark, sf_dir)
+    assert read and not any(sf_dir in path for path in read)
+
+
+def test_buckets_follow_the_rows(spark, sf_dir, monkeypatch):
+    asked, write = [], stored_queries.write_bucketed
+
+    def watched(*args):
+        asked.append(args[4])
+        return write(*args)
+
+    monkeypatch.setattr(stored_queries, "write_bucketed", watched)
+    monkeypatch.setattr(stored_queries, "TASK_ROWS", 500, raising=False)
+    found = stored_queries.stored_run_usage(spark, sf_dir)
+    lines = orders.read(spark, sf_dir, "lineitem").count()
+    assert asked == [-(-lines // 500)] and asked[0] > stored_queries.BUCKETS
+    assert found.count() > 0
+
+
+def test_partitions_follow_the_rows(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(skew, "TASK_ROWS", 200, raising=False)
+    lines = orders.read(spark, sf_dir, "lineitem").count()
+    parts = -(-lines // 200)
+    runs, clusters = orders.runs(spark, sf_dir), orders.with_cluster(spark, sf_dir)
+    assert runs.rdd.getNumPartitions() == parts
+    # Spark puts empty partitions of the join together, but not below its own number of eight.
+    assert usage.join_clusters(runs, clusters, ["driver_node"]).rdd.getNumPartitions() > 8
