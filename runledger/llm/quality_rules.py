@@ -1,8 +1,8 @@
 """Quality rules: repetition and length of a text, and bands of its perplexity by language.
 
-The perplexity of a text comes from a modified Kneser-Ney model of all texts
+The perplexity of a text comes from a modified Kneser-Ney model of the characters of all texts
 (:mod:`runledger.llm.kneser_ney`). Texts that are far from their language's usual perplexity on
-either side go: above it is noise, below it the same few characters again and again. The bands
+either side go: above it is noise, below it the same few words again and again. The bands
 come from all texts that pass the plain rules. Their quartiles are read from counts of rounded
 values, so they do not depend on how Spark deals the rows.
 """
@@ -19,14 +19,25 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from runledger.llm.common import _words, attach, slices, written
-from runledger.llm.kneser_ney import Model, learn, text_bytes
+from runledger.llm import kneser_ney
+from runledger.llm.kneser_ney import (
+    Alphabet,
+    Model,
+    characters,
+    count_grams,
+    gathered,
+    probabilities,
+    row_grams,
+    text_bytes,
+)
+from runledger.operators.skew import split_join
 
 LEAST_WORDS = 50
 MOST_REPEATED = 50  # of a hundred words
 WINDOW = 3
 SIGNS = "#*$%&|<>"
 WIDTH = 4.0  # of a band beyond its quartiles, in distances of the quartiles
-LEAST_SPREAD = 0.02  # bits of a symbol: the least distance of the quartiles
+LEAST_SPREAD = 0.02  # bits of a word: the least distance of the quartiles
 STEPS = 1000  # a bit is rounded to that many parts
 PRIOR = 50  # a language counts with its own texts and that many usual ones
 
@@ -96,14 +107,15 @@ def counts(texts: pa.Array) -> list[np.ndarray]:
 
 
 def _measure(model, keep: int):
+    """Counts and bits by word of each text, without a ``model`` no bits."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             parts = []
             for texts in slices(batch.column(keep)):
                 offsets, raw = text_bytes(texts)
-                lengths = np.diff(offsets)
-                bits = model.value.bits(offsets, raw) / np.maximum(lengths, 1)
-                parts.append([*counts(texts), np.where(lengths > 0, bits, 0.0)])
+                plain = counts(texts)
+                bits = np.zeros(len(texts)) if model is None else model.value.bits(offsets, raw)
+                parts.append([*plain, bits / np.maximum(plain[0], 1)])
             found = [np.concatenate(c) for c in zip(*parts, strict=True)] if parts else [[]] * 6
             kinds = [*[pa.int64()] * len(COUNTS), pa.float64()]
             yield pa.RecordBatch.from_arrays(
@@ -114,6 +126,24 @@ def _measure(model, keep: int):
     return run
 
 
+def _looked_up(rows: DataFrame, counted: DataFrame, alphabet: Alphabet, schema: StructType) -> DataFrame:
+    """The columns of ``rows`` but the text, counts and bits by word, for models that no task
+    can hold: the n-grams of each text are joined with their probabilities."""
+    rows = written(rows.select(F.monotonically_increasing_id().alias("_row"), "*"), "rows")
+    worded = rows.where(F.col("_text") != "").select("_row", "_text")
+    found = worded.mapInArrow(row_grams(alphabet.order, alphabet), "row long, gram long, n long")
+    known = probabilities(counted, alphabet.order, alphabet)
+    # Decimals add up to the same in any order.
+    bits = (-F.col("n") * F.col("log_p")).cast("decimal(28,12)")
+    found = split_join(found, known, ["gram"], ["row"]).groupBy("row").agg(F.sum(bits).alias("all"))
+    found = written(found.select(F.col("row").alias("_row"), F.col("all").cast("double")), "bits")
+    plain = rows.mapInArrow(_measure(None, len(rows.columns) - 1), StructType([
+        rows.schema["_row"], *schema.fields]))
+    plain = attach(plain, found, ["_row"], ["_bits"], "left")
+    by_word = F.coalesce("all", F.lit(0.0)) / F.greatest("n_words", F.lit(1))
+    return plain.withColumn("_bits", by_word).select(schema.names)
+
+
 LANGUAGE = ["_no_lang", "_lang"]
 
 
@@ -135,7 +165,7 @@ def _quartiles(measured: DataFrame, by: list[str]) -> DataFrame:
 
 
 def bands(measured: DataFrame) -> DataFrame:
-    """``lower`` and ``upper`` bits of a symbol for each language of measured texts. The fewer
+    """``lower`` and ``upper`` bits of a word for each language of measured texts. The fewer
     texts a language has, the more its quartiles are those of all texts."""
     usual = _quartiles(measured.withColumn("_all", F.lit(0)), ["_all"]).first()
     own = _quartiles(measured, LANGUAGE)
@@ -153,7 +183,7 @@ def quality_rules(
     lang_col: str = "lang", model: Model | None = None,
 ) -> DataFrame:
     """The ``keep`` columns of each row and those of ``RESULTS``: counts of its whole text, its
-    ``perplexity`` by symbol (NULL for an empty text), the band of its language (as
+    ``perplexity`` by word (NULL for an empty text), the band of its language (as
     perplexities), ``base_failed`` (fewer than ``LEAST_WORDS`` words, or more than
     ``MOST_REPEATED`` of a hundred words in repeated windows) and ``kept``: neither that nor
     outside the band.
@@ -169,13 +199,21 @@ def quality_rules(
         F.coalesce(F.col(lang_col).cast("string"), F.lit("")).alias("_lang"),
         F.col(text_col).alias("_text"),
     )
-    model = learn(rows, "_text") if model is None else model
     fields = [f for f in rows.schema.fields if f.name != "_text"]
     schema = StructType([
         *fields, *(StructField(c, LongType()) for c in COUNTS), StructField("_bits", DoubleType())
     ])
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    measured = rows.mapInArrow(_measure(shared, len(fields)), schema)
+    counted = None
+    if model is None:
+        alphabet = characters(rows, "_text")
+        counted = written(count_grams(rows, "_text", alphabet.order, alphabet), "counted-grams")
+        if counted.count() <= kneser_ney.MODEL_GRAMS:
+            model = gathered(counted, alphabet.order, alphabet)
+    if model is None:
+        measured = _looked_up(rows, counted, alphabet, schema)
+    else:
+        shared = docs.sparkSession.sparkContext.broadcast(model)
+        measured = rows.mapInArrow(_measure(shared, len(fields)), schema)
     failed = (F.col("n_words") < LEAST_WORDS) | (
         100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words")
     )

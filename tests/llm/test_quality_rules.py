@@ -216,3 +216,49 @@ def test_quality_marks_of_the_sample(spark):
         ).collect()
     }
     assert share[1] > 0.98 and share[0] < 0.6
+
+
+# --- whole characters ------------------------------------------------------------
+
+
+def test_characters_are_whole(spark):
+    texts = ["aZ é", "", "日本\U0001f600x", None, "éà\x00\x7f\u07ff\uffff\U0010ffff"]
+    offsets, points = kneser_ney.characters_of(*text_bytes(pa.array(texts)))
+    found = [points[a:b].tolist() for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+    assert found == [[ord(c) for c in t or ""] for t in texts]
+    alphabet = kneser_ney.characters(table(spark, [(i, t, "en") for i, t in enumerate(texts)]))
+    different = sorted(set("".join(t or "" for t in texts)))
+    other = pa.array(["".join(different) + "?Ω"])
+    n = len(different)
+    assert alphabet.symbols(*text_bytes(other))[1].tolist() == [*range(1, n + 1), n + 1, n + 1]
+    # As many characters as there are leave fewer to an n-gram.
+    orders = [kneser_ney.character_alphabet(np.arange(n)).order for n in (100, 5_000, 40_000, 0x110000)]
+    assert orders == [5, 4, 3, 3]
+
+
+def test_query_tells_characters_apart(spark):
+    """Texts that only differ in the case or the accents of letters, of which one kind is rare."""
+    rng = random.Random(4)
+    plain = ["".join(rng.choice("lmnrst") + rng.choice("àéîõü") for _ in range(4)) for _ in range(60)]
+    rows = [(i, prose(rng, plain, rng.randrange(80, 200)), "xx") for i in range(300)]
+    same = str.maketrans("àéîõü", "\u0129\u0119\u0117\u0107\u0115")
+    odd = [(900, rows[0][1].upper(), "xx"), (901, rows[1][1].translate(same), "xx")]
+    found = {r["doc_id"]: r for r in quality_rules(table(spark, rows + odd)).collect()}
+    assert not any(found[i]["kept"] or found[i]["base_failed"] for i in (900, 901))
+    assert all(found[i]["perplexity"] > found[i]["upper"] for i in (900, 901))
+    kept = [found[i]["kept"] for i, _, _ in rows if not found[i]["base_failed"]]
+    assert sum(kept) / len(kept) > 0.99
+
+
+def test_large_models_are_looked_up(spark, monkeypatch):
+    rows = [(i % 50, t, "en" if i % 3 else None) for i, t in enumerate(corpus() + [None, "", "日本 " * 60])]
+    def order(r):
+        return (r["doc_id"], r["n_words"], r["word_chars"], r["perplexity"] or 0)
+    held = sorted(quality_rules(table(spark, rows)).collect(), key=order)
+    monkeypatch.setattr(kneser_ney, "MODEL_GRAMS", 10)
+    joined = sorted(quality_rules(table(spark, rows)).collect(), key=order)
+    assert len(held) == len(joined) == len(rows)
+    for a, b in zip(held, joined, strict=True):
+        assert a["perplexity"] == (b["perplexity"] and pytest.approx(b["perplexity"], rel=1e-9))
+        assert [a[c] for c in ("doc_id", *rules.COUNTS, "base_failed", "kept")] == [
+            b[c] for c in ("doc_id", *rules.COUNTS, "base_failed", "kept")]
